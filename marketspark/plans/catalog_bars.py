@@ -405,7 +405,7 @@ _FEATS = ["volume", "tick_count", "atr_14", "close"]
 
 
 @query("feature_corr", "C16", tidy_sql(S.with_ctes(*S.WITH_ATR) + " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, " + ("1.0" if a == b else f"corr({a}, {b})") + " AS corr FROM ba"
+    f"SELECT '{a}' AS a, '{b}' AS b, " + (f"CASE WHEN count({a}) > 0 THEN 1.0 END" if a == b else f"corr({a}, {b})") + " AS corr FROM ba"
     for i, a in enumerate(_FEATS) for b in _FEATS[i:]), ["corr"], ["a", "b"]))
 def feature_corr(spark, sf):
     return tidy(select.correlations(labelled_1h(spark, sf), _FEATS))

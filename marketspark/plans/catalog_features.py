@@ -224,7 +224,7 @@ _PIVOT_SQL = {
     "dm": dict(p="x/4", r1="x/2-l", s1="x/2-h"),
     "camarilla": dict(p="(h+l+c)/3", r1="c+(h-l)*1.1/12", s1="c-(h-l)*1.1/12", r2="c+(h-l)*1.1/6",
                       s2="c-(h-l)*1.1/6", r3="c+(h-l)*1.1/4", s3="c-(h-l)*1.1/4", r4="c+(h-l)*1.1/2",
-                      s4="c-(h-l)*1.1/2", r5="h/l*c", s5="2*c-h/l*c"),
+                      s4="c-(h-l)*1.1/2", r5="h/l*c", s5="c-(h/l*c-c)"),
 }
 _PIVOT_SQL["classic"] = _PIVOT_SQL["traditional"]
 

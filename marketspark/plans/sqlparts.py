@@ -15,7 +15,8 @@ TICKS_LONG = """ticks_long AS (
   SELECT 'L' AS symbol,
          l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER))
                     + to_minutes(CAST(l_partkey % 60 AS INTEGER)) AS timestamp,
-         l_extendedprice / l_quantity AS bid, l_extendedprice / l_quantity AS ask,
+         floor(l_extendedprice / l_quantity * 100) / 100 AS bid,
+         floor(l_extendedprice / l_quantity * 100) / 100 AS ask,
          l_quantity AS bid_volume, l_quantity AS ask_volume,
          l_orderkey * 10 + l_linenumber AS seq,
          strftime(l_shipdate, '%Y-%m') AS month

@@ -42,7 +42,8 @@ def _line_ticks(lines: DataFrame, symbol) -> DataFrame:
         + (F.col("l_orderkey") % 24) * 3600
         + (F.col("l_partkey") % 60) * 60
     ).cast("timestamp_ntz")
-    mid = F.col("l_extendedprice") / F.col("l_quantity")
+    # Quotes have a price step: whole cents, cut rather than rounded.
+    mid = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100
     return lines.select(
         symbol.alias("symbol"),
         ts.alias("timestamp"),
