@@ -3,6 +3,7 @@
 from marketspark.plans import (  # noqa: F401
     catalog_bars,
     catalog_features,
+    catalog_trades,
 )
 from marketspark.plans.registry import QUERIES
 
