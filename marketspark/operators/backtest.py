@@ -47,10 +47,10 @@ def trade_candidates(
     rows = halo_blocks(
         bars.select(*keys, "idx", "n", "timestamp", "open", "high", "low", "close",
                     signal.alias("signal"), F.col(atr_col).alias("_atr"),
-                    *[c for c in bars.columns if c.startswith("param_")]),
+                    *[c for c in bars.columns if c.startswith("param_") and c not in keys]),
         block, after=horizon_limit + 1,
     )
-    params = [c for c in rows.columns if c.startswith("param_")]
+    params = [c for c in rows.columns if c.startswith("param_") and c not in keys]
     w = W.partitionBy(*keys, "blk").orderBy("idx")
     rows = rows.withColumns({
         "_entry_time": F.lead("timestamp").over(w),
@@ -176,8 +176,8 @@ def select_non_overlapping(
         ),
         lambda acc: acc["starts"],
     )
-    # A trade that never closes blocks the rest of its series: later blocks get
-    # a start beyond their last bar, where the lookup above finds no entry.
+    # A trade that never closes ends at position n; it was opened fewer than
+    # `width` bars before the end, so even then the lookup stays inside the table.
     starts = chained.select(*keys, F.inline(step))
     replayed = grouped.join(starts, [*keys, "_blk"]).select(
         *keys, F.explode(

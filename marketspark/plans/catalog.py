@@ -3,6 +3,8 @@
 from marketspark.plans import (  # noqa: F401
     catalog_bars,
     catalog_features,
+    catalog_models,
+    catalog_streams,
     catalog_trades,
 )
 from marketspark.plans.registry import QUERIES

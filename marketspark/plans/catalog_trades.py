@@ -176,7 +176,7 @@ def drawdown_summary(spark, sf):
 
 
 _DRAWS = """dr AS (SELECT p.path, s.t AS step, s.n,
-   (p.path * 73856093 + s.t * 19349663 + 42 * 83492791) % 2147483647 AS h
+   (p.path * 73856093 + s.t * 19349663 + CAST(42 AS BIGINT) * 83492791) % 2147483647 AS h
    FROM (SELECT unnest(range(0, 1000)) AS path) p, (SELECT t, count(*) OVER () AS n FROM tr) s),
  d1 AS (SELECT * EXCLUDE (h), (h * h + h * 48271 + 11) % 2147483647 AS h FROM dr),
  d2 AS (SELECT * EXCLUDE (h), (h * h + h * 48271 + 11) % 2147483647 AS h FROM d1),
