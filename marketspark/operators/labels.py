@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from marketspark.functions.scans import bounded, halo_blocks, row_index
 from marketspark.operators.sessions import MONTHLY
 from marketspark.schema import LABEL_CLASSES, LABEL_HORIZONS
 
@@ -26,26 +27,41 @@ def add_labels(
     """
     if atr_col not in df.columns:
         raise ValueError(f"column {atr_col!r} not found; add indicators first")
-    w = W.partitionBy(*partition_cols).orderBy("timestamp")
-    df = df.withColumns({f"close_ahead_{h}": F.lead("close", h).over(w) for h in horizons})
+    ahead = {h: f"close_ahead_{h}" for h in horizons}
+    if bounded(partition_cols):
+        w = W.partitionBy(*partition_cols).orderBy("timestamp")
+        df = df.withColumns({name: F.lead("close", h).over(w) for h, name in ahead.items()})
+    else:
+        df = _look_ahead(df, ahead, partition_cols)
     near = F.col(atr_col) * atr_mult
     far = near * 2
     close = F.col("close")
     labels = {}
     for h in horizons:
-        ahead = F.col(f"close_ahead_{h}")
+        future = F.col(ahead[h])
         labels[f"label_{h}"] = (
-            F.when(ahead.isNull() | F.col(atr_col).isNull(), F.lit(None))
-            .when(ahead > close + far, 2)
-            .when(ahead > close + near, 1)
-            .when(ahead < close - far, -2)
-            .when(ahead < close - near, -1)
+            F.when(future.isNull() | F.col(atr_col).isNull(), F.lit(None))
+            .when(future > close + far, 2)
+            .when(future > close + near, 1)
+            .when(future < close - far, -2)
+            .when(future < close - near, -1)
             .otherwise(0)
             .cast("byte")
         )
     return df.withColumns(labels)
 
 
+def _look_ahead(
+    df: DataFrame, ahead: dict[int, str], keys: Sequence[str], block: int = 4096
+) -> DataFrame:
+    """Future closes of a whole series, cut into overlapping runs of rows."""
+    indexed = row_index(df, keys, "month", "timestamp")
+    rows = halo_blocks(indexed, block, after=max(ahead))
+    w = W.partitionBy(*keys, "blk").orderBy("idx")
+    rows = rows.withColumns({name: F.lead("close", h).over(w) for h, name in ahead.items()})
+    return rows.where("core").select(*df.columns, *ahead.values())
+
+
 def class_balance(df: DataFrame, label_col: str) -> DataFrame:
     """Count and share (4 digits) of each class -2..2; zeros where absent."""
     counts = df.where(F.col(label_col).isNotNull()).groupBy(

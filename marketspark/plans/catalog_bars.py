@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketspark.operators import bars, labels, quality, select
 from marketspark.plans import sqlparts as S
-from marketspark.plans.common import bars_1d, bars_1h, bars_4h, labelled_1h
+from marketspark.plans.common import bars_1d, bars_1h, bars_4h, labelled_1h, labelled_1w
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.sources import store, ticks, views
 
@@ -344,10 +344,10 @@ def date_range_filter(spark, sf):
     return tidy(df, ["symbol", "timestamp", *_BAR, "tick_count"])
 
 
-@query("feature_columns", "B3", S.with_ctes(*S.LABELLED_1H) + """
+@query("feature_columns", "B3", S.with_ctes(*S.LABELLED_1W) + """
 SELECT 'volume' AS feature, count(volume) AS n FROM lab UNION ALL SELECT 'atr_14', count(atr_14) FROM lab""")
 def feature_columns(spark, sf):
-    df = labelled_1h(spark, sf)
+    df = labelled_1w(spark, sf)
     names = select.numeric_feature_columns(df)
     return df.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "n")
 
@@ -367,11 +367,11 @@ def chrono_split(spark, sf):
     return select.chrono_split(bars_1d(spark, sf, staged=True), 0.2).select("symbol", "timestamp", "split")
 
 
-@query("signal_map", "B12, B13", S.with_ctes(*S.LABELLED_1H) + """
+@query("signal_map", "B12, B13", S.with_ctes(*S.LABELLED_1W) + """
 SELECT symbol, timestamp, CASE WHEN label_10 > 0 THEN 1 WHEN label_10 < 0 THEN -1 ELSE 0 END AS signal,
   label_10 + 2 AS encoded FROM lab""")
 def signal_map(spark, sf):
-    df = labelled_1h(spark, sf)
+    df = labelled_1w(spark, sf)
     return df.select("symbol", "timestamp", select.label_to_signal("label_10").alias("signal"),
                      select.encode_label("label_10").alias("encoded"))
 
@@ -384,38 +384,38 @@ def bar_shape(spark, sf):
                 ["symbol", "timestamp", "range", "body", "is_bullish"])
 
 
-@query("class_balance", "C14", S.with_ctes(*S.LABELLED_1H) + """
+@query("class_balance", "C14", S.with_ctes(*S.LABELLED_1W) + """
 SELECT c.label, count(l.label_10) AS n,
   coalesce(round(count(l.label_10) / (SELECT nullif(count(label_10), 0) FROM lab), 4), 0.0) AS ratio
 FROM (SELECT unnest([-2, -1, 0, 1, 2]) AS label) c LEFT JOIN lab l ON l.label_10 = c.label GROUP BY 1""")
 def class_balance(spark, sf):
-    return labels.class_balance(labelled_1h(spark, sf), "label_10")
+    return labels.class_balance(labelled_1w(spark, sf), "label_10")
 
 
-@query("dataset_summary", "C15", S.with_ctes(*S.LABELLED_1H) + """
+@query("dataset_summary", "C15", S.with_ctes(*S.LABELLED_1W) + """
 SELECT symbol, count(*) AS rows, 16 AS columns, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
   sum((atr_14 IS NULL)::INT + (a5 IS NULL)::INT + (a10 IS NULL)::INT + (a20 IS NULL)::INT
     + (label_5 IS NULL)::INT + (label_10 IS NULL)::INT + (label_20 IS NULL)::INT)::BIGINT AS null_cells
 FROM lab GROUP BY symbol""")
 def dataset_summary(spark, sf):
-    return select.dataset_summary(labelled_1h(spark, sf))
+    return select.dataset_summary(labelled_1w(spark, sf))
 
 
 _FEATS = ["volume", "tick_count", "atr_14", "close"]
 
 
-@query("feature_corr", "C16", tidy_sql(S.with_ctes(*S.WITH_ATR) + " UNION ALL ".join(
+@query("feature_corr", "C16", tidy_sql(S.with_ctes(*S.WITH_ATR_1W) + " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, " + (f"CASE WHEN count({a}) > 0 THEN 1.0 END" if a == b else f"corr({a}, {b})") + " AS corr FROM ba"
     for i, a in enumerate(_FEATS) for b in _FEATS[i:]), ["corr"], ["a", "b"]))
 def feature_corr(spark, sf):
-    return tidy(select.correlations(labelled_1h(spark, sf), _FEATS))
+    return tidy(select.correlations(labelled_1w(spark, sf), _FEATS))
 
 
-@query("feature_quantiles", "C17", tidy_sql(S.with_ctes(*S.WITH_ATR) + " UNION ALL ".join(
+@query("feature_quantiles", "C17", tidy_sql(S.with_ctes(*S.WITH_ATR_1W) + " UNION ALL ".join(
     f"""SELECT '{c}' AS feature, count({c}) AS n, quantile_cont({c}, 0.0) AS p0, quantile_cont({c}, 0.25) AS p25,
   quantile_cont({c}, 0.5) AS p50, quantile_cont({c}, 0.75) AS p75, quantile_cont({c}, 1.0) AS p100 FROM ba"""
     for c in _FEATS), ["p0", "p25", "p50", "p75", "p100"], ["feature", "n"]))
 def feature_quantiles(spark, sf):
     from marketspark.functions.quantiles import feature_quantiles as fq
 
-    return tidy(fq(labelled_1h(spark, sf), _FEATS, (0.0, 0.25, 0.5, 0.75, 1.0)))
+    return tidy(fq(labelled_1w(spark, sf), _FEATS, (0.0, 0.25, 0.5, 0.75, 1.0)))

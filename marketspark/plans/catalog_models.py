@@ -9,7 +9,7 @@ from marketspark.operators import drift, folds, models, prep, registry, scoring
 from marketspark.operators.indicators import atr
 from marketspark.operators.labels import add_labels
 from marketspark.plans import sqlparts as S
-from marketspark.plans.common import bars_1d, bars_4h, labelled_1h
+from marketspark.plans.common import bars_1d, bars_4h, labelled_1w
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.session import scratch_path, stage
 
@@ -22,8 +22,8 @@ def _indexed(df):
 
 
 def _model_rows(spark, sf):
-    """Complete rows of the hourly table with position, features and ``y`` in 0..4."""
-    return _indexed(prep.tabular(labelled_1h(spark, sf, staged=False), FEATURES, "label_10",
+    """Complete rows of the weekly table with position, features and ``y`` in 0..4."""
+    return _indexed(prep.tabular(labelled_1w(spark, sf, staged=False), FEATURES, "label_10",
                                  keep=["symbol", "timestamp", "month"]))
 
 
@@ -32,7 +32,7 @@ _ROWS = """mr AS (SELECT symbol, timestamp, month, CAST(CAST(volume AS FLOAT) AS
   CAST(label_10 + 2 AS INT) AS y, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS idx,
   count(*) OVER (PARTITION BY symbol) AS n
   FROM {src} WHERE label_10 IS NOT NULL AND atr_14 IS NOT NULL AND volume IS NOT NULL AND tick_count IS NOT NULL)"""
-_MR = [*S.LABELLED_1H, _ROWS.format(src="lab")]
+_MR = [*S.LABELLED_1W, _ROWS.format(src="lab")]
 
 
 @query("tabular_prep", "I1, B4, B5, B13", tidy_sql(
@@ -70,7 +70,7 @@ def sequence_windows(spark, sf):
 SELECT b.symbol, b.timestamp, coalesce(p.y, 2) AS prediction FROM b LEFT JOIN (SELECT * FROM mr WHERE idx % 3 = 0) p
   USING (symbol, timestamp)""")
 def align_predictions(spark, sf):
-    rows = stage(labelled_1h(spark, sf, staged=False), "labelled")
+    rows = stage(labelled_1w(spark, sf, staged=False), "labelled")
     known = _indexed(prep.tabular(rows, FEATURES, "label_10", keep=["symbol", "timestamp", "month"]))
     preds = known.where(F.col("idx") % 3 == 0).select(*KEY, F.col("y").alias("prediction"))
     return prep.align_predictions(rows.select(*KEY), preds)
@@ -276,9 +276,9 @@ def batch_score(spark, sf):
     path = scratch_path(spark, "model")
     model.write().save(path)
     reg = registry.entry(
-        spark, backend="tree", symbol="ALL", tf="1H", label="label_10", metrics={"best_cv_f1_macro": 0.5},
+        spark, backend="tree", symbol="S1", tf="1W", label="label_10", metrics={"best_cv_f1_macro": 0.5},
         registered_at=0.0, feature_columns=FEATURES, artifact_path=path)
-    best = registry.best_models(registry.list_models(reg, symbol="ALL", tf="1H", label="label_10")).first()
+    best = registry.best_models(registry.list_models(reg, symbol="S1", tf="1W", label="label_10")).first()
     scored = models.score_table(PipelineModel.load(best["artifact_path"]), rows, best["feature_columns"])
     out = scratch_path(spark, "predictions")
     scored.select(*KEY, "y", "prediction", F.lit("label_10").alias("label")).write.partitionBy("label").parquet(out)
@@ -368,7 +368,7 @@ def run_history(spark, sf):
 
 # ---------------------------------------------------------------- drift
 _DF = ["close", "volume", "tick_count", "atr_14"]
-_SPLIT = "TIMESTAMP '2024-01-16'"
+_SPLIT = "TIMESTAMP '1998-07-01'"
 _LONGREF = "lr AS (" + " UNION ALL ".join(
     f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, timestamp < {_SPLIT} AS ref FROM ba WHERE {f} IS NOT NULL" for f in _DF) + ")"
 _KS = """ks AS (SELECT feature, max(abs(fr - fl)) AS ks_stat, any_value(nr) AS n_ref, any_value(nl) AS n_live FROM (
@@ -390,15 +390,15 @@ _PSI = ["""ed AS (SELECT feature, quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6
 
 
 def _drift_sides(spark, sf):
-    rows = labelled_1h(spark, sf)
-    early = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz")
+    rows = labelled_1w(spark, sf)
+    early = F.col("timestamp") < F.lit("1998-07-01").cast("timestamp_ntz")
     return rows.where(early), rows.where(~early)
 
 
 _PCTS = ["p5", "p25", "p50", "p75", "p95"]
 
 
-@query("drift_profile", "J1", tidy_sql(S.with_ctes(*S.WITH_ATR, _LONGREF) + """
+@query("drift_profile", "J1", tidy_sql(S.with_ctes(*S.WITH_ATR_1W, _LONGREF) + """
 SELECT feature, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std, """ + ", ".join(
     f"quantile_cont(v, 0.{p[1:].zfill(2)}) AS {p}" for p in _PCTS) + " FROM lr WHERE ref GROUP BY 1",
     ["mean", "std", *_PCTS], ["feature", "n"]))
@@ -406,25 +406,25 @@ def drift_profile(spark, sf):
     return tidy(drift.profile(_drift_sides(spark, sf)[0], _DF), ["feature", "n", "mean", "std", *_PCTS])
 
 
-@query("drift_ks", "J2", tidy_sql(S.with_ctes(*S.WITH_ATR, _LONGREF, _KS) + "SELECT * FROM ks",
+@query("drift_ks", "J2", tidy_sql(S.with_ctes(*S.WITH_ATR_1W, _LONGREF, _KS) + "SELECT * FROM ks",
        ["ks_stat"], ["feature", "n_ref", "n_live"]))
 def drift_ks(spark, sf):
     return tidy(drift.ks_statistic(drift.compare(*_drift_sides(spark, sf), _DF)))
 
 
-@query("drift_ks_p", "J3", tidy_sql(S.with_ctes(*S.WITH_ATR, _LONGREF, _KS, _KSP) + "SELECT * FROM kp",
+@query("drift_ks_p", "J3", tidy_sql(S.with_ctes(*S.WITH_ATR_1W, _LONGREF, _KS, _KSP) + "SELECT * FROM kp",
        ["ks_p"], ["feature"]))
 def drift_ks_p(spark, sf):
     ks = drift.ks_statistic(drift.compare(*_drift_sides(spark, sf), _DF))
     return tidy(drift.ks_p_value(ks), ["feature", "ks_p"])
 
 
-@query("drift_psi", "J4", tidy_sql(S.with_ctes(*S.WITH_ATR, _LONGREF, *_PSI) + "SELECT * FROM ps", ["psi"], ["feature"]))
+@query("drift_psi", "J4", tidy_sql(S.with_ctes(*S.WITH_ATR_1W, _LONGREF, *_PSI) + "SELECT * FROM ps", ["psi"], ["feature"]))
 def drift_psi(spark, sf):
     return tidy(drift.psi(drift.compare(*_drift_sides(spark, sf), _DF), _DF))
 
 
-_REPORT = S.with_ctes(*S.WITH_ATR, _LONGREF, _KS, _KSP, *_PSI)
+_REPORT = S.with_ctes(*S.WITH_ATR_1W, _LONGREF, _KS, _KSP, *_PSI)
 
 
 @query("drift_report", "J5", _REPORT + """

@@ -67,7 +67,7 @@ def stream_online(spark, sf):
     rows = _model_rows(spark, sf).select("timestamp", *FEATURES, "y")
     source = scratch_path(spark, "rows")
     # Two deliveries, read one file at a time.
-    half = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz")
+    half = F.col("timestamp") < F.lit("1998-07-01").cast("timestamp_ntz")
     for part in (rows.where(half), rows.where(~half)):
         part.coalesce(1).write.mode("append").parquet(source)
     model = OnlineSoftmax(FEATURES)

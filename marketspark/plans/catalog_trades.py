@@ -7,21 +7,29 @@ from pyspark.sql import functions as F
 from marketspark.operators import backtest, reports
 from marketspark.operators.select import label_to_signal
 from marketspark.plans import sqlparts as S
-from marketspark.plans.common import labelled_1h
+from marketspark.plans.common import labelled_1h, labelled_1w
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.session import stage
 
 _RULES = dict(tp_r=1.5, sl_r=1.0, commission=0.1)
+# Weekly ranges of the supplier symbols are in the thousands, so is a fair fee.
+_RULES_1W = dict(tp_r=1.5, sl_r=1.0, commission=200.0)
 
 
-def _signal_bars(spark, sf):
-    df = labelled_1h(spark, sf, staged=False).withColumn("signal", label_to_signal("label_10"))
+def _signal_bars(spark, sf, base=labelled_1w):
+    df = base(spark, sf, staged=False).withColumn("signal", label_to_signal("label_10"))
     return backtest.indexed_bars(df.select(
         "symbol", "timestamp", "month", "open", "high", "low", "close", "atr_14", "signal", "label_10"))
 
 
 def _trades(spark, sf):
-    return backtest.simulate_trades(_signal_bars(spark, sf), **_RULES)
+    """Trades of every supplier symbol on weekly bars."""
+    return backtest.simulate_trades(_signal_bars(spark, sf), **_RULES_1W)
+
+
+def _trades_1h(spark, sf):
+    """Trades of the event series on hourly bars, where entry hours differ."""
+    return backtest.simulate_trades(_signal_bars(spark, sf, labelled_1h), **_RULES)
 
 
 def _candidate_sql(src: str, series: str, tp: str, sl: str, fee: str) -> str:
@@ -67,8 +75,9 @@ def _walk_sql(series: str) -> str:
 _SIGNALS = """sg AS (SELECT *, CASE WHEN label_10 > 0 THEN 1 WHEN label_10 < 0 THEN -1 ELSE 0 END AS signal
   FROM (SELECT * EXCLUDE (i), row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i,
     count(*) OVER (PARTITION BY symbol) AS n FROM lab))"""
-_CAND = [*S.LABELLED_1H, _SIGNALS, _candidate_sql("sg", "symbol", "1.5", "1.0", "0.1")]
+_CAND = [*S.LABELLED_1W, _SIGNALS, _candidate_sql("sg", "symbol", "1.5", "1.0", "200.0")]
 _TRADES = [*_CAND, _walk_sql("symbol")]
+_TRADES_1H = [*S.LABELLED_1H, _SIGNALS, _candidate_sql("sg", "symbol", "1.5", "1.0", "0.1"), _walk_sql("symbol")]
 _MONEY = ["entry_price", "exit_price", "pnl_r"]
 _FACTS = ["symbol", "entry_time", "exit_time", "signal", "bars_held", "reason", "weekday", "hour"]
 
@@ -76,7 +85,7 @@ _FACTS = ["symbol", "entry_time", "exit_time", "signal", "bars_held", "reason",
 @query("trade_candidates", "H1", tidy_sql(S.with_ctes(*_CAND) + "SELECT * FROM cd", _MONEY, _FACTS)
        .replace("SELECT * FROM cd", "SELECT * REPLACE (CASE WHEN reason IS NOT NULL THEN exit_price END AS exit_price) FROM cd"))
 def trade_candidates(spark, sf):
-    return tidy(backtest.trade_candidates(_signal_bars(spark, sf), **_RULES), [*_FACTS, *_MONEY])
+    return tidy(backtest.trade_candidates(_signal_bars(spark, sf), **_RULES_1W), [*_FACTS, *_MONEY])
 
 
 @query("simulate_trades", "H1, A14", tidy_sql(S.with_ctes(*_TRADES) + "SELECT * FROM tr", _MONEY, _FACTS))
@@ -88,7 +97,7 @@ def simulate_trades(spark, sf):
     S.with_ctes(*_TRADES) + "SELECT * FROM tr", _MONEY, _FACTS))
 def simulate_trades_short_blocks(spark, sf):
     """The same trades with the shortest blocks, so that most trades cross a border."""
-    return tidy(backtest.simulate_trades(_signal_bars(spark, sf), block=12, **_RULES), [*_FACTS, *_MONEY])
+    return tidy(backtest.simulate_trades(_signal_bars(spark, sf), block=12, **_RULES_1W), [*_FACTS, *_MONEY])
 
 
 def _curve_ctes(series: str = "symbol") -> list[str]:
@@ -165,8 +174,8 @@ def drawdown_events(spark, sf):
 
 @query("drawdown_summary", "H5", tidy_sql(S.with_ctes(*_EVENTS) + """
 SELECT symbol, max(dd) AS max_drawdown, coalesce(avg(dd) FILTER (dd > 0), 0) AS avg_drawdown,
-  (SELECT count(*) FROM ev) AS n_events,
-  coalesce((SELECT avg(end_idx - trough_idx) FROM ev WHERE NOT ongoing AND end_idx > trough_idx), 0) AS avg_recovery
+  (SELECT count(*) FROM ev WHERE ev.symbol = isl.symbol) AS n_events,
+  coalesce((SELECT avg(end_idx - trough_idx) FROM ev WHERE ev.symbol = isl.symbol AND NOT ongoing AND end_idx > trough_idx), 0) AS avg_recovery
 FROM isl GROUP BY symbol""", ["max_drawdown", "avg_drawdown", "avg_recovery"], ["symbol", "n_events"]))
 def drawdown_summary(spark, sf):
     curve = stage(backtest.equity_curve(_trades(spark, sf)), "curve")
@@ -184,12 +193,12 @@ _DRAWS = """dr AS (SELECT p.path, s.t AS step, s.n,
    FROM d2 JOIN tr ON tr.t = d2.h % d2.n)"""
 
 
-@query("bootstrap_bands", "H6", tidy_sql(S.with_ctes(*_TRADES, _DRAWS) + """
+@query("bootstrap_bands", "H6", tidy_sql(S.with_ctes(*_TRADES_1H, _DRAWS) + """
 SELECT step, avg(equity) AS equity_mean, quantile_cont(equity, 0.025) AS lower_95, quantile_cont(equity, 0.16) AS lower_68,
   quantile_cont(equity, 0.84) AS upper_68, quantile_cont(equity, 0.975) AS upper_95 FROM cu GROUP BY step""",
     ["equity_mean", "lower_95", "lower_68", "upper_68", "upper_95"], ["step"]))
 def bootstrap_bands(spark, sf):
-    return tidy(backtest.bootstrap_bands(_trades(spark, sf), block=64),
+    return tidy(backtest.bootstrap_bands(_trades_1h(spark, sf), block=64),
                 ["step", "equity_mean", "lower_95", "lower_68", "upper_68", "upper_95"])
 
 
@@ -200,7 +209,7 @@ _SOURCES = """sg2 AS (SELECT 'labels' AS source, symbol, timestamp, i, n, open,
 
 
 @query("eval_labels_vs_model", "H7", tidy_sql(S.with_ctes(
-    *S.LABELLED_1H, _SIGNALS, _SOURCES, _candidate_sql("sg2", "source, symbol", "1.5", "1.0", "0.1"),
+    *S.LABELLED_1W, _SIGNALS, _SOURCES, _candidate_sql("sg2", "source, symbol", "1.5", "1.0", "200.0"),
     _walk_sql("source, symbol"), *_curve_ctes("source, symbol")) + _metric_sql("source, symbol"),
     _METRICS, ["source", "symbol", "total_trades", "no_losses"]))
 def eval_labels_vs_model(spark, sf):
@@ -210,20 +219,23 @@ def eval_labels_vs_model(spark, sf):
     model = lagged(bars, {"_past": ("signal", 10)}).withColumn("signal", F.coalesce("_past", F.lit(0))).drop("_past")
     both = bars.withColumn("source", F.lit("labels")).unionByName(model.withColumn("source", F.lit("model")))
     keys = ("source", "symbol")
-    trades = backtest.simulate_trades(both, keys=keys, **_RULES)
+    trades = backtest.simulate_trades(both, keys=keys, **_RULES_1W)
     return tidy(backtest.backtest_metrics(trades, keys=keys),
                 ["source", "symbol", "total_trades", "no_losses", *_METRICS])
 
 
-_SETTINGS = [(1.5, 1.0, 0.1), (2.0, 1.0, 0.1), (3.0, 1.5, 0.0), (1.0, 0.5, 0.2)]
+_SETTINGS = [(1.5, 1.0, 50.0), (2.0, 1.0, 100.0), (3.0, 1.5, 200.0), (1.0, 0.5, 300.0)]
 _SWEEP = "sg3 AS (" + " UNION ALL ".join(
     f"SELECT *, {i} AS param_id, {tp} AS ptp, {sl} AS psl, {fee} AS pfee FROM sg"
     for i, (tp, sl, fee) in enumerate(_SETTINGS)) + ")"
 
 
 @query("backtest_sweep", "H12", tidy_sql(S.with_ctes(
-    *S.LABELLED_1H, _SIGNALS, _SWEEP, _candidate_sql("sg3", "symbol, param_id", "s.ptp", "s.psl", "s.pfee"),
-    _walk_sql("symbol, param_id"), *_curve_ctes("symbol, param_id")) + _metric_sql("symbol, param_id"),
+    *S.LABELLED_1W, _SIGNALS, _SWEEP, _candidate_sql("sg3", "symbol, param_id", "s.ptp", "s.psl", "s.pfee"),
+    _walk_sql("symbol, param_id"), *_curve_ctes("symbol, param_id"), f"mt AS ({_metric_sql('symbol, param_id')})")
+    + "SELECT a.symbol, a.param_id, coalesce(total_trades, 0) AS total_trades, coalesce(no_losses, 0) AS no_losses, "
+    + ", ".join(f"CASE WHEN total_trades IS NULL THEN {10000 if m == 'final_capital' else 0} ELSE {m} END AS {m}" for m in _METRICS)
+    + " FROM (SELECT DISTINCT symbol, param_id FROM sg3) a LEFT JOIN mt USING (symbol, param_id)",
     _METRICS, ["symbol", "param_id", "total_trades", "no_losses"]))
 def backtest_sweep(spark, sf):
     return tidy(backtest.sweep(_signal_bars(spark, sf), _SETTINGS),
@@ -234,21 +246,21 @@ def backtest_sweep(spark, sf):
 _HEAT = [f"{d}_mean" for d in reports.DAYS]
 
 
-@query("pnl_heatmap", "H8", tidy_sql(S.with_ctes(*_TRADES) + "SELECT h.hour, " + ", ".join(
+@query("pnl_heatmap", "H8", tidy_sql(S.with_ctes(*_TRADES_1H) + "SELECT h.hour, " + ", ".join(
     f"coalesce(avg(pnl_r) FILTER (weekday = {k}), 0) AS {d}_mean, count(*) FILTER (weekday = {k}) AS {d}_count"
     for k, d in enumerate(reports.DAYS))
     + " FROM (SELECT unnest(range(0, 24)) AS hour) h LEFT JOIN tr USING (hour) GROUP BY 1",
     _HEAT, ["hour", *[f"{d}_count" for d in reports.DAYS]]))
 def pnl_heatmap(spark, sf):
-    return tidy(reports.pnl_heatmap(_trades(spark, sf)))
+    return tidy(reports.pnl_heatmap(_trades_1h(spark, sf)))
 
 
 def _register_win_rate(by: str) -> None:
-    @query(f"win_rate_by_{by}", "H9", tidy_sql(S.with_ctes(*_TRADES) + f"""
+    @query(f"win_rate_by_{by}", "H9", tidy_sql(S.with_ctes(*_TRADES_1H) + f"""
 SELECT {by}, count(*) AS total, count(*) FILTER (pnl_r > 0) AS wins,
   100.0 * count(*) FILTER (pnl_r > 0) / count(*) AS win_rate FROM tr GROUP BY 1""", ["win_rate"], [by, "total", "wins"]))
     def run(spark, sf):
-        return tidy(reports.win_rate(_trades(spark, sf), by))
+        return tidy(reports.win_rate(_trades_1h(spark, sf), by))
 
 
 for _by in ("hour", "weekday"):
@@ -258,11 +270,11 @@ _ATTR = {"signal": "signal", "weekday": "CAST(weekday AS VARCHAR)", "reason": "r
          "session": "CASE WHEN hour BETWEEN 8 AND 15 THEN 'London' WHEN hour BETWEEN 16 AND 20 THEN 'New York' ELSE 'Asia' END"}
 
 
-@query("pnl_attribution", "H10", tidy_sql(S.with_ctes(*_TRADES) + " UNION ALL ".join(
+@query("pnl_attribution", "H10", tidy_sql(S.with_ctes(*_TRADES_1H) + " UNION ALL ".join(
     f"SELECT '{d}' AS dimension, {v} AS value, sum(pnl_r) AS pnl_r, count(*) AS trades FROM tr GROUP BY 2"
     for d, v in _ATTR.items()), ["pnl_r"], ["dimension", "value", "trades"]))
 def pnl_attribution(spark, sf):
-    return tidy(reports.pnl_attribution(_trades(spark, sf)))
+    return tidy(reports.pnl_attribution(_trades_1h(spark, sf)))
 
 
 def _hist_sql(kind: str, col: str, bins: int) -> str:
@@ -271,9 +283,9 @@ def _hist_sql(kind: str, col: str, bins: int) -> str:
   FROM tr, (SELECT CAST(min({col}) AS DOUBLE) AS lo, CAST(max({col}) AS DOUBLE) AS hi FROM tr) GROUP BY 2"""
 
 
-@query("trade_histograms", "H11", S.with_ctes(*_TRADES) + " UNION ALL ".join([
+@query("trade_histograms", "H11", S.with_ctes(*_TRADES_1H) + " UNION ALL ".join([
     _hist_sql("pnl", "pnl_r", 30), _hist_sql("duration", "bars_held", 20),
     "SELECT 'hour', CAST(hour AS VARCHAR), count(*) FROM tr GROUP BY 2",
     "SELECT 'reason', reason, count(*) FROM tr GROUP BY 2"]))
 def trade_histograms(spark, sf):
-    return reports.trade_histograms(stage(_trades(spark, sf), "trades"))
+    return reports.trade_histograms(stage(_trades_1h(spark, sf), "trades"))

@@ -25,6 +25,16 @@ def bars_1d(spark, sf, *, source=views.ticks_long, min_ticks=5, staged=False):
     return stage(df, "bars") if staged else df
 
 
+def labelled_1w(spark, sf, *, staged=True):
+    """Weekly bars of every supplier symbol over seven years, with ATR and labels.
+
+    Whole-series groups: the number of series grows with the tables.
+    """
+    bars = stage(resample(views.ticks_many(spark, sf), "1W", min_ticks=1, tie_col="seq"), "bars")
+    df = add_labels(stage(atr(bars, ("symbol",)), "atr"), partition_cols=("symbol",))
+    return stage(df, "labelled") if staged else df
+
+
 def labelled_1h(spark, sf, *, staged=True):
     """Hourly bars with ATR and the three labels; written once because most users read it twice."""
     df = add_labels(atr(bars_1h(spark, sf)))

@@ -36,7 +36,7 @@ def bars(source: str, name: str, interval: str, min_ticks: int = 5) -> str:
          CAST(count(*) AS INTEGER) AS tick_count,
          strftime(time_bucket(INTERVAL '{interval}', timestamp), '%Y-%m') AS month
   FROM {source}
-  GROUP BY 1, 2, month
+  GROUP BY 1, 2, 9
   HAVING count(*) >= {min_ticks}
      AND last((bid + ask) / 2 ORDER BY timestamp, seq) > 0
      AND first((bid + ask) / 2 ORDER BY timestamp, seq) > 0)"""
@@ -123,3 +123,10 @@ WITH_ATR = [
     "ba AS (SELECT x.*, atr_s.y AS atr_14 FROM x LEFT JOIN atr_s USING (symbol, month, i))",
 ]
 LABELLED_1H = [*WITH_ATR, labels_cte("ba")]
+
+# Weekly bars of all supplier symbols, whole-series groups.
+WITH_ATR_1W = [
+    TICKS_MANY + ", " + bars("ticks_many", "b", "7 days", 1), numbered(keys="symbol"), atr_cte(keys="symbol"),
+    "ba AS (SELECT x.*, atr_s.y AS atr_14 FROM x LEFT JOIN atr_s USING (symbol, i))",
+]
+LABELLED_1W = [*WITH_ATR_1W, labels_cte("ba", keys="symbol")]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from marketspark.functions.timecols import bucket_us, from_micros, micros, month_of
+from marketspark.functions.timecols import bucket_us, from_micros, micros
 from marketspark.operators import drift
 from marketspark.operators.models import OnlineSoftmax
 from marketspark.session import scratch_path
@@ -33,6 +33,11 @@ def tick_stream(
     return reader.parquet(folder)
 
 
+def _event_time(ticks: DataFrame) -> DataFrame:
+    """Watermarks need a zoned timestamp; the session zone is UTC."""
+    return ticks.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
 def bar_stream(
     ticks: DataFrame, window: str = "1 hour", *, watermark: str = "2 hours", min_ticks: int = 5,
     keys: Sequence[str] = ("symbol",),
@@ -41,7 +46,7 @@ def bar_stream(
     mid = (F.col("bid") + F.col("ask")) / 2
     us = micros(F.col("timestamp"))
     bars = (
-        ticks.withWatermark("timestamp", watermark)
+        _event_time(ticks).withWatermark("timestamp", watermark)
         .groupBy(*keys, F.window("timestamp", window).alias("_w"))
         .agg(
             F.min_by(mid, us).alias("open"), F.max(mid).alias("high"), F.min(mid).alias("low"),
@@ -52,14 +57,16 @@ def bar_stream(
     )
     return bars.where(
         (F.col("tick_count") >= min_ticks) & (F.col("close") > 0) & (F.col("open") > 0)
-    ).select(*keys, F.col("_w.start").alias("timestamp"), "open", "high", "low", "close", "volume", "tick_count")
+    ).select(*keys, F.col("_w.start").cast("timestamp_ntz").alias("timestamp"), "open", "high", "low", "close", "volume", "tick_count")
 
 
 def dedupe_stream(
     ticks: DataFrame, *, watermark: str = "2 hours", keys: Sequence[str] = ("symbol", "timestamp")
 ) -> DataFrame:
     """One tick per key while its watermark lasts; the first to arrive stays."""
-    return ticks.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(list(keys))
+    kept = _event_time(ticks).withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(list(keys))
+    return kept.select(*[
+        F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else c for c in ticks.columns])
 
 
 def run_to_table(stream: DataFrame, path: str, *, checkpoint: str | None = None) -> DataFrame:
@@ -151,7 +158,3 @@ def online_batches(model: OnlineSoftmax) -> Callable[[DataFrame, int], None]:
         model.learn(batch)
 
     return handle
-
-
-def with_month(ticks: DataFrame) -> DataFrame:
-    return ticks.withColumn("month", month_of(F.col("timestamp")))
