@@ -29,26 +29,45 @@ def bounded(partition_cols: Sequence[str]) -> bool:
     return "month" in partition_cols
 
 
-def row_index(df: DataFrame, keys: Sequence[str], block: str, order: str) -> DataFrame:
+def row_index(
+    df: DataFrame, keys: Sequence[str], order: str, *, previous: dict[str, str] | None = None
+) -> DataFrame:
     """Add ``idx`` (0-based position) and ``n`` (series length) per key.
 
-    ``block`` must grow with ``order``. Positions inside a block come from a
-    window, block offsets from a running sum over the block counts.
+    ``order`` is a timestamp; blocks are calendar years, so one task sorts at
+    most a year of one series. Positions inside a block come from a window,
+    block offsets from running sums over one summary row per (key, year).
+    ``previous`` adds the previous row's values (``{new name: column}``, columns
+    without nulls) in the same pass. A frame that has ``idx`` is not renumbered.
     """
-    per_block = df.groupBy(*keys, block).agg(F.count(F.lit(1)).alias("_size"))
-    over_blocks = W.partitionBy(*keys).orderBy(block)
+    if "idx" in df.columns and "n" in df.columns and not previous:
+        return df
+    previous = previous or {}
+    df = df.drop("idx", "n").withColumn("_year", F.year(order))
+    per_block = df.groupBy(*keys, "_year").agg(
+        F.count(F.lit(1)).alias("_size"),
+        *[F.max_by(src, order).alias(f"_tail_{name}") for name, src in previous.items()],
+    )
+    over_blocks = W.partitionBy(*keys).orderBy("_year")
     offsets = per_block.select(
         *keys,
-        block,
+        "_year",
         (F.sum("_size").over(over_blocks) - F.col("_size")).alias("_offset"),
         F.sum("_size").over(W.partitionBy(*keys)).alias("n"),
+        *[F.lag(f"_tail_{name}").over(over_blocks).alias(f"_in_{name}") for name in previous],
     )
-    inside = W.partitionBy(*keys, block).orderBy(order)
-    numbered = df.withColumn("_pos", F.row_number().over(inside) - 1)
+    inside = W.partitionBy(*keys, "_year").orderBy(order)
+    numbered = df.withColumns({
+        "_pos": F.row_number().over(inside) - 1,
+        **{f"_lag_{name}": F.lag(src).over(inside) for name, src in previous.items()},
+    })
     return (
-        numbered.join(offsets, [*keys, block])
-        .withColumn("idx", F.col("_offset") + F.col("_pos"))
-        .drop("_offset", "_pos")
+        numbered.join(offsets, [*keys, "_year"])
+        .withColumns({
+            "idx": F.col("_offset") + F.col("_pos"),
+            **{name: F.coalesce(F.col(f"_lag_{name}"), F.col(f"_in_{name}")) for name in previous},
+        })
+        .drop("_year", "_offset", "_pos", *[f"_{t}_{name}" for name in previous for t in ("lag", "in")])
     )
 
 

@@ -15,9 +15,9 @@ SERIES = ("symbol",)
 TRADE_BLOCK = 1024
 
 
-def indexed_bars(df: DataFrame, keys: Sequence[str] = SERIES, block: str = "month") -> DataFrame:
+def indexed_bars(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Bars with their position ``idx`` and series length ``n``, written once."""
-    return stage(row_index(df, keys, block, "timestamp"), "indexed")
+    return stage(row_index(df, keys, "timestamp"), "indexed")
 
 
 def trade_candidates(
@@ -246,12 +246,9 @@ def equity_curve(
 
 
 def _trade_numbers(trades: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number trades per series in exit order, block by calendar month of entry."""
-    monthly = trades.withColumn("_m", F.trunc(F.col("entry_time").cast("date"), "month"))
-    return (
-        row_index(monthly.drop("idx"), keys, "_m", "entry_time")
-        .withColumnRenamed("idx", "i").drop("_m", "n", "exit_idx")
-    )
+    """Number trades per series in exit order (which is entry order: they do not overlap)."""
+    numbered = row_index(trades.drop("idx", "exit_idx"), keys, "entry_time")
+    return numbered.withColumnRenamed("idx", "i").drop("n")
 
 
 def backtest_metrics(
@@ -393,11 +390,8 @@ def bootstrap_bands(
     steps, so even a very long path is spread over tasks.
     """
     numbered = stage(
-        row_index(
-            trades.select(*keys, "entry_time", "pnl_r").withColumn(
-                "_m", F.trunc(F.col("entry_time").cast("date"), "month")),
-            keys, "_m", "entry_time",
-        ).select(*keys, F.col("idx").alias("i"), "n", "pnl_r"),
+        row_index(trades.select(*keys, "entry_time", "pnl_r"), keys, "entry_time").select(
+            *keys, F.col("idx").alias("i"), "n", "pnl_r"),
         "returns",
     )
     spark = trades.sparkSession

@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from marketspark.functions.scans import Ewm, bounded, ewm_scan, previous_row, row_index
+from marketspark.functions.scans import Ewm, bounded, ewm_scan, row_index
 from marketspark.operators.sessions import MONTHLY
+from marketspark.session import stage
 
 
 def _positioned(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Add ``idx`` and the previous close ``_prev_close``.
 
-    Whole-series groups are numbered block by block (``month`` blocks).
+    Whole-series groups are numbered block by block and written once, because
+    the scans read them several times.
     """
     if bounded(partition_cols):
         w = W.partitionBy(*partition_cols).orderBy("timestamp")
@@ -23,8 +25,8 @@ def _positioned(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
             "idx": F.row_number().over(w).cast("long") - 1,
             "_prev_close": F.lag("close").over(w),
         })
-    df = previous_row(df, partition_cols, "month", "timestamp", {"_prev_close": "close"})
-    return row_index(df, partition_cols, "month", "timestamp").drop("n")
+    return stage(
+        row_index(df, partition_cols, "timestamp", previous={"_prev_close": "close"}), "series")
 
 
 def _ema_specs(periods: Sequence[int]) -> list[Ewm]:
@@ -60,10 +62,13 @@ def add_indicators(
 ) -> DataFrame:
     """Any selection of the indicators in one or two shared scans.
 
-    Values are null until an indicator's seed is complete. All first-level
+    Values are null until an indicator's seed is complete. Whole-series results
+    keep the row position ``idx`` and series length ``n``. All first-level
     averages run in one scan; only the MACD signal needs a second one.
     """
     columns = list(df.columns)
+    if not bounded(partition_cols):
+        columns += [c for c in ("idx", "n") if c not in columns]
     df = _positioned(df, partition_cols)
     specs = _ema_specs(ema_periods)
     helpers: dict[str, Column] = {}

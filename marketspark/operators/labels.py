@@ -55,11 +55,11 @@ def _look_ahead(
     df: DataFrame, ahead: dict[int, str], keys: Sequence[str], block: int = 4096
 ) -> DataFrame:
     """Future closes of a whole series, cut into overlapping runs of rows."""
-    indexed = row_index(df, keys, "month", "timestamp")
+    indexed = row_index(df, keys, "timestamp")
     rows = halo_blocks(indexed, block, after=max(ahead))
     w = W.partitionBy(*keys, "blk").orderBy("idx")
     rows = rows.withColumns({name: F.lead("close", h).over(w) for h, name in ahead.items()})
-    return rows.where("core").select(*df.columns, *ahead.values())
+    return rows.where("core").drop("blk", "core")
 
 
 def class_balance(df: DataFrame, label_col: str) -> DataFrame:

@@ -99,10 +99,10 @@ def tail(df: DataFrame, n: int, *order: str) -> DataFrame:
 
 
 def chrono_split(
-    df: DataFrame, test_size: float = 0.2, keys: Sequence[str] = ("symbol",), block: str = "month"
+    df: DataFrame, test_size: float = 0.2, keys: Sequence[str] = ("symbol",)
 ) -> DataFrame:
     """Mark the first ``int(n * (1 - test_size))`` rows of each series as train."""
-    indexed = row_index(df, keys, "timestamp", block)
+    indexed = row_index(df, keys, "timestamp")
     cut = F.floor(F.col("n") * (1.0 - test_size))
     return indexed.withColumn(
         "split", F.when(F.col("idx") < cut, "train").otherwise("test")

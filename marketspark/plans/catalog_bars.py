@@ -347,7 +347,7 @@ def date_range_filter(spark, sf):
 @query("feature_columns", "B3", S.with_ctes(*S.LABELLED_1W) + """
 SELECT 'volume' AS feature, count(volume) AS n FROM lab UNION ALL SELECT 'atr_14', count(atr_14) FROM lab""")
 def feature_columns(spark, sf):
-    df = labelled_1w(spark, sf)
+    df = labelled_1w(spark, sf).drop("idx", "n")
     names = select.numeric_feature_columns(df)
     return df.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "n")
 
@@ -371,7 +371,7 @@ def chrono_split(spark, sf):
 SELECT symbol, timestamp, CASE WHEN label_10 > 0 THEN 1 WHEN label_10 < 0 THEN -1 ELSE 0 END AS signal,
   label_10 + 2 AS encoded FROM lab""")
 def signal_map(spark, sf):
-    df = labelled_1w(spark, sf)
+    df = labelled_1w(spark, sf).drop("idx", "n")
     return df.select("symbol", "timestamp", select.label_to_signal("label_10").alias("signal"),
                      select.encode_label("label_10").alias("encoded"))
 
@@ -389,7 +389,7 @@ SELECT c.label, count(l.label_10) AS n,
   coalesce(round(count(l.label_10) / (SELECT nullif(count(label_10), 0) FROM lab), 4), 0.0) AS ratio
 FROM (SELECT unnest([-2, -1, 0, 1, 2]) AS label) c LEFT JOIN lab l ON l.label_10 = c.label GROUP BY 1""")
 def class_balance(spark, sf):
-    return labels.class_balance(labelled_1w(spark, sf), "label_10")
+    return labels.class_balance(labelled_1w(spark, sf).drop("idx", "n"), "label_10")
 
 
 @query("dataset_summary", "C15", S.with_ctes(*S.LABELLED_1W) + """
@@ -398,7 +398,7 @@ SELECT symbol, count(*) AS rows, 16 AS columns, min(timestamp) AS first_ts, max(
     + (label_5 IS NULL)::INT + (label_10 IS NULL)::INT + (label_20 IS NULL)::INT)::BIGINT AS null_cells
 FROM lab GROUP BY symbol""")
 def dataset_summary(spark, sf):
-    return select.dataset_summary(labelled_1w(spark, sf))
+    return select.dataset_summary(labelled_1w(spark, sf).drop("idx", "n"))
 
 
 _FEATS = ["volume", "tick_count", "atr_14", "close"]
@@ -408,7 +408,7 @@ _FEATS = ["volume", "tick_count", "atr_14", "close"]
     f"SELECT '{a}' AS a, '{b}' AS b, " + (f"CASE WHEN count({a}) > 0 THEN 1.0 END" if a == b else f"corr({a}, {b})") + " AS corr FROM ba"
     for i, a in enumerate(_FEATS) for b in _FEATS[i:]), ["corr"], ["a", "b"]))
 def feature_corr(spark, sf):
-    return tidy(select.correlations(labelled_1w(spark, sf), _FEATS))
+    return tidy(select.correlations(labelled_1w(spark, sf).drop("idx", "n"), _FEATS))
 
 
 @query("feature_quantiles", "C17", tidy_sql(S.with_ctes(*S.WITH_ATR_1W) + " UNION ALL ".join(
@@ -418,4 +418,4 @@ def feature_corr(spark, sf):
 def feature_quantiles(spark, sf):
     from marketspark.functions.quantiles import feature_quantiles as fq
 
-    return tidy(fq(labelled_1w(spark, sf), _FEATS, (0.0, 0.25, 0.5, 0.75, 1.0)))
+    return tidy(fq(labelled_1w(spark, sf).drop("idx", "n"), _FEATS, (0.0, 0.25, 0.5, 0.75, 1.0)))

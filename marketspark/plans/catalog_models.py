@@ -18,7 +18,7 @@ KEY = ["symbol", "timestamp"]
 
 
 def _indexed(df):
-    return stage(row_index(df, ("symbol",), "month", "timestamp"), "rows")
+    return stage(row_index(df, ("symbol",), "timestamp"), "rows")
 
 
 def _model_rows(spark, sf):

@@ -18,8 +18,8 @@ _RULES_1W = dict(tp_r=1.5, sl_r=1.0, commission=200.0)
 
 def _signal_bars(spark, sf, base=labelled_1w):
     df = base(spark, sf, staged=False).withColumn("signal", label_to_signal("label_10"))
-    return backtest.indexed_bars(df.select(
-        "symbol", "timestamp", "month", "open", "high", "low", "close", "atr_14", "signal", "label_10"))
+    cols = ["symbol", "timestamp", "month", "open", "high", "low", "close", "atr_14", "signal", "label_10"]
+    return backtest.indexed_bars(df.select(*cols, *[c for c in ("idx", "n") if c in df.columns]))
 
 
 def _trades(spark, sf):

@@ -31,7 +31,7 @@ def labelled_1w(spark, sf, *, staged=True):
     Whole-series groups: the number of series grows with the tables.
     """
     bars = stage(resample(views.ticks_many(spark, sf), "1W", min_ticks=1, tie_col="seq"), "bars")
-    df = add_labels(stage(atr(bars, ("symbol",)), "atr"), partition_cols=("symbol",))
+    df = add_labels(atr(bars, ("symbol",)), partition_cols=("symbol",))
     return stage(df, "labelled") if staged else df
 
 
