@@ -146,6 +146,18 @@ class Ewm:
     def decay(self) -> float:
         return 1.0 - self.alpha
 
+    def __post_init__(self) -> None:
+        if self.period < 2 or not 0.0 < self.alpha < 1.0:
+            raise ValueError("period must be at least 2 and alpha between 0 and 1")
+
+    @property
+    def longest_block(self) -> int:
+        """Longest block whose weights stay inside the range of a double."""
+        return int(690 / -math.log(self.decay))
+
+    def fits(self, block: int) -> bool:
+        return self.seed_at < block <= self.longest_block
+
     def reach(self, block: int) -> int:
         """How many earlier blocks still carry weight into the current one."""
         return max(1, math.ceil(_NEGLIGIBLE / (-math.log(self.decay) * block)))
@@ -157,7 +169,7 @@ def ewm_scan(
     partition_cols: Sequence[str],
     *,
     idx: str = "idx",
-    block: int = SCAN_BLOCK,
+    block: int | None = None,
     across: str | None = None,
 ) -> DataFrame:
     """Add one column per spec; null before its seed position.
@@ -170,11 +182,19 @@ def ewm_scan(
     that every block is its own task.
     """
     across = across or ("window" if bounded(partition_cols) else "join")
+    if block is None:
+        # Very short and very long periods need a block length of their own.
+        block = SCAN_BLOCK
+        for spec in [s for s in specs if not s.fits(block)]:
+            own = min(spec.longest_block, max(block, spec.seed_at + 1))
+            df = ewm_scan(df, [spec], partition_cols, idx=idx, block=own, across=across)
+        specs = [s for s in specs if s.fits(block)]
+        if not specs:
+            return df
     for spec in specs:
-        if spec.seed_at >= block:
-            raise ValueError(f"period of {spec.name} needs a block longer than {block}")
-        if -math.log(spec.decay) * block > 690:
-            raise ValueError(f"block {block} overflows the weights of {spec.name}")
+        if not spec.fits(block):
+            raise ValueError(
+                f"block {block} does not suit {spec.name}: {spec.seed_at + 1} to {spec.longest_block}")
     position = F.col(idx)
     df = df.withColumns({
         "_blk": F.floor(position / block),
