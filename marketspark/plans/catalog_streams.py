@@ -66,11 +66,11 @@ def stream_drift(spark, sf):
 def stream_online(spark, sf):
     rows = _model_rows(spark, sf).select("timestamp", *FEATURES, "y")
     source = scratch_path(spark, "rows")
-    # Two deliveries, read one file at a time.
     half = F.col("timestamp") < F.lit("1998-07-01").cast("timestamp_ntz")
+    model, checkpoint = OnlineSoftmax(FEATURES), scratch_path(spark, "checkpoint")
+    # Two deliveries, each drained by a scheduled run that resumes the same checkpoint.
     for part in (rows.where(half), rows.where(~half)):
-        part.coalesce(1).write.mode("append").parquet(source)
-    model = OnlineSoftmax(FEATURES)
-    stream = streams.tick_stream(spark, source, rows.schema, files_per_trigger=1)
-    streams.run_batches(stream, streams.online_batches(model))
+        part.write.mode("append").parquet(source)
+        stream = streams.tick_stream(spark, source, rows.schema)
+        streams.run_batches(stream, streams.online_batches(model), checkpoint=checkpoint)
     return model.scores(spark)
