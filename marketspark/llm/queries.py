@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import simhash
+from marketspark.llm import packing, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,8 @@ def query(name: str, sql: str | None = None):
 def op10_simhash_near_dedup(spark, sf):
     found = simhash.near_duplicates(read(spark, sf, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark, sf):
+    return packing.pack(read(spark, sf, "documents"))
