@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import packing, simhash
+from marketspark.llm import lm, packing, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op10_simhash_near_dedup(spark, sf):
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark, sf):
     return packing.pack(read(spark, sf, "documents"))
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark, sf):
+    return lm.score(read(spark, sf, "documents"))
