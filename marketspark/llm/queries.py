@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import lm, packing, simhash
+from marketspark.llm import html, lm, packing, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op2_best_fit_packing(spark, sf):
 @query("op9_lm_scoring")
 def op9_lm_scoring(spark, sf):
     return lm.score(read(spark, sf, "documents"))
+
+
+@query("op6_html_extraction")
+def op6_html_extraction(spark, sf):
+    return html.main_text(read(spark, sf, "pages"))
