@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import html, lm, packing, simhash
+from marketspark.llm import decontaminate, html, lm, packing, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op9_lm_scoring(spark, sf):
 @query("op6_html_extraction")
 def op6_html_extraction(spark, sf):
     return html.main_text(read(spark, sf, "pages"))
+
+
+@query("op7_benchmark_decontamination")
+def op7_benchmark_decontamination(spark, sf):
+    return decontaminate.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
