@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import decontaminate, html, lm, packing, simhash
+from marketspark.llm import decontaminate, html, langid, lm, packing, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op6_html_extraction(spark, sf):
 @query("op7_benchmark_decontamination")
 def op7_benchmark_decontamination(spark, sf):
     return decontaminate.leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@query("op1_language_id")
+def op1_language_id(spark, sf):
+    return langid.identify(read(spark, sf, "documents"))
