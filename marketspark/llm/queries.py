@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import decontaminate, html, langid, lm, packing, simhash
+from marketspark.llm import decontaminate, html, langid, lm, packing, pii, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,13 @@ def op7_benchmark_decontamination(spark, sf):
 @query("op1_language_id")
 def op1_language_id(spark, sf):
     return langid.identify(read(spark, sf, "documents"))
+
+
+#: Surrogates follow from this key; a real run passes a secret of its own.
+DEMO_KEY = "demonstration"
+
+
+@query("op8_pii_surrogates")
+def op8_pii_surrogates(spark, sf):
+    found = pii.anonymise(read(spark, sf, "documents"), DEMO_KEY, count_col="n_replaced")
+    return found.select("doc_id", "text", "n_replaced")
