@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import decontaminate, html, langid, lm, packing, pii, simhash
+from marketspark.llm import chat, decontaminate, html, langid, lm, packing, pii, sharding, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,18 @@ DEMO_KEY = "demonstration"
 def op8_pii_surrogates(spark, sf):
     found = pii.anonymise(read(spark, sf, "documents"), DEMO_KEY, count_col="n_replaced")
     return found.select("doc_id", "text", "n_replaced")
+
+
+#: Bytes of text in a shard.
+SHARD_LIMIT = 1 << 20
+
+
+@query("op4_extendible_sharding", sharding.oracle(SHARD_LIMIT))
+def op4_extendible_sharding(spark, sf):
+    found = sharding.assign(read(spark, sf, "documents").select("doc_id", "text"), SHARD_LIMIT)
+    return found.select("doc_id", "n_bytes", "shard", "local_depth", "page", "shard_bytes")
+
+
+@query("op3_quotation_linking", chat.ORACLE)
+def op3_quotation_linking(spark, sf):
+    return chat.conversations(read(spark, sf, "conversations"))
