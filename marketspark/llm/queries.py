@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import chat, decontaminate, html, langid, lm, packing, pii, sharding, simhash
+from marketspark.llm import chat, decontaminate, html, langid, lm, packing, pii, search, sharding, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ def op4_extendible_sharding(spark, sf):
 @query("op3_quotation_linking", chat.ORACLE)
 def op3_quotation_linking(spark, sf):
     return chat.conversations(read(spark, sf, "conversations"))
+
+
+@query("op5_topk_search")
+def op5_topk_search(spark, sf):
+    docs = read(spark, sf, "documents")
+    return search.top_k(docs, docs.where("doc_id % 100 = 0"))
