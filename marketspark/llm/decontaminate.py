@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import prepare, text_or_empty
+from marketspark.llm.common import prepare, stage, text_or_empty
 
 Q = 8
 #: Items are searched in overlapping windows of this many normalised characters, a window starting every half.
@@ -245,5 +245,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found."""
-    hits = leaks(docs, benchmark, id_col).select(F.col(id_col).alias("_leaked")).distinct()
+    hits = stage(leaks(docs, benchmark, id_col).select(F.col(id_col).alias("_leaked")).distinct(), "leaks")
     return docs.join(hits, docs[id_col].eqNullSafe(hits["_leaked"]), "left_anti")

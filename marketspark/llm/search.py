@@ -16,6 +16,8 @@ from marketspark.llm.common import prepare, stage, text_or_empty
 K1, B = 1.2, 0.75
 #: Documents in a shard's index, and in a block of it.
 SHARD_DOCS, BLOCK_DOCS = 8192, 64
+#: Words in this share of a shard's documents or more, the commonest ones up to a number, are scored for all of them at once.
+COMMON_SHARE, COMMON_WORDS = 1 / 16, 512
 #: Distinct query terms (with repeats across queries) handled in one pass over the documents.
 PASS_TERMS = 2_000_000
 #: Scores are compared at this precision, so equal documents tie whatever the order of their sums.
@@ -96,6 +98,16 @@ class Shard:
         known = vocabulary[at] == flat if len(vocabulary) else np.zeros(len(flat), dtype=bool)
         at, doc, tf = at[known], doc[known], tf[known]
         gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[order][doc] / max(average, 1e-9)))
+        # Common words: a dense row each, so their sum is exact for every document and only rare words need a bound.
+        frequency = np.bincount(at, minlength=len(vocabulary))
+        common = np.argsort(-frequency, kind="stable")[:COMMON_WORDS]
+        common = common[frequency[common] >= max(1, COMMON_SHARE * len(order))]
+        self.row = np.full(len(vocabulary), -1)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(order)))
+        is_common = self.row[at] >= 0 if len(at) else np.zeros(0, dtype=bool)
+        self.dense[self.row[at[is_common]], doc[is_common]] = gain[is_common]
+        at, doc, gain = at[~is_common], doc[~is_common], gain[~is_common]
         by_term = np.argsort(at, kind="stable")
         at, self.doc, self.gain = at[by_term], doc[by_term], gain[by_term]
         self.blocks = -(-len(order) // BLOCK_DOCS)
@@ -108,16 +120,28 @@ class Shard:
         self.first = np.searchsorted(at[new], np.arange(len(vocabulary)))
         self.entries = np.searchsorted(at[new], np.arange(len(vocabulary)), side="right") - self.first
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    def common(self, terms: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+        """Score of every document from the common words alone, a row per query."""
+        asked = np.zeros((len(terms), len(self.dense)))
+        for q, (t, w) in enumerate(zip(terms, weights, strict=True)):
+            row = self.row[t]
+            asked[q, row[row >= 0]] = w[row >= 0]
+        return asked @ self.dense
+
+    def top(self, terms: np.ndarray, weights: np.ndarray, base: np.ndarray, k: int,
+            floor: float) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) that may be among the best ``k`` given that scores under ``floor`` are not.
 
-        Blocks are visited from the largest upper bound down. The first ones raise the floor to the k-th best score; after
+        ``base`` is the query's row of ``common``. The bound of a block is its largest base and each rare word's largest
+        gain. Blocks are visited from the largest bound down. The first ones raise the floor to the k-th best score; after
         that only blocks whose bound reaches it are scored.
         """
         n = self.entries[terms]
         entry = _ranges(self.first[terms], n)
         weight = np.repeat(weights, n)
-        bound = np.bincount(self.block[entry], weight * self.most[entry], minlength=self.blocks)
+        edge = np.arange(0, len(base), BLOCK_DOCS)
+        bound = np.maximum.reduceat(base, edge) + np.bincount(
+            self.block[entry], weight * self.most[entry], minlength=self.blocks)
         docs, scores = np.zeros(0, np.int64), np.zeros(0)
         left = np.flatnonzero((bound > 0) & (bound >= floor - _SLACK))
         left = left[np.argsort(-bound[left], kind="stable")]
@@ -129,9 +153,9 @@ class Shard:
             mine = chosen[self.block[entry]]
             e = entry[mine]
             posting = _ranges(self.start[e], self.size[e])
-            total = np.bincount(self.doc[posting], np.repeat(weight[mine], self.size[e]) * self.gain[posting],
-                                minlength=len(self.ids))
-            hit = np.flatnonzero(total > 0)
+            total = np.where(np.repeat(chosen, BLOCK_DOCS)[:len(base)], base, 0.0) + np.bincount(
+                self.doc[posting], np.repeat(weight[mine], self.size[e]) * self.gain[posting], minlength=len(base))
+            hit = np.flatnonzero((total > 0) & (total >= floor - _SLACK))
             docs, scores = np.r_[docs, hit], np.r_[scores, np.round(total[hit], DIGITS)]
             if len(scores) > k:
                 floor = max(floor, float(np.partition(scores, -k)[-k]))
@@ -221,7 +245,9 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
                               [np.frombuffer(t, np.uint64) for t in part["terms"]],
                               [np.frombuffer(c, "<u4") for c in part["counts"]], asked.vocabulary, average)
                 for q in range(len(asked.ids)):
-                    doc, score = shard.top(asked.terms[q], asked.weights[q], k, floors[q])
+                    if q % 64 == 0:
+                        base = shard.common(asked.terms[q:q + 64], asked.weights[q:q + 64])
+                    doc, score = shard.top(asked.terms[q], asked.weights[q], base[q % 64], k, floors[q])
                     if not len(doc):
                         continue
                     own = ids[shard.ids[doc]]
