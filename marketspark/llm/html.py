@@ -62,11 +62,11 @@ def _marks(tag: str, attrs: str) -> tuple[str, bool, bool]:
 def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, float]]]:
     """(tokens, texts): block tags in page order with "#" for each text, and (text, role, share of links) of each "#".
 
-    Role is "side" within menus, forms, comments and the like, "main" within an article, else "".
+    Tags carry their classes, leaves also their container, so that only parts in like places align. Role is "side" within menus, forms, comments and the like, "main" within an article, else "".
     """
     tokens: list[str] = []
     texts: list[tuple[str, str, float]] = []
-    stack: list[tuple[str, str]] = []      # (tag, role) of open containers and leaves
+    stack: list[tuple[str, str, str]] = []  # (tag, role, label) of open containers and leaves
     parts: list[str] = []
     linked, in_link, skip = 0, 0, []       # skip: open inline elements whose text goes
 
@@ -100,12 +100,12 @@ def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, float]]]:
             if closing:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
+                        if tag in CONTAINERS:
+                            tokens.append("/" + stack[i][2])
                         del stack[i:]
                         break
                     if tag in LEAVES and stack[i][0] in CONTAINERS:
                         break
-                if tag in CONTAINERS:
-                    tokens.append("/" + tag)
                 continue
             while stack and stack[-1][0] in LEAVES and not (tag in CONTAINERS and stack[-1][0] in ("li", "td", "th", "dd")):
                 stack.pop()
@@ -115,9 +115,12 @@ def page_tokens(page: str) -> tuple[list[str], list[tuple[str, str, float]]]:
                 role = "side"
             elif role == "" and (main or tag in ("article", "main")):
                 role = "main"
+            label = f"{tag}.{words}" if words else tag
+            if tag in LEAVES:
+                label += "<" + next((x[2] for x in reversed(stack) if x[0] in CONTAINERS), "")
             if tag != "hr":
-                stack.append((tag, role))
-            tokens.append(f"{tag}.{words}" if words else tag)
+                stack.append((tag, role, label))
+            tokens.append(label)
         elif tag in VOID:
             if tag == "br":
                 text(" ")
