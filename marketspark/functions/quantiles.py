@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from marketspark.functions.scans import UNBOUNDED
 from pyspark.sql.window import Window as W
 
-_BLOCKS = 64
+#: Values of one feature that a block holds on average, and the least and largest number of blocks; beyond
+#: that blocks grow, and their windows spill.
+_BLOCK_VALUES, _LEAST_BLOCKS, _MOST_BLOCKS = 500_000, 16, 10_000
 
 
 def _usable(value: Column) -> Column:
@@ -50,13 +52,14 @@ def cumulative(sides: Mapping[str, DataFrame], features: Sequence[str]) -> DataF
     for df in sides.values():
         rows = df.select(*[F.col(f).cast("double").alias(f) for f in features])
         wide = rows if wide is None else wide.unionByName(rows)
-    probs = F.array(*[F.lit(i / _BLOCKS) for i in range(1, _BLOCKS)])
+    blocks = min(_MOST_BLOCKS, max(_LEAST_BLOCKS, -(-wide.count() // _BLOCK_VALUES)))
+    probs = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
     # One row whatever the data size (a global aggregate), so the join below is
     # a single-row broadcast.
     splitters = wide.agg(F.map_from_arrays(
         F.array(*[F.lit(f) for f in features]),
         F.array(*[
-            F.array_distinct(F.coalesce(F.percentile_approx(f, probs, 1000), F.array().cast("array<double>")))
+            F.array_distinct(F.coalesce(F.percentile_approx(f, probs, 10 * blocks), F.array().cast("array<double>")))
             for f in features
         ]),
     ).alias("_splitters"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.functions.scans import previous_row
@@ -15,42 +15,36 @@ MIN_TICKS = 5
 _PRICES = ("open", "high", "low", "close", "volume", "tick_count")
 
 
+def tick_order(us: Column, mid: Column, tie: Column | None) -> Column:
+    """A total order of ticks: time, then arrival number (those without one last), then price."""
+    number = tie.cast("long") if tie is not None else F.lit(None).cast("long")
+    return F.struct(us.alias("us"), number.isNull().alias("unnumbered"), number.alias("number"), mid.alias("mid"))
+
+
 def _measures(ticks: DataFrame, keys: Sequence[str], tie_col: str | None) -> DataFrame:
-    """Ticks as one-tick bars: ``keys, _us`` and the bar columns.
+    """Ticks as one-tick bars: ``keys, _us, _at`` and the bar columns; ``_at`` orders them.
 
-    With ``tie_col`` equal timestamps are merged first, ordered by that column,
-    so the bucket aggregate can order by time alone. A single long ordering key
-    keeps both steps on hash aggregation; a struct key would force a sort.
+    Without ``tie_col`` a column named ``seq`` numbers the ticks, if there is one.
     """
+    tie_col = tie_col or ("seq" if "seq" in ticks.columns else None)
     mid = (F.col("bid") + F.col("ask")) / 2
     volume = (F.col("ask_volume") + F.col("bid_volume")) / 2
-    rows = ticks.select(
-        *keys, micros(F.col("timestamp")).alias("_us"), mid.alias("_mid"), volume.alias("_vol"),
-        *([F.col(tie_col).alias("_tie")] if tie_col else []),
-    )
-    if not tie_col:
-        return rows.select(
-            *keys, "_us",
-            *[F.col("_mid").alias(c) for c in ("open", "high", "low", "close")],
-            F.col("_vol").alias("volume"), F.lit(1).cast("long").alias("tick_count"),
-        )
-    return rows.groupBy(*keys, "_us").agg(
-        F.min_by("_mid", "_tie").alias("open"),
-        F.max("_mid").alias("high"),
-        F.min("_mid").alias("low"),
-        F.max_by("_mid", "_tie").alias("close"),
-        F.sum("_vol").alias("volume"),
-        F.count(F.lit(1)).alias("tick_count"),
+    us = micros(F.col("timestamp"))
+    at = tick_order(us, mid, F.col(tie_col) if tie_col else None)
+    return ticks.select(
+        *keys, us.alias("_us"), at.alias("_at"),
+        *[mid.alias(c) for c in ("open", "high", "low", "close")],
+        volume.alias("volume"), F.lit(1).cast("long").alias("tick_count"),
     )
 
 
-def _roll(fine: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Merge finer bars ordered by ``_us`` into one bar per group."""
+def _roll(fine: DataFrame, groups: Sequence[str], order: str = "_us") -> DataFrame:
+    """Merge finer bars into one bar per group; partial bars meet in one shuffle."""
     return fine.groupBy(*groups).agg(
-        F.min_by("open", "_us").alias("open"),
+        F.min_by("open", order).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", "_us").alias("close"),
+        F.max_by("close", order).alias("close"),
         F.sum("volume").alias("volume"),
         F.sum("tick_count").cast("int").alias("tick_count"),
     )
@@ -75,13 +69,14 @@ def resample(
 ) -> DataFrame:
     """OHLCV bars of the mid price; buckets are left closed and left labelled.
 
-    Set ``tie_col`` when timestamps repeat within a key. One shuffle on
+    Equal timestamps are ordered by ``tie_col`` (default ``seq``), then by price,
+    so bars never depend on the order of the input. One shuffle on
     ``(keys, bucket)`` after map-side aggregation, so a hot symbol is spread
     over its buckets and never gathers in one task.
     """
     seconds = timeframe_seconds(timeframe)
     fine = _measures(ticks, keys, tie_col).withColumn("_bucket", bucket_us(F.col("_us"), seconds))
-    bars = _sane(_roll(fine, [*keys, "_bucket"]), min_ticks)
+    bars = _sane(_roll(fine, [*keys, "_bucket"], "_at"), min_ticks)
     ts = from_micros(F.col("_bucket"))
     return bars.select(*keys, ts.alias("timestamp"), *_PRICES, month_of(ts).alias("month"))
 
@@ -106,7 +101,7 @@ def resample_many(
         raise ValueError(f"{odd} cannot be built from bars of {finest} s")
     base = _roll(
         _measures(ticks, keys, tie_col).withColumn("_base", bucket_us(F.col("_us"), finest)),
-        [*keys, "_base"],
+        [*keys, "_base"], "_at",
     ).withColumnRenamed("_base", "_us")
     targets = F.array(*[
         F.struct(F.lit(tf).alias("tf"), bucket_us(F.col("_us"), s).alias("_bucket"))

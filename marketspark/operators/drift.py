@@ -12,7 +12,6 @@ from marketspark.functions.quantiles import cumulative, rank_quantiles
 from marketspark.session import stage
 
 PROFILE_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
-_MAX_BROADCAST_FEATURES = 5000
 
 
 def _per_feature(df: DataFrame, features: Sequence[str], **aggs: Callable[[str], Column]) -> DataFrame:
@@ -24,22 +23,6 @@ def _per_feature(df: DataFrame, features: Sequence[str], **aggs: Callable[[str],
     ])))
 
 
-def first_values(df: DataFrame, features: Sequence[str], limit: int) -> DataFrame:
-    """The earliest ``limit`` non-null values of each feature, as the stored sample.
-
-    ``df`` must carry ``idx``. Only for parity with a capped reference sample;
-    by default profiles and tests use every row.
-    """
-    narrow = df.select("idx", *[F.col(f).cast("double").alias(f) for f in features])
-    parts = [narrow.where(F.col(f).isNotNull()).orderBy("idx").limit(limit).select(
-        *[F.col(f).alias(f) if f == g else F.lit(None).cast("double").alias(g) for g in features])
-        for f in features]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Count, mean, deviation and exact p5, p25, p50, p75, p95 per feature."""
     moments = _per_feature(
@@ -81,9 +64,6 @@ def psi(joint: DataFrame, features: Sequence[str], *, bins: int = 10, epsilon: f
     probs = [i / bins for i in range(1, bins)]
     names = [f"_e{i}" for i in range(1, bins)]
     edges = rank_quantiles(joint, probs, names, cum=cum, total=total).drop("n")
-    # One row per requested feature: the bound is the length of the list.
-    if len(features) <= _MAX_BROADCAST_FEATURES:
-        edges = F.broadcast(edges)
     below = {
         side: [F.sum(F.when(F.col("value") < F.col(e), F.col(f"c_{side}")).otherwise(0)).alias(f"_{side}{i}")
                for i, e in enumerate(names)]

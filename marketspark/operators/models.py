@@ -33,17 +33,23 @@ SERIES = ("symbol",)
 def seasonal_naive_predictions(
     indexed: DataFrame, *, keys: Sequence[str] = SERIES, season: int = 24, n_splits: int = 5, y: str = "y",
 ) -> DataFrame:
-    """Repeat the last season of each fold's training rows over its test rows."""
+    """Repeat the last season of each fold's training rows over its test rows.
+
+    Every test row is predicted: a slot that the training rows do not reach gets
+    their last value, and the neutral class without any training row.
+    """
     rows = assign_folds(indexed.select(*keys, "idx", "n", y), "timeseries", n_splits=n_splits)
     slot = F.pmod(F.col("idx") - F.col("test_lo"), F.lit(season))
     tests = rows.where(F.col("role") == "test").withColumn("_slot", slot)
     # `season` rows per series and fold.
     lasts = rows.where(
         (F.col("role") == "train") & (F.col("idx") >= F.col("test_lo") - season)
-    ).select(*keys, "fold", slot.alias("_slot"), F.col(y).alias("_past"))
-    guess = F.least(F.greatest(F.bround("_past"), F.lit(0)), F.lit(4)).cast("int")
-    return tests.join(lasts, [*keys, "fold", "_slot"]).select(
-        *keys, "fold", "idx", y, guess.alias("prediction"))
+    ).select(*keys, "fold", "idx", slot.alias("_slot"), F.col(y).alias("_past"))
+    newest = lasts.groupBy(*keys, "fold").agg(F.max_by("_past", "idx").alias("_last"))
+    past = F.coalesce("_past", "_last", F.lit(NEUTRAL))
+    guess = F.least(F.greatest(F.bround(past), F.lit(0)), F.lit(4)).cast("int")
+    return tests.join(lasts.drop("idx"), [*keys, "fold", "_slot"], "left").join(
+        newest, [*keys, "fold"], "left").select(*keys, "fold", "idx", y, guess.alias("prediction"))
 
 
 def mean_fold_f1(predictions: DataFrame, *, keys: Sequence[str] = SERIES, y: str = "y") -> DataFrame:
@@ -299,7 +305,7 @@ def compare_backends(
             rows.append((name, "ok", result.get("best_cv_f1_macro"), result.get("train_f1_macro"),
                          time.monotonic() - start, None))
         except Exception as exc:  # noqa: BLE001 - reported in the table
-            rows.append((name, "error", None, None, time.monotonic() - start, str(exc)[:200]))
+            rows.append((name, "error", None, None, time.monotonic() - start, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(
         rows, "backend string, status string, best_cv_f1_macro double, train_f1_macro double, "
               "elapsed_s double, error string")

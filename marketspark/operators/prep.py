@@ -45,14 +45,14 @@ def lag_features(
 
     ``df`` must be indexed after its null rows were dropped. Lags start at
     ``min_lag``: with a label looking h bars ahead only lags >= h are free of
-    future prices. Leading rows without a full set are trimmed when the series
-    is longer than the deepest lag.
+    future prices. Leading rows without a full set are trimmed, so a series no
+    longer than the deepest lag has no rows.
     """
     deepest = min_lag + order - 1
     base = df.withColumn("y", encode_label(label).cast("double"))
     lags = {f"y_lag_{k}": ("y", k) for k in range(min_lag, deepest + 1)}
     rows = lagged(base, lags, keys=keys, block=block)
-    rows = rows.where((F.col("idx") >= deepest) | (F.col("n") <= deepest))
+    rows = rows.where(F.col("idx") >= deepest)
     return rows.select(
         F.concat_ws("_", *keys).alias("unique_id"), F.col("timestamp").alias("ds"), "y",
         *exogenous, *lags, "idx", "n",

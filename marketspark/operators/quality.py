@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from marketspark.functions.timecols import bucket_us, from_micros, micros
+from marketspark.session import stage
 
 _HOUR_US = 3_600_000_000
 _TICK_COLUMNS = ("timestamp", "ask", "bid", "ask_volume", "bid_volume")
@@ -28,9 +29,12 @@ def integrity_counts(ticks: DataFrame, *, keys: Sequence[str] = ("symbol", "mont
 
 
 def with_manifest(counts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Attach expected rows (-1 when unknown) and missing hours (0 when unknown)."""
+    """Attach expected rows (-1 when unknown) and missing hours (0 when unknown).
+
+    Manifest months without a single tick are kept, with NULL counts.
+    """
     expected = manifest.select("symbol", "month", F.col("rows").alias("expected_rows"), "missing_hours")
-    return counts.join(expected, ["symbol", "month"], "left").fillna(
+    return counts.join(expected, ["symbol", "month"], "full").fillna(
         {"expected_rows": -1, "missing_hours": 0}
     )
 
@@ -47,28 +51,43 @@ def is_anomalous() -> Column:
 
 
 def anomalous_months(counts: DataFrame, manifest: DataFrame) -> DataFrame:
-    return with_manifest(counts, manifest).where(is_anomalous())
+    """Stored months that fail a test; a month without ticks has nothing stored to test."""
+    return with_manifest(counts, manifest).where(F.col("actual_rows").isNotNull() & is_anomalous())
 
 
 def audit_summary(counts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Totals per symbol and the overall verdict."""
+    """Totals per symbol and the overall verdict.
+
+    Missing hours are those of the whole manifest, so a month that was lost
+    altogether counts; every other total is over the stored months. Symbols
+    without any stored month have no report. Data without null cells, bad
+    prices and crossed quotes are ready.
+    """
     return (
         with_manifest(counts, manifest)
         .groupBy("symbol")
         .agg(
-            F.count(F.lit(1)).alias("months"),
+            F.count("actual_rows").alias("months"),
             F.sum("actual_rows").alias("total_rows"),
             F.sum("nulls").alias("total_nulls"),
             F.sum("negative_price").alias("total_negative_price"),
             F.sum("negative_spread").alias("total_negative_spread"),
             F.sum("negative_volume").alias("total_negative_volume"),
             F.sum("missing_hours").alias("total_missing_hours"),
-            F.count_if(is_anomalous()).alias("anomalous_months"),
+            F.count_if(F.col("actual_rows").isNotNull() & is_anomalous()).alias("anomalous_months"),
         )
-        .withColumn("status", F.when(F.col("anomalous_months") == 0, "READY").otherwise("WARNING"))
+        .where(F.col("months") > 0)
+        .withColumn("status", F.when(
+            (F.col("total_nulls") == 0) & (F.col("total_negative_price") == 0) & (F.col("total_negative_spread") == 0),
+            "READY").otherwise("WARNING"))
     )
 
 
+def months_with_missing_hours(ticks: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The ticks of months whose manifest says hours are missing; the audit lists gaps of these only."""
+    return ticks.join(manifest.where(F.col("missing_hours") > 0), ["symbol", "month"], "left_semi")
+
+
 def significant_gaps(ticks: DataFrame, asset_class: str = "fx") -> DataFrame:
     """Silences of more than one hour inside a month that are not market closures.
 
@@ -135,12 +154,19 @@ def missing_slots(ticks: DataFrame, asset_class: str = "fx") -> DataFrame:
 def dedupe_ticks(ticks: DataFrame, *, order: str = "seq", keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """One tick per timestamp: the one with the smallest ``order``.
 
+    Ticks without an order come after those with one, and equal orders are told
+    apart by the other columns, so the same tick stays however the rows arrive.
     Written as an aggregate so duplicates collapse before the shuffle.
     """
-    values = [c for c in ticks.columns if c not in (*keys, "timestamp", order)]
-    return ticks.groupBy(*keys, "timestamp").agg(
-        *[F.min_by(c, order).alias(c) for c in values], F.min(order).alias(order)
-    ).select(*ticks.columns)
+    return _first_ticks(ticks, [F.col(order).isNull(), F.col(order)], keys)
+
+
+def _first_ticks(ticks: DataFrame, order: Sequence[Column], keys: Sequence[str]) -> DataFrame:
+    values = [c for c in ticks.columns if c not in (*keys, "timestamp")]
+    rank = [c.alias(f"_o{i}") for i, c in enumerate(order)]
+    first = F.min(F.struct(*rank, *values)).alias("_first")
+    return ticks.groupBy(*keys, "timestamp").agg(first).select(
+        *[F.col(f"_first.{c}").alias(c) if c in values else c for c in ticks.columns])
 
 
 def union_ticks(*frames: DataFrame) -> DataFrame:
@@ -153,19 +179,24 @@ def union_ticks(*frames: DataFrame) -> DataFrame:
 
 def merge_patch(base: DataFrame, patch: DataFrame, *, order: str = "seq") -> DataFrame:
     """Add late ticks to a stored month; on equal timestamps the stored tick stays."""
-    ranked = union_ticks(
-        base.withColumn("_rank", F.col(order)),
-        patch.withColumn("_rank", F.col(order) + F.lit(1 << 62)),
-    )
-    return dedupe_ticks(ranked, order="_rank").drop("_rank")
+    both = union_ticks(base.withColumn("_late", F.lit(0)), patch.withColumn("_late", F.lit(1)))
+    rank = [F.col("_late"), F.col(order).isNull(), F.col(order)]
+    return _first_ticks(both, rank, ("symbol",)).drop("_late")
 
 
 def coverage_after_merge(base: DataFrame, merged: DataFrame, asset_class: str = "fx") -> DataFrame:
-    """Rows and missing repair slots per symbol, before and after a merge."""
+    """Rows and missing repair slots per symbol, before and after a merge.
+
+    Each side is reduced once to its rows per symbol and hour, and that small
+    table is written out for the three readers.
+    """
 
     def facts(frame: DataFrame, tag: str) -> DataFrame:
-        rows = frame.groupBy("symbol").agg(F.count(F.lit(1)).alias(f"rows_{tag}"))
-        gaps = missing_slots(frame, asset_class).groupBy("symbol").agg(
+        hours = stage(frame.groupBy("symbol", "month", bucket_us(micros(F.col("timestamp")), 3600).alias("_h")).agg(
+            F.count(F.lit(1)).alias("n")), "hours")
+        rows = hours.groupBy("symbol").agg(F.sum("n").alias(f"rows_{tag}"))
+        slots = hours.select("symbol", "month", from_micros(F.col("_h")).alias("timestamp"))
+        gaps = missing_slots(slots, asset_class).groupBy("symbol").agg(
             F.count(F.lit(1)).alias(f"missing_{tag}")
         )
         return rows.join(gaps, "symbol", "left").fillna(0)

@@ -50,15 +50,19 @@ def best_models(registry: DataFrame, metric: str = "best_cv_f1_macro", **kw) ->
     return leaderboard(registry, metric, **kw).where(F.col("rank") == 1)
 
 
-def run_history(log: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("backend",)) -> DataFrame:
-    """Run-log rows numbered per backend in time order, with the chosen metrics."""
-    w = W.partitionBy(*by).orderBy("ts")
+def run_history(
+    log: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("backend",), ties: Sequence[str] = ()
+) -> DataFrame:
+    """Run-log rows numbered per backend in time order (``ties`` orders equal times), with the chosen metrics."""
+    w = W.partitionBy(*by).orderBy("ts", *ties)
     return log.select(*by, "ts", *metrics, (F.row_number().over(w) - 1).alias("run_index"))
 
 
-def parse_run_log(lines: DataFrame, metrics: Sequence[str], column: str = "value") -> DataFrame:
-    """Run-log JSON lines (``ts, backend`` and metrics) as columns; bad lines become null rows."""
-    ddl = "ts double, backend string, " + ", ".join(f"{m} double" for m in metrics)
+def parse_run_log(
+    lines: DataFrame, metrics: Sequence[str], column: str = "value", names: Sequence[str] = ()
+) -> DataFrame:
+    """Run-log JSON lines (``ts, backend``, text fields ``names`` and metrics) as columns; bad lines become null rows."""
+    ddl = ", ".join(["ts double", "backend string", *(f"{n} string" for n in names), *(f"{m} double" for m in metrics)])
     return lines.select(F.from_json(column, ddl).alias("r")).select("r.*")
 
 

@@ -15,40 +15,36 @@ from marketspark.schema import NON_FEATURE_COLUMNS, NON_FEATURE_PREFIXES
 _NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
 
-def parse_bound(value, *, end: bool) -> dt.datetime | None:
-    """A day given as ``YYYYMMDD``, date or datetime, as its first or last instant (UTC)."""
-    if value is None or (isinstance(value, str) and not value.strip()):
+def midnight(value, days: int = 0) -> dt.datetime | None:
+    """The start, in UTC, of the day ``days`` after the one given as ``YYYYMMDD``, date or datetime; None for no bound.
+
+    The day of a zone-aware datetime is that of its own zone.
+    """
+    if not value or (isinstance(value, str) and value.isspace()):
         return None
+    zone = None
     if isinstance(value, str):
-        text = value.strip()
-        if len(text) != 8 or not text.isdigit():
-            raise ValueError(f"unsupported date {text!r}: use YYYYMMDD")
-        day = dt.datetime.strptime(text, "%Y%m%d").date()
-    elif isinstance(value, dt.datetime):
-        # The day is cut in the value's own zone, then moved to UTC.
-        edge = dt.time.max if end else dt.time.min
-        stamp = dt.datetime.combine(value.date(), edge, tzinfo=value.tzinfo)
-        return stamp.astimezone(dt.UTC).replace(tzinfo=None) if stamp.tzinfo else stamp
-    elif isinstance(value, dt.date):
-        day = value
-    else:
+        value = dt.datetime.strptime(value.strip(), "%Y%m%d")
+    if isinstance(value, dt.datetime):
+        zone, value = value.tzinfo, value.date()
+    if not isinstance(value, dt.date):
         raise TypeError(f"unsupported bound type {type(value).__name__}")
-    return dt.datetime.combine(day, dt.time.max if end else dt.time.min)
+    start = dt.datetime.combine(value + dt.timedelta(days=days), dt.time(), tzinfo=zone)
+    return start.astimezone(dt.UTC).replace(tzinfo=None) if zone else start
 
 
 def date_range(df: DataFrame, start=None, end=None, column: str = "timestamp") -> DataFrame:
-    """Rows from the start day to the end day, both included.
+    """Rows from the start day to the end day, both included: [start, end + one day).
 
     The bounds are literals, so the filter reaches the Parquet scan.
     """
-    lo, hi = parse_bound(start, end=False), parse_bound(end, end=True)
-    if lo and hi and lo > hi:
-        raise ValueError(f"start must not be after end: {lo.isoformat()} > {hi.isoformat()}")
+    low, high = midnight(start), midnight(end, days=1)
+    if low and high and low >= high:
+        raise ValueError(f"the range ends before it starts: {low:%Y-%m-%d} to {midnight(end):%Y-%m-%d}")
     kind = df.schema[column].dataType.simpleString()
-    if lo:
-        df = df.where(F.col(column) >= F.lit(lo.isoformat(" ")).cast(kind))
-    if hi:
-        df = df.where(F.col(column) <= F.lit(hi.isoformat(" ")).cast(kind))
+    for bound, inside in ((low, F.col(column).__ge__), (high, F.col(column).__lt__)):
+        if bound:
+            df = df.where(inside(F.lit(bound.isoformat(" ")).cast(kind)))
     return df
 
 

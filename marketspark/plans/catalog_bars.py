@@ -96,7 +96,8 @@ _BAD = """bad AS (SELECT symbol, timestamp, month, seq,
   CASE WHEN seq % 83 = 0 THEN -1 ELSE bid_volume END AS bid_volume, ask_volume FROM ticks_many)"""
 _MANIFEST = """man AS (SELECT symbol, month, count(*) + CASE WHEN CAST(right(month, 2) AS INT) = 6 THEN 1 ELSE 0 END AS rows,
   CASE WHEN CAST(right(month, 2) AS INT) = 9 THEN 3 ELSE 0 END AS missing_hours
-  FROM ticks_many WHERE CAST(right(month, 2) AS INT) <> 12 GROUP BY 1, 2)"""
+  FROM ticks_many WHERE CAST(right(month, 2) AS INT) <> 12 GROUP BY 1, 2
+  UNION ALL SELECT DISTINCT symbol, '1990-01', 5000, 700 FROM ticks_many WHERE seq % 7 = 0)"""
 
 
 def _bad_ticks(spark, sf):
@@ -111,14 +112,16 @@ def _bad_ticks(spark, sf):
 
 def _manifest(spark, sf):
     number = F.month("month")
-    return (
-        views.ticks_many(spark, sf).where(number != 12).groupBy("symbol", "month").agg(
-            F.count(F.lit(1)).alias("rows"))
-        .select(
-            "symbol", "month",
-            (F.col("rows") + F.when(number == 6, 1).otherwise(0)).alias("rows"),
-            F.when(number == 9, 3).otherwise(0).alias("missing_hours"))
-    )
+    ticks = views.ticks_many(spark, sf)
+    known = ticks.where(number != 12).groupBy("symbol", "month").agg(F.count(F.lit(1)).alias("rows")).select(
+        "symbol", "month",
+        (F.col("rows") + F.when(number == 6, 1).otherwise(0)).alias("rows"),
+        F.when(number == 9, 3).otherwise(0).alias("missing_hours"))
+    # A month of which no tick was ever stored.
+    lost = ticks.where("seq % 7 = 0").select("symbol").distinct().select(
+        "symbol", F.lit("1990-01-01").cast("date").alias("month"), F.lit(5000).cast("long").alias("rows"),
+        F.lit(700).alias("missing_hours"))
+    return known.unionByName(lost)
 
 
 def _month_text(df):
@@ -132,7 +135,8 @@ def qa_integrity(spark, sf):
 
 _JOINED = S.with_ctes(S.TICKS_MANY, _BAD, _MANIFEST, f"qa AS ({_QA})", """j AS (
   SELECT qa.*, coalesce(man.rows, -1) AS expected_rows, coalesce(man.missing_hours, 0) AS missing_hours
-  FROM qa LEFT JOIN man USING (symbol, month)), f AS (SELECT *, (nulls > 0 OR negative_price > 0
+  FROM qa LEFT JOIN man USING (symbol, month)),
+ hrs AS (SELECT symbol, CAST(sum(missing_hours) AS BIGINT) AS hours FROM man GROUP BY symbol), f AS (SELECT *, (nulls > 0 OR negative_price > 0
   OR negative_spread > 0 OR negative_volume > 0 OR missing_hours > 0
   OR (expected_rows <> -1 AND actual_rows <> expected_rows)) AS odd FROM j)""")
 
@@ -148,10 +152,10 @@ SELECT symbol, count(*) AS months, CAST(sum(actual_rows) AS BIGINT) AS total_row
   CAST(sum(nulls) AS BIGINT) AS total_nulls, CAST(sum(negative_price) AS BIGINT) AS total_negative_price,
   CAST(sum(negative_spread) AS BIGINT) AS total_negative_spread,
   CAST(sum(negative_volume) AS BIGINT) AS total_negative_volume,
-  CAST(sum(missing_hours) AS BIGINT) AS total_missing_hours,
+  coalesce(max(hours), 0) AS total_missing_hours,
   count(*) FILTER (odd) AS anomalous_months,
-  CASE WHEN count(*) FILTER (odd) = 0 THEN 'READY' ELSE 'WARNING' END AS status
-FROM f GROUP BY symbol""")
+  CASE WHEN sum(nulls) = 0 AND sum(negative_price) = 0 AND sum(negative_spread) = 0 THEN 'READY' ELSE 'WARNING' END AS status
+FROM f LEFT JOIN hrs USING (symbol) GROUP BY symbol""")
 def qa_summary(spark, sf):
     counts = quality.integrity_counts(_bad_ticks(spark, sf))
     return quality.audit_summary(counts, _manifest(spark, sf))
@@ -175,6 +179,18 @@ def qa_gaps_fx(spark, sf):
     return _month_text(quality.significant_gaps(views.ticks_many(spark, sf), "fx"))
 
 
+@query("qa_gaps_missing_months", "C8", S.with_ctes(S.TICKS_MANY, _MANIFEST, """g AS (
+  SELECT symbol, month, p, timestamp AS e FROM (SELECT symbol, month, timestamp,
+         lag(timestamp) OVER (PARTITION BY symbol, month ORDER BY timestamp, seq) AS p FROM ticks_many
+         SEMI JOIN (SELECT * FROM man WHERE missing_hours > 0) USING (symbol, month))
+  WHERE timestamp - p > INTERVAL 1 HOUR)""") + """
+SELECT symbol, month, strftime(p, '%Y-%m-%d %H:%M') AS start, strftime(e, '%Y-%m-%d %H:%M') AS "end",
+  round_even(epoch(e - p) / 3600, 2) AS duration_h, strftime(p, '%a') AS day FROM g""")
+def qa_gaps_missing_months(spark, sf):
+    ticks = quality.months_with_missing_hours(views.ticks_many(spark, sf), _manifest(spark, sf))
+    return _month_text(quality.significant_gaps(ticks, "crypto"))
+
+
 @query("qa_gaps_crypto", "C8", _gap_sql(""))
 def qa_gaps_crypto(spark, sf):
     return _month_text(quality.significant_gaps(views.ticks_many(spark, sf), "crypto"))
@@ -234,6 +250,31 @@ def dedupe_ticks(spark, sf):
     return tidy(quality.dedupe_ticks(_duplicated(spark, sf)), ["symbol", "timestamp", *_TICK, "seq"])
 
 
+_LOOSE = """loose AS (SELECT symbol, date_trunc('day', timestamp) AS timestamp, bid, ask, bid_volume, ask_volume FROM ticks_by_type)"""
+
+
+def _unnumbered(spark, sf):
+    """Ticks without arrival numbers whose timestamps repeat."""
+    t = views.ticks_by_type(spark, sf)
+    return ticks.to_ticks(t.withColumn("timestamp", F.date_trunc("day", F.col("timestamp").cast("timestamp"))))
+
+
+@query("dedupe_no_seq", "B6, A5", tidy_sql(S.with_ctes(S.TICKS_BY_TYPE, _LOOSE) + """
+SELECT * FROM loose QUALIFY row_number() OVER (PARTITION BY symbol, timestamp ORDER BY bid, ask, bid_volume, ask_volume) = 1""",
+    _TICK, ["symbol", "timestamp"]))
+def dedupe_no_seq(spark, sf):
+    return tidy(quality.dedupe_ticks(_unnumbered(spark, sf)), ["symbol", "timestamp", *_TICK])
+
+
+@query("resample_no_seq", "C1, A5", tidy_sql(S.with_ctes(S.TICKS_BY_TYPE, _LOOSE) + """
+SELECT symbol, timestamp, min((bid + ask) / 2) AS open, max((bid + ask) / 2) AS high, min((bid + ask) / 2) AS low,
+  max((bid + ask) / 2) AS close, sum((ask_volume + bid_volume) / 2) AS volume, count(*) AS tick_count
+FROM loose GROUP BY 1, 2 HAVING count(*) >= 5""", _BAR, ["symbol", "timestamp", "tick_count"]))
+def resample_no_seq(spark, sf):
+    # Every tick of a day has one timestamp, so the price alone orders them.
+    return tidy(bars.resample(_unnumbered(spark, sf), "1D"), ["symbol", "timestamp", *_BAR, "tick_count"])
+
+
 @query("union_ticks", "B7", tidy_sql(
     S.with_ctes(S.TICKS_ALL, S.TICKS_BY_TYPE)
     + "SELECT * FROM ticks_all UNION ALL SELECT * FROM ticks_by_type", _TICK, ["symbol", "timestamp", "seq"]))

@@ -206,17 +206,21 @@ def label_pred_distribution(spark, sf):
     return scoring.label_distribution(_persistence(spark, sf))
 
 
-_SN = [*_MR, """sn AS (SELECT t.symbol, t.fold, t.y, p.y AS prediction FROM
+_SN = [*_MR, """sn AS (SELECT t.symbol, t.fold, t.y, coalesce(p.y, q.y, 2) AS prediction FROM
   (SELECT symbol, y, idx, fold, n - (5 - fold) * (n // 6) AS lo, n - (4 - fold) * (n // 6) AS hi
    FROM mr, (SELECT unnest(range(0, 5)) AS fold)) t
-  JOIN mr p ON p.symbol = t.symbol AND p.idx = t.lo - 24 + (t.idx - t.lo) % 24 WHERE t.idx >= t.lo AND t.idx < t.hi)"""]
+  LEFT JOIN mr p ON p.symbol = t.symbol AND p.idx = t.lo - 24 + (t.idx - t.lo) % 24
+  LEFT JOIN mr q ON q.symbol = t.symbol AND q.idx = t.lo - 1 WHERE t.idx >= t.lo AND t.idx < t.hi)""",
+       "st AS (SELECT symbol, count(*) AS scored FROM sn GROUP BY symbol)"]
 
 
 @query("seasonal_naive_cv", "I18", tidy_sql(S.with_ctes(*_SN, *_f1_ctes("sn", "symbol, fold")) + """
-SELECT symbol, avg(macro_f1) AS cv_f1_macro, count(*) AS folds FROM f1 GROUP BY symbol""", ["cv_f1_macro"], ["symbol", "folds"]))
+SELECT symbol, avg(macro_f1) AS cv_f1_macro, count(*) AS folds, any_value(scored) AS scored
+FROM f1 JOIN st USING (symbol) GROUP BY symbol""", ["cv_f1_macro"], ["symbol", "folds", "scored"]))
 def seasonal_naive_cv(spark, sf):
     preds = models.seasonal_naive_predictions(_model_rows(spark, sf))
-    return tidy(models.mean_fold_f1(preds))
+    scored = preds.groupBy("symbol").agg(F.count(F.lit(1)).alias("scored"))
+    return tidy(models.mean_fold_f1(preds).join(scored, "symbol"))
 
 
 def _nb_sql() -> str:
@@ -290,8 +294,8 @@ def backend_comparison(spark, sf):
     rows = _model_rows(spark, sf)
 
     def naive():
-        return {"best_cv_f1_macro": models.mean_fold_f1(
-            models.seasonal_naive_predictions(rows)).first()["cv_f1_macro"]}
+        per_symbol = models.mean_fold_f1(models.seasonal_naive_predictions(rows))
+        return {"best_cv_f1_macro": per_symbol.agg(F.avg("cv_f1_macro")).first()[0]}
 
     def bayes():
         return {"best_cv_f1_macro": scoring.macro_f1(
@@ -352,18 +356,17 @@ def model_metrics_long(spark, sf):
 
 
 @query("run_history", "I22", tidy_sql(S.with_ctes(*_REG) + """
-SELECT backend, symbol, macro_f1 AS f1, accuracy, row_number() OVER (PARTITION BY backend ORDER BY symbol) - 1 AS run_index FROM rg0""",
+SELECT backend, symbol, macro_f1 AS f1, accuracy, row_number() OVER (PARTITION BY backend ORDER BY registered_at, symbol) - 1 AS run_index FROM rg0""",
     ["f1", "accuracy"], ["backend", "run_index"]))
 def run_history(spark, sf):
     entries = _registry_table(spark, sf)
-    # A run log as the trainers write it: one JSON object per line.
-    position = F.ascii("symbol") * 1000 + F.ascii(F.substring("symbol", 2, 1))
+    # A run log as the trainers write it: one JSON object per line; runs of one time go by symbol.
     lines = entries.select(F.to_json(F.struct(
-        position.cast("double").alias("ts"), "backend",
+        F.col("registered_at").alias("ts"), "backend", "symbol",
         F.col("metrics")["best_cv_f1_macro"].alias("f1"), F.col("metrics")["accuracy"].alias("accuracy"),
     )).alias("value"))
-    log = registry.parse_run_log(lines, ["f1", "accuracy"])
-    return tidy(registry.run_history(log, ["f1", "accuracy"]), ["backend", "run_index", "f1", "accuracy"])
+    log = registry.parse_run_log(lines, ["f1", "accuracy"], names=("symbol",))
+    return tidy(registry.run_history(log, ["f1", "accuracy"], ties=("symbol",)), ["backend", "run_index", "f1", "accuracy"])
 
 
 # ---------------------------------------------------------------- drift
@@ -427,9 +430,12 @@ def drift_psi(spark, sf):
 _REPORT = S.with_ctes(*S.WITH_ATR_1W, _LONGREF, _KS, _KSP, *_PSI)
 
 
-@query("drift_report", "J5", _REPORT + """
+DRIFT_REPORT = _REPORT + """
 SELECT feature, round(ks_stat, 4) AS ks_stat, round(ks_p, 4) AS ks_p, round(psi, 4) AS psi,
-  (ks_stat > 0.1 OR psi > 0.2)::INT AS drifted FROM kp JOIN ps USING (feature) WHERE n_live >= 30""")
+  (ks_stat > 0.1 OR psi > 0.2)::INT AS drifted FROM kp JOIN ps USING (feature) WHERE n_live >= 30"""
+
+
+@query("drift_report", "J5", DRIFT_REPORT)
 def drift_report(spark, sf):
     return tidy(drift.report(*_drift_sides(spark, sf), _DF), None, 4)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketspark.operators.models import OnlineSoftmax
 from marketspark.plans import sqlparts as S
-from marketspark.plans.catalog_models import FEATURES, _DF, _drift_sides, _model_rows
+from marketspark.plans.catalog_models import DRIFT_REPORT, FEATURES, _DF, _drift_sides, _model_rows
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.session import scratch_path
 from marketspark.sources import views
@@ -17,7 +17,7 @@ _BAR = ["open", "high", "low", "close", "volume"]
 
 def _events(spark, sf):
     schema = views.table(spark, sf, "events").schema
-    return streams.tick_stream(spark, sf, schema, glob="events.parquet")
+    return streams.tick_stream(spark, f"{sf}/events.parquet", schema)
 
 
 def _ticks(spark, sf, symbol=None):
@@ -52,7 +52,7 @@ def stream_gaps(spark, sf):
     return tidy(streams.read_alerts(spark, folder), ["symbol", "gap_start", "gap_end", "hours"])
 
 
-@query("stream_drift", "K4")
+@query("stream_drift", "K4", DRIFT_REPORT)
 def stream_drift(spark, sf):
     reference, live = _drift_sides(spark, sf)
     source, out = scratch_path(spark, "live"), scratch_path(spark, "drift")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +16,7 @@ from pyspark.sql.window import Window as W
 
 from marketspark.functions.timecols import bucket_us, from_micros, micros
 from marketspark.operators import drift
+from marketspark.operators.bars import tick_order
 from marketspark.operators.models import OnlineSoftmax
 from marketspark.session import scratch_path
 
@@ -24,13 +24,18 @@ _HOUR_US = 3_600_000_000
 
 
 def tick_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, *, glob: str = "*.parquet",
-    files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """A stream over a Parquet table: one file, or a folder to which files are added."""
+    reader = spark.readStream.schema(schema)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getFileStatus(place).isFile():  # streams read folders, so pick the file in its own
+        reader, path = reader.option("pathGlobFilter", place.getName()), place.getParent().toString()
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def _event_time(ticks: DataFrame) -> DataFrame:
@@ -44,13 +49,13 @@ def bar_stream(
 ) -> DataFrame:
     """Bars in append mode: a bar is emitted once the watermark passes its end; later ticks are dropped."""
     mid = (F.col("bid") + F.col("ask")) / 2
-    us = micros(F.col("timestamp"))
+    at = tick_order(micros(F.col("timestamp")), mid, F.col("seq") if "seq" in ticks.columns else None)
     bars = (
         _event_time(ticks).withWatermark("timestamp", watermark)
         .groupBy(*keys, F.window("timestamp", window).alias("_w"))
         .agg(
-            F.min_by(mid, us).alias("open"), F.max(mid).alias("high"), F.min(mid).alias("low"),
-            F.max_by(mid, us).alias("close"),
+            F.min_by(mid, at).alias("open"), F.max(mid).alias("high"), F.min(mid).alias("low"),
+            F.max_by(mid, at).alias("close"),
             F.sum((F.col("ask_volume") + F.col("bid_volume")) / 2).alias("volume"),
             F.count(F.lit(1)).cast("int").alias("tick_count"),
         )
@@ -109,14 +114,9 @@ def gap_alerts(folder: str, *, gap_hours: float = 1.0) -> Callable[[DataFrame, i
         us = micros(F.col("timestamp"))
         hourly = batch.groupBy("symbol", bucket_us(us, 3600).alias("_hour")).agg(
             F.min(us).alias("_first"), F.max(us).alias("_last"))
-        try:
-            states = spark.read.option("basePath", f"{folder}/state").parquet(f"{folder}/state")
-            states = states.where(F.col("batch") < number)
-            latest = states.agg(F.max("batch")).first()[0]
-        except AnalysisException:
-            latest = None
-        if latest is not None:
-            seen = states.where(F.col("batch") == latest).select(
+        if number > 0:
+            # Batches are numbered without gaps, and each one stores its state.
+            seen = spark.read.schema("symbol string, last_us long").parquet(f"{folder}/state/batch={number - 1}").select(
                 "symbol", F.lit(-1).cast("long").alias("_hour"), F.col("last_us").alias("_first"),
                 F.col("last_us").alias("_last"))
             hourly = hourly.unionByName(seen)

@@ -115,7 +115,6 @@ def test_drift_verdicts(spark):
     assert not calls
     drift.retrain_on_drift(drift.report(ref, live, ["x"]), lambda: calls.append(1))
     assert calls == [1]
-    assert drift.first_values(ref, ["x", "y"], 5).agg(F.count("x"), F.count("y")).first() == (5, 5)
 
 
 def test_macro_f1_cases(spark):
