@@ -10,8 +10,10 @@ from __future__ import annotations
 import itertools
 import random
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -101,108 +103,91 @@ def prequential_bayes(
 
 
 # ------------------------------------------------------------ online softmax
-def _softmax(weights: Sequence[Sequence[float]], inputs: Sequence[Column]) -> list[Column]:
-    logits = []
-    for row in weights:
-        z = F.lit(float(row[0]))
-        for w, x in zip(row[1:], inputs):
-            z = z + x * float(w)
-        logits.append(z)
-    top = F.greatest(*logits)
-    exps = [F.exp(z - top) for z in logits]
-    total = sum(exps[1:], exps[0])
-    return [e / total for e in exps]
-
-
 class OnlineSoftmax:
-    """Multinomial logistic model updated one time slice at a time.
+    """Multinomial logistic model learned batch by batch; small enough to be stored as one row per series.
 
-    State is small and lives on the driver: running mean and variance per
-    feature and one weight row per class. Each slice costs two aggregates: its
-    score under the current model together with its moments, then its gradient.
+    Holds the count, mean and squared deviations of each feature and one weight
+    row per class. ``score_and_learn`` predicts a batch with what was learned
+    before it, then takes ``steps`` gradient steps on it.
     """
 
-    def __init__(self, features: Sequence[str], rate: float = 0.5, penalty: float = 1e-4, steps: int = 2):
-        self.features = list(features)
-        self.rate, self.penalty, self.steps = rate, penalty, steps
-        self.count = 0
-        self.mean = [0.0] * len(self.features)
-        self.m2 = [0.0] * len(self.features)
-        self.weights = [[0.0] * (len(self.features) + 1) for _ in CLASSES]
-        self.confusion: dict[tuple[int, int], int] = {}
-
-    def _inputs(self) -> list[Column]:
-        out = []
-        for f, mean, m2 in zip(self.features, self.mean, self.m2):
-            std = (m2 / self.count) ** 0.5 if self.count else 1.0
-            out.append((F.col(f) - mean) / (std or 1.0))
-        return out
-
-    def predict(self) -> Column:
-        probs = _softmax(self.weights, self._inputs())
-        ranked = F.array_max(F.array(*[
-            F.struct(p.alias("p"), F.lit(-c).alias("neg")) for p, c in zip(probs, CLASSES)]))
-        return (-ranked["neg"]).cast("int")
-
-    def learn(self, batch: DataFrame, y: str = "y") -> None:
-        """Score the slice (unless it is the first), then train on it."""
-        aggs = [F.count(F.lit(1)).alias("n")]
-        for i, f in enumerate(self.features):
-            aggs += [F.avg(f).alias(f"m{i}"), F.var_pop(f).alias(f"v{i}")]
-        scored = self.count > 0
-        if scored:
-            batch = batch.withColumn("_p", self.predict())
-            aggs += [F.count_if((F.col(y) == a) & (F.col("_p") == b)).alias(f"c{a}{b}")
-                     for a in CLASSES for b in CLASSES]
-        row = batch.agg(*aggs).first()
-        n = row["n"]
-        if not n:
-            return
-        if scored:
-            for a in CLASSES:
-                for b in CLASSES:
-                    self.confusion[a, b] = self.confusion.get((a, b), 0) + row[f"c{a}{b}"]
-        total = self.count + n
-        for i in range(len(self.features)):
-            delta = row[f"m{i}"] - self.mean[i]
-            self.m2[i] += row[f"v{i}"] * n + delta * delta * self.count * n / total
-            self.mean[i] += delta * n / total
+    def __init__(self, width: int, rate: float = 0.5, penalty: float = 1e-4, steps: int = 2):
+        self.rate, self.penalty, self.steps, self.count = rate, penalty, steps, 0
+        self.mean, self.m2 = np.zeros(width), np.zeros(width)
+        self.weights = np.zeros((len(CLASSES), width + 1))
+
+    def _inputs(self, x: np.ndarray) -> np.ndarray:
+        std = np.sqrt(self.m2 / max(self.count, 1))
+        return np.c_[np.ones(len(x)), (x - self.mean) / np.where(std > 0, std, 1.0)]
+
+    def _chances(self, inputs: np.ndarray) -> np.ndarray:
+        logits = inputs @ self.weights.T
+        raised = np.exp(logits - logits.max(axis=1, keepdims=True))
+        return raised / raised.sum(axis=1, keepdims=True)
+
+    def score_and_learn(self, x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
+        """Classes predicted for the batch (None for the first one); equal chances give the smaller class."""
+        guess = self._chances(self._inputs(x)).argmax(axis=1) if self.count else None
+        total, mean = self.count + len(x), x.mean(axis=0)
+        gap = mean - self.mean
+        self.m2 += ((x - mean) ** 2).sum(axis=0) + gap * gap * self.count * len(x) / total
+        self.mean += gap * len(x) / total
         self.count = total
+        inputs, target = self._inputs(x), y[:, None] == np.array(CLASSES)
+        decay = np.r_[0.0, np.full(x.shape[1], self.penalty)]
         for _ in range(self.steps):
-            self._step(batch, y)
-
-    def _step(self, batch: DataFrame, y: str) -> None:
-        inputs = self._inputs()
-        probs = _softmax(self.weights, inputs)
-        aggs = []
-        for c, p in zip(CLASSES, probs):
-            err = p - F.when(F.col(y) == c, 1.0).otherwise(0.0)
-            aggs += [F.avg(err * x).alias(f"g{c}_{j}") for j, x in enumerate([F.lit(1.0), *inputs])]
-        grad = batch.agg(*aggs).first()
-        for c in CLASSES:
-            for j in range(len(self.features) + 1):
-                w = self.weights[c][j]
-                self.weights[c][j] = w - self.rate * (grad[f"g{c}_{j}"] + (self.penalty * w if j else 0.0))
-
-    def scores(self, spark: SparkSession) -> DataFrame:
-        """Out-of-sample macro F1 over all scored slices."""
-        cells = [(a, b, n) for (a, b), n in self.confusion.items() if n] or [(0, 0, 0)]
-        confusion = spark.createDataFrame(cells, "y int, prediction int, n long").where("n > 0")
-        return class_scores(confusion).agg(
-            F.coalesce(F.avg("f1"), F.lit(0.0)).alias("f1_macro_oos"),
-            F.coalesce(F.sum("tp") + F.sum("fn"), F.lit(0)).alias("n_scored"),
-        )
-
-
-def train_online(
-    indexed: DataFrame, features: Sequence[str], *, slices: int = 8, y: str = "y", **options
-) -> OnlineSoftmax:
-    """Feed a series to :class:`OnlineSoftmax` in ``slices`` consecutive time slices."""
-    model = OnlineSoftmax(features, **options)
-    part = F.floor(F.col("idx") * slices / F.col("n"))
-    for k in range(slices):
-        model.learn(indexed.where(part == k), y)
-    return model
+            gradient = (self._chances(inputs) - target).T @ inputs / len(x)
+            self.weights -= self.rate * (gradient + decay * self.weights)
+        return guess
+
+    def to_row(self) -> list[float]:
+        return [float(self.count), *self.mean, *self.m2, *self.weights.ravel()]
+
+    @classmethod
+    def from_row(cls, row: Sequence[float], width: int, **options) -> OnlineSoftmax:
+        model, flat = cls(width, **options), np.array(row)
+        model.count = int(flat[0])
+        model.mean, model.m2 = flat[1:1 + width].copy(), flat[1 + width:1 + 2 * width].copy()
+        model.weights = flat[1 + 2 * width:].reshape(len(CLASSES), width + 1).copy()
+        return model
+
+
+def online_predictions(
+    indexed: DataFrame, features: Sequence[str], *, batch: int = 500, key: str = "symbol", y: str = "y", **options
+) -> DataFrame:
+    """Test-then-train over every series: ``key, batch, idx, y, prediction`` of all batches but the first.
+
+    Learning follows time, so a series is read by one task, in order and a batch
+    at a time; series run side by side. Only one batch and one model are in memory.
+    """
+    columns = [key, "idx", *features, y]
+    kind = indexed.schema[key].dataType.simpleString()
+    ordered = indexed.select(*columns).repartition(key).sortWithinPartitions(key, "idx")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, model, number, waiting = None, None, 0, []
+
+        def learn(rows: pd.DataFrame) -> pd.DataFrame:
+            guess = model.score_and_learn(rows[list(features)].to_numpy(float), rows[y].to_numpy())
+            out = rows[[key, "idx", y]].assign(batch=number, prediction=-1 if guess is None else guess)
+            return out[[key, "batch", "idx", y, "prediction"]].iloc[:0 if guess is None else None]
+
+        for part in parts:
+            for name, rows in part.groupby(key, sort=False):
+                if name != current:
+                    if waiting:
+                        yield learn(pd.concat(waiting))
+                    current, model, number, waiting = name, OnlineSoftmax(len(features), **options), 0, []
+                waiting.append(rows)
+                held = pd.concat(waiting)
+                while len(held) >= batch:
+                    yield learn(held.iloc[:batch])
+                    held, number = held.iloc[batch:], number + 1
+                waiting = [held] if len(held) else []
+        if waiting:
+            yield learn(pd.concat(waiting))
+
+    return ordered.mapInPandas(run, f"{key} {kind}, batch long, idx long, {y} int, prediction int")
 
 
 # ------------------------------------------------------------ spark.ml models

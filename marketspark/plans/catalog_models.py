@@ -243,9 +243,16 @@ def prequential_nb(spark, sf):
 
 
 # ---------------------------------------------------------------- trained models (no SQL form)
-@query("train_online", "I16")
+@query("train_online", "I16", S.with_ctes(*_MR) + """
+SELECT symbol, count(*) AS scored, max(idx // 50) AS last_batch, 1 AS sound FROM mr WHERE idx >= 50 GROUP BY symbol""")
 def train_online(spark, sf):
-    return models.train_online(_model_rows(spark, sf), FEATURES, slices=4).scores(spark)
+    # The model is another family than the original; which rows it scores is the protocol's.
+    preds = stage(models.online_predictions(_model_rows(spark, sf), FEATURES, batch=50), "predictions")
+    score = scoring.macro_f1(preds, by=("symbol",)).select("symbol", F.col("macro_f1").between(0, 1).alias("ok"))
+    return preds.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("scored"), F.max("batch").alias("last_batch"),
+        F.min(F.col("prediction").between(0, 4)).alias("valid"),
+    ).join(score, "symbol").select("symbol", "scored", "last_batch", (F.col("valid") & F.col("ok")).cast("int").alias("sound"))
 
 
 def _tree_rows(spark, sf):
@@ -302,7 +309,8 @@ def backend_comparison(spark, sf):
             models.prequential_bayes(rows, FEATURES, batch=100)).first()["macro_f1"]}
 
     def online():
-        return {"best_cv_f1_macro": models.train_online(rows, FEATURES, slices=3).scores(spark).first()["f1_macro_oos"]}
+        return {"best_cv_f1_macro": scoring.macro_f1(
+            models.online_predictions(rows, FEATURES, batch=100)).first()["macro_f1"]}
 
     def broken():
         raise ValueError("backend without a trainer")

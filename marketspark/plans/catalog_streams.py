@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketspark.operators.models import OnlineSoftmax
 from marketspark.plans import sqlparts as S
-from marketspark.plans.catalog_models import DRIFT_REPORT, FEATURES, _DF, _drift_sides, _model_rows
+from marketspark.plans.catalog_models import _DF, _MR, DRIFT_REPORT, FEATURES, _drift_sides, _model_rows
 from marketspark.plans.registry import query, tidy, tidy_sql
-from marketspark.session import scratch_path
+from marketspark.session import scratch_path, stage
 from marketspark.sources import views
 from marketspark.streaming import streams
 
+_PART = "CASE WHEN year(timestamp) < 1994 THEN 0 WHEN year(timestamp) < 1996 THEN 1 ELSE 2 END"
 _BAR = ["open", "high", "low", "close", "volume"]
 
 
@@ -62,15 +62,20 @@ def stream_drift(spark, sf):
     return tidy(spark.read.parquet(out), ["feature", "ks_stat", "ks_p", "psi", "drifted"])
 
 
-@query("stream_online", "K5")
+@query("stream_online", "K5", S.with_ctes(*_MR) + f"""
+SELECT symbol, count(*) FILTER (part > first) AS scored, 1 AS sound FROM (
+  SELECT symbol, {_PART} AS part, min({_PART}) OVER (PARTITION BY symbol) AS first FROM mr)
+GROUP BY symbol HAVING count(*) FILTER (part > first) > 0""")
 def stream_online(spark, sf):
-    rows = _model_rows(spark, sf).select("timestamp", *FEATURES, "y")
-    source = scratch_path(spark, "rows")
-    half = F.col("timestamp") < F.lit("1998-07-01").cast("timestamp_ntz")
-    model, checkpoint = OnlineSoftmax(FEATURES), scratch_path(spark, "checkpoint")
-    # Two deliveries, each drained by a scheduled run that resumes the same checkpoint.
-    for part in (rows.where(half), rows.where(~half)):
-        part.write.mode("append").parquet(source)
+    rows = stage(_model_rows(spark, sf).select("symbol", "timestamp", *FEATURES, "y"), "rows")
+    source, folder, checkpoint = (scratch_path(spark, x) for x in ("rows", "online", "checkpoint"))
+    year = F.year("timestamp")
+    part = F.when(year < 1994, 0).when(year < 1996, 1).otherwise(2)
+    # Three deliveries, each drained by a scheduled run that resumes the same checkpoint.
+    for k in range(3):
+        rows.where(part == k).coalesce(1).write.mode("append").parquet(source)
         stream = streams.tick_stream(spark, source, rows.schema)
-        streams.run_batches(stream, streams.online_batches(model), checkpoint=checkpoint)
-    return model.scores(spark)
+        streams.run_batches(stream, streams.online_batches(folder, FEATURES), checkpoint=checkpoint)
+    scored = spark.read.schema("symbol string, y int, prediction int").parquet(f"{folder}/scored")
+    return scored.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("scored"), F.min(F.col("prediction").between(0, 4).cast("int")).alias("sound"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from marketspark.functions.timecols import bucket_us, from_micros, micros
 from marketspark.operators import drift
 from marketspark.operators.bars import tick_order
 from marketspark.operators.models import OnlineSoftmax
-from marketspark.session import scratch_path
+from marketspark.session import scratch_path, stage
 
 _HOUR_US = 3_600_000_000
 
@@ -151,10 +152,46 @@ def drift_batches(
     return handle
 
 
-def online_batches(model: OnlineSoftmax) -> Callable[[DataFrame, int], None]:
-    """Batch handler that scores, then trains, an online model."""
+def online_batches(
+    folder: str, features: Sequence[str], *, key: str = "symbol", order: str = "timestamp", y: str = "y", **options
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler that scores each series' new rows with its model, then trains the model on them.
+
+    Models are rows of ``folder/state/batch=<number>`` and predictions go to
+    ``folder/scored/batch=<number>``; a repeated batch starts from the batch before
+    it and rewrites its own files, so nothing is learned twice or lost.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
-        model.learn(batch)
+        spark = batch.sparkSession
+        kind = batch.schema[key].dataType.simpleString()
+        state_ddl = f"{key} {kind}, model array<double>"
+        rows_ddl = f"{state_ddl}, {y} int, prediction int"
+        if number:
+            old = spark.read.schema(state_ddl).parquet(f"{folder}/state/batch={number - 1}")
+        else:
+            old = spark.createDataFrame([], state_ddl)
+
+        def learn(rows: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
+            known = list(models["model"])
+            if not len(rows):
+                return models.assign(**{y: None, "prediction": None})
+            width = len(features)
+            model = OnlineSoftmax.from_row(known[0], width, **options) if known else OnlineSoftmax(width, **options)
+            rows = rows.sort_values(order)
+            guess = model.score_and_learn(rows[list(features)].to_numpy(float), rows[y].to_numpy())
+            name = rows[key].iloc[0]
+            out = [(name, model.to_row(), None, None)]
+            if guess is not None:
+                out += [(name, None, int(a), int(b)) for a, b in zip(rows[y], guess)]
+            return pd.DataFrame(out, columns=[key, "model", y, "prediction"])
+
+        joined = batch.select(key, order, *features, y).groupBy(key).cogroup(old.groupBy(key)).applyInPandas(
+            learn, rows_ddl)
+        done = stage(joined, "learned")
+        done.where("prediction IS NOT NULL").select(key, y, "prediction").write.mode("overwrite").parquet(
+            f"{folder}/scored/batch={number}")
+        done.where("model IS NOT NULL").select(key, "model").write.mode("overwrite").parquet(
+            f"{folder}/state/batch={number}")
 
     return handle
