@@ -368,6 +368,19 @@ def manifest_months(spark, sf):
     return store.parse_manifest(legacy.unionByName(current))
 
 
+@query("manifest_inferred", "A12", S.with_ctes(S.TICKS_BY_TYPE) + """
+SELECT symbol, month, count(*) + CASE WHEN symbol < 'm' THEN 5 ELSE 0 END AS rows,
+  CASE WHEN symbol < 'm' THEN 2 ELSE 0 END AS missing_hours FROM ticks_by_type GROUP BY symbol, month""")
+def manifest_inferred(spark, sf):
+    t = views.ticks_by_type(spark, sf)
+    # Some symbols were recorded when they were loaded; the others have ticks only.
+    known = store.infer_manifest(t.where("symbol < 'm'")).select(
+        "symbol", "month", (F.col("rows") + 5).alias("rows"), F.lit(2).alias("missing_hours"))
+    path = store.new_table_path(spark, "manifest")
+    store.write_manifest(known, path)
+    return _month_text(store.complete_manifest(store.read_manifest(spark, path), t))
+
+
 @query("decode_tick_files", "A6, A7", S.with_ctes(S.TICKS_ALL) + """
 SELECT symbol, date_trunc('millisecond', timestamp) AS timestamp, round(ask, 3) + 0.0 AS ask, round(bid, 3) + 0.0 AS bid,
   ask_volume, bid_volume FROM ticks_all""")

@@ -420,22 +420,43 @@ _MONTHLY_LAB = [S.BARS_1D, S.numbered(), S.atr_cte(),
 
 
 @query("labels_by_month", "G2", S.with_ctes(*_MONTHLY_LAB) + """
-SELECT symbol, month, count(*) AS bars, count(label_5) AS labelled_5, count(label_10) AS labelled_10,
-  CAST(coalesce(sum(label_5), 0) AS BIGINT) AS sum_5 FROM lab GROUP BY 1, 2""")
+SELECT symbol, '1D' AS tf, month, count(*) AS bars, count(label_5) AS labelled_5, count(label_10) AS labelled_10,
+  CAST(coalesce(sum(label_5), 0) AS BIGINT) AS sum_5 FROM lab GROUP BY 1, 2, 3""")
 def labels_by_month(spark, sf):
     bars = stage(bars_1d(spark, sf).withColumn("tf", F.lit("1D")), "bars", ("symbol", "tf", "month"))
     out = store.new_table_path(spark, "labels")
     keys = ("symbol", "tf", "month")
     store.refresh(bars, out, lambda df: labels.add_labels(indicators.atr(df, keys), partition_cols=keys))
-    return store.read_table(spark, out, tf="1D").groupBy(
-        "symbol", F.date_format("month", "yyyy-MM").alias("month")
-    ).agg(
+    return _by_month(store.read_table(spark, out, tf="1D"))
+
+
+def _by_month(table):
+    return table.groupBy("symbol", "tf", F.date_format("month", "yyyy-MM").alias("month")).agg(
         F.count(F.lit(1)).alias("bars"), F.count("label_5").alias("labelled_5"),
         F.count("label_10").alias("labelled_10"),
         F.coalesce(F.sum("label_5"), F.lit(0)).alias("sum_5"),
     )
 
 
+@query("labels_after_lost_months", "G2, A11", S.with_ctes(*_MONTHLY_LAB) + """
+SELECT symbol, '1D' AS tf, month, count(*) AS bars, count(label_5) AS labelled_5, count(label_10) AS labelled_10,
+  CAST(coalesce(sum(label_5), 0) AS BIGINT) AS sum_5 FROM lab WHERE month NOT IN ('1996-03', '1997-05') GROUP BY 1, 2, 3""")
+def labels_after_lost_months(spark, sf):
+    """A month leaves the source, and the result of a changed month becomes empty."""
+    keys = ("symbol", "tf", "month")
+    bars = stage(bars_1d(spark, sf).withColumn("tf", F.lit("1D")), "bars")
+    out = store.new_table_path(spark, "labels")
+
+    def run(df):
+        return labels.add_labels(indicators.atr(df.where("close > 0"), keys), partition_cols=keys)
+
+    month = F.date_format("month", "yyyy-MM")
+    store.refresh(bars, out, run, keys=keys)
+    store.refresh(bars.where(month != "1996-03").withColumn(
+        "close", F.when(month == "1997-05", -1.0).otherwise(F.col("close"))), out, run, keys=keys)
+    return _by_month(store.read_table(spark, out, tf="1D"))
+
+
 _FLAG_DOUBLES = ["open", "high", "low", "close", "rsi_14", "macd_hist", "atr_14", "ema_20", "pp_p",
                  "kz_london_range", "d_high", "pd_high", "dist_to_asia_high_atr", "close_ahead_10"]
 

@@ -74,4 +74,5 @@ def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = (
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    # The schema also fixes the types of partition columns, which folder names would leave to guesses.
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,12 +11,14 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketspark.functions.timecols import bucket_us, from_micros, micros
-from marketspark.session import scratch_path
+from marketspark.session import scratch_path, stage
 from marketspark.sources.ticks import TICK_RECORD
 
 PARTITIONS = ("symbol", "tf", "month")
+PARTITION_TYPES = {"symbol": T.StringType(), "tf": T.StringType(), "month": T.DateType()}
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
@@ -58,13 +60,16 @@ def read_table(
 ) -> DataFrame:
     """Read a stored table; symbol and timeframe prune whole directories.
 
-    ``ignore_corrupt`` skips unreadable files and keeps the rest. Rows carry no
-    order: sort where the result is written, not here.
+    Folder names say nothing of types (``1D`` looks like a number), so symbol and
+    timeframe are read as text and the month as a date. ``ignore_corrupt`` skips
+    unreadable files and keeps the rest. Rows carry no order: sort where the
+    result is written, not here.
     """
     reader = spark.read
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
-    df = reader.parquet(path)
+    fields = [T.StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType)) for f in reader.parquet(path).schema]
+    df = reader.schema(T.StructType(fields)).parquet(path)
     if symbol is not None:
         df = df.where(F.col("symbol") == symbol)
     if tf is not None:
@@ -103,6 +108,18 @@ def changed_partitions(new: DataFrame, old: DataFrame, keys: Sequence[str] = PAR
     return new.join(old, [*keys, "rows", "xor_hash", "sum_hash"], "left_anti")
 
 
+def drop_partitions(keys: DataFrame, path: str) -> None:
+    """Remove the folders of the given partitions; those that do not exist are passed over."""
+    spark = keys.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in keys.toLocalIterator():
+        folder = "/".join(f"{name}={escape(str(value))}" for name, value in row.asDict().items())
+        place = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+        place.getFileSystem(conf).delete(place, True)
+
+
 def refresh(
     source: DataFrame,
     out_path: str,
@@ -113,12 +130,14 @@ def refresh(
 ) -> DataFrame:
     """Recompute only the months whose source rows changed; returns the counts.
 
-    Result partitions are replaced first and the fingerprints stored last, so a
-    run that dies in between is simply repeated.
+    Partitions of changed months, and of months that left the source, are removed
+    before the new ones are written, so a month whose result is empty leaves
+    nothing behind. Fingerprints are taken in one scan and stored last: a run
+    that dies in between is simply repeated.
     """
     spark = source.sparkSession
     marks = out_path.rstrip("/") + ".fingerprints"
-    current = fingerprints(source, keys)
+    current = stage(fingerprints(source, keys), "fingerprints")
     try:
         stored = spark.read.parquet(marks)
         stored = stored.where(
@@ -126,18 +145,19 @@ def refresh(
         ).drop("batch")
     except AnalysisException:
         stored = None
-    batch_path = scratch_path(spark, "changed")
-    todo = current if force or stored is None else changed_partitions(current, stored, keys)
-    todo.write.parquet(batch_path)
-    todo = spark.read.schema(todo.schema).parquet(batch_path)
-    total = current.agg(F.count(F.lit(1)).alias("total"), F.sum("rows").alias("source_rows"))
-    if not todo.isEmpty():
+    todo = stage(current if force or stored is None else changed_partitions(current, stored, keys), "changed")
+    gone = current.select(*keys).limit(0) if stored is None else stage(
+        stored.select(*keys).join(current, list(keys), "left_anti"), "gone")
+    total = current.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum("rows"), F.lit(0)).alias("source_rows"))
+    if not (todo.isEmpty() and gone.isEmpty()):
+        drop_partitions(todo.select(*keys).union(gone), out_path)
         work = source.join(todo.select(*keys), list(keys), "left_semi")
         overwrite_months(transform(work), out_path, keys)
         number = dt.datetime.now(dt.UTC).strftime("%Y%m%d%H%M%S%f")
         current.withColumn("batch", F.lit(number)).write.mode("append").parquet(marks)
-    return total.join(todo.agg(F.count(F.lit(1)).alias("processed"))).select(
-        "processed", (F.col("total") - F.col("processed")).alias("skipped"), "source_rows"
+    return total.join(todo.agg(F.count(F.lit(1)).alias("processed"))).join(
+        gone.agg(F.count(F.lit(1)).alias("removed"))).select(
+        "processed", (F.col("total") - F.col("processed")).alias("skipped"), "source_rows", "removed"
     )
 
 
@@ -169,6 +189,30 @@ def infer_manifest(df: DataFrame) -> DataFrame:
     )
 
 
+def complete_manifest(manifest: DataFrame, ticks: DataFrame) -> DataFrame:
+    """The recorded months, and inferred rows for stored months without a record."""
+    inferred = infer_manifest(ticks)
+    new = inferred.join(manifest, ["symbol", "month"], "left_anti")
+    return manifest.select(*inferred.columns).unionByName(new)
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """One state document per symbol, ``{month: {rows, missing_hours}}``; a symbol has a few hundred months."""
+    state = F.struct("rows", F.col("missing_hours").cast("int").alias("missing_hours"))
+    entries = F.collect_list(F.struct(F.date_format("month", "yyyy-MM").alias("month"), state.alias("state")))
+    manifest.groupBy("symbol").agg(
+        F.to_json(F.map_from_entries(F.array_sort(entries))).alias("value")
+    ).write.mode("overwrite").partitionBy("symbol").text(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``symbol, month, rows, missing_hours`` of all stored state documents."""
+    text = spark.read.schema("value string, symbol string").text(path)
+    months = F.from_json("value", "map<string,struct<rows:bigint,missing_hours:int>>")
+    return text.select("symbol", F.explode(months).alias("month", "state")).select(
+        "symbol", F.to_date(F.concat("month", F.lit("-01"))).alias("month"), "state.rows", "state.missing_hours")
+
+
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["_us", "seq"])
     records = np.empty(len(pdf), TICK_RECORD)

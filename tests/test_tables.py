@@ -11,7 +11,7 @@ import pytest
 from helpers import bars_frame
 from pyspark.sql import functions as F
 
-from marketspark.operators import bars, drift, models, quality, registry, scoring
+from marketspark.operators import bars, drift, models, prep, quality, registry, scoring
 from marketspark.functions.quantiles import feature_quantiles
 from marketspark.sources import store, ticks
 from marketspark.streaming import streams
@@ -145,7 +145,7 @@ def test_failed_backend_is_reported(spark):
 
     rows = {r.backend: r for r in models.compare_backends(
         spark, {"x": lambda: {"best_cv_f1_macro": 0.3}, "y": broken}).collect()}
-    assert rows["x"].status == "ok" and rows["y"].status == "error" and rows["y"].error == "no data"
+    assert rows["x"].status == "ok" and rows["y"].status == "error" and rows["y"].error == "RuntimeError: no data"
 
 
 def test_scoring_needs_every_feature(spark):
@@ -167,3 +167,61 @@ def test_gap_alerts_remember_earlier_batches(spark):
         streams.run_batches(stream, streams.gap_alerts(folder), checkpoint=checkpoint)
     got = [(r.gap_start, r.gap_end, r.hours) for r in streams.read_alerts(spark, folder).collect()]
     assert got == [(t0 + dt.timedelta(hours=0.5), t0 + dt.timedelta(hours=3), 2.5)]
+
+
+def test_ticks_without_numbers_keep_their_values(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("A", t0, 2.0, 2.2), ("A", t0, 1.0, 1.2), ("A", t0 + dt.timedelta(minutes=1), 3.0, 3.2)]
+    df = ticks.to_ticks(spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, bid double, ask double").withColumns(
+        {"bid_volume": F.lit(1.0), "ask_volume": F.lit(1.0)}))
+    kept = quality.dedupe_ticks(df).orderBy("timestamp").collect()
+    assert [(r.bid, r.ask_volume) for r in kept] == [(1.0, 1.0), (3.0, 1.0)]
+    merged = quality.merge_patch(df.where("bid = 2"), df.where("bid < 2")).collect()
+    assert [r.bid for r in merged] == [2.0]
+    for tie in (None, "seq"):
+        bar = bars.resample(df, "1H", min_ticks=1, tie_col=tie).first()
+        assert (bar.open, bar.close, bar.tick_count) == (1.1, 3.1, 3)
+
+
+def test_lost_month_counts_in_the_audit(spark):
+    counts = spark.createDataFrame([("A", dt.date(2024, 1, 1), 10, 0, 0, 0, 0)],
+                                   "symbol string, month date, actual_rows long, nulls long, negative_price long, "
+                                   "negative_spread long, negative_volume long")
+    manifest = spark.createDataFrame([("A", dt.date(2024, 2, 1), 5, 700)], "symbol string, month date, rows long, missing_hours int")
+    row = quality.audit_summary(counts, manifest).first()
+    assert (row.months, row.total_missing_hours, row.total_rows, row.status) == (1, 700, 10, "READY")
+
+
+def test_partition_types_and_removed_months(spark):
+    out = store.new_table_path(spark, "typed")
+    df, _ = bars_frame(spark, 48, start=dt.datetime(2024, 1, 31))
+    df = df.withColumn("tf", F.lit("1D")).withColumn("symbol", F.lit("007"))
+    store.refresh(df, out, lambda d: d.where("close > 0"))
+    first = store.read_table(spark, out)
+    assert {(r.symbol, r.tf, r.month) for r in first.collect()} == {
+        ("007", "1D", dt.date(2024, 1, 1)), ("007", "1D", dt.date(2024, 2, 1))}
+    emptied = df.withColumn("close", F.when(F.month("month") == 2, -1.0).otherwise(F.col("close")))
+    assert store.refresh(emptied, out, lambda d: d.where("close > 0")).first()["processed"] == 1
+    assert {r.month for r in store.read_table(spark, out).collect()} == {dt.date(2024, 1, 1)}
+    counts = store.refresh(emptied.where(F.month("month") == 2), out, lambda d: d.where("close > 0")).first()
+    assert (counts["processed"], counts["removed"]) == (0, 1)
+
+
+def test_short_series_are_trimmed_and_scored(spark):
+    rows = [("A", dt.datetime(2024, 1, 1) + dt.timedelta(days=i), i, 60, i % 5) for i in range(60)]
+    rows += [("S", dt.datetime(2024, 1, 1) + dt.timedelta(days=i), i, 6, i % 5) for i in range(6)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, idx long, n long, y int")
+    lags = prep.lag_features(df.withColumn("label", F.col("y") - 2).drop("y"), "label", [], min_lag=10)
+    assert {r.unique_id for r in lags.collect()} == {"A"} and lags.where("y_lag_10 IS NULL").count() == 0
+    preds = models.seasonal_naive_predictions(df)
+    assert preds.where("symbol = 'A'").count() == 50 and preds.where("prediction IS NULL").count() == 0
+
+
+def test_online_model_scores_all_but_the_first_batch(spark):
+    rows = [(s, i, float(i % 5), i % 5) for s, n in (("A", 130), ("B", 20), ("C", 7)) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, idx long, x double, y int")
+    preds = models.online_predictions(df, ["x"], batch=20, steps=20)
+    got = {r.symbol: r["count"] for r in preds.groupBy("symbol").count().collect()}
+    assert got == {"A": 110}
+    late = preds.where("idx >= 80").collect()
+    assert sum(r.prediction == r.y for r in late) / len(late) > 0.5
