@@ -23,6 +23,9 @@ TEMPER = 0.3
 PRIOR = 20.0
 #: Trigrams below which a text alone casts no vote in the counts, and is never called foreign.
 SHORT = 20
+#: Share of the way from usual text to random bytes beyond which a text is noise. Short texts with names, keys or two
+#: languages are far from usual and still text.
+NOISE = 0.85
 UNKNOWN = "und"
 #: Bytes of text scored at once in a task.
 CHUNK = 4 << 20
@@ -32,7 +35,7 @@ _PLAIN = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash buckets of the letter trigrams of all texts, how many each text has)."""
-    cleaned = [b" " + b" ".join(t.encode("utf-8", "surrogatepass").lower().translate(_PLAIN).split()) + b" "
+    cleaned = [b" " + b" ".join(t.lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split()) + b" "
                for t in texts]
     sizes = np.array([len(c) - 2 if len(c) > 2 else 0 for c in cleaned], dtype=np.int64)
     data = np.frombuffer(b"".join(c for c, n in zip(cleaned, sizes, strict=True) if n), dtype=np.uint8).astype(np.uint32)
@@ -143,8 +146,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     under each suffix, and how often on the host, smoothed by its domain, smoothed by all hosts. A row's own vote is taken out of
     its host's counts.
 
-    ``language`` is "und" for texts without a letter and for texts of ``SHORT`` or more trigrams that fit the best language no
-    better than halfway between its usual text and random bytes. NULL or empty text is "und". A NULL or unknown declared
+    ``language`` is "und" for texts without a letter and for texts of ``SHORT`` or more trigrams that fit the best language so
+    badly that they are closer to random bytes (``NOISE`` of the way there) than to its usual text. NULL or empty text is "und". A NULL or unknown declared
     language, host or suffix is no evidence. Without any labelled row everything is "und". Repeated rows each get a row; an
     empty table gives none; other columns are ignored.
     """
@@ -158,9 +161,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     if not names:
         return slim.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"),
                            F.lit(UNKNOWN).alias("text_language"), "declared", F.lit(0).cast("long").alias("trigrams"))
-    # Halfway between the mean log-likelihood of a language's own trigrams and that of random ones.
+    # Most of the way from the mean log-likelihood of a language's own trigrams to that of random ones.
     usual = (np.exp(table.astype(np.float64)) * table).sum(axis=0)
-    floors = F.array(*[F.lit(float(x)) for x in (usual - np.log(BUCKETS)) / 2])
+    floors = F.array(*[F.lit(float(x)) for x in usual + NOISE * (-np.log(BUCKETS) - usual)])
     labels = F.array(*[F.lit(n) for n in names])
     size = len(names)
 
