@@ -278,6 +278,13 @@ def score_table(model: PipelineModel, rows: DataFrame, features: Sequence[str])
     ).drop("features", "rawPrediction", "probability")
 
 
+def score_to_table(entry, rows: DataFrame, path: str, keep: Sequence[str]) -> DataFrame:
+    """Score ``rows`` with a registry entry's stored model and features, store the predictions and read them back."""
+    scored = score_table(PipelineModel.load(entry["artifact_path"]), rows, entry["feature_columns"])
+    scored.select(*keep, "prediction", F.lit(entry["label"]).alias("label")).write.partitionBy("label").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def compare_backends(
     spark: SparkSession, backends: Mapping[str, Callable[[], dict]]
 ) -> DataFrame:

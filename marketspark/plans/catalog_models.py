@@ -223,21 +223,22 @@ def seasonal_naive_cv(spark, sf):
     return tidy(models.mean_fold_f1(preds).join(scored, "symbol"))
 
 
-def _nb_sql() -> str:
+def _nb_ctes() -> list[str]:
+    """``nb``: the prequential Bayes prediction of every row after the first batch of 100."""
     moments = ", ".join(f"avg({f}) AS m_{f}, avg({f} * {f}) AS q_{f}" for f in FEATURES)
     ll = " ".join(
         f"- 0.5 * (ln(greatest(q_{f} - m_{f} * m_{f}, 1e-6)) + (r.{f} - m_{f}) ** 2 / greatest(q_{f} - m_{f} * m_{f}, 1e-6))"
         for f in FEATURES)
-    return S.with_ctes(*_MR, "bt AS (SELECT DISTINCT symbol, idx // 100 AS batch FROM mr)", f"""
-st AS (SELECT bt.symbol, bt.batch, mr.y AS c, count(*) AS cn, {moments} FROM bt JOIN mr ON mr.symbol = bt.symbol
-   AND mr.idx < bt.batch * 100 GROUP BY 1, 2, 3 HAVING count(*) > 1),
- sc AS (SELECT r.symbol, r.idx, r.y, st.c, ln(cn / sum(cn) OVER (PARTITION BY r.symbol, r.idx)) {ll} AS ll
-   FROM mr r JOIN st ON st.symbol = r.symbol AND st.batch = r.idx // 100)""") + """
-SELECT symbol, idx // 100 AS batch, idx, y, c AS prediction FROM sc
-QUALIFY row_number() OVER (PARTITION BY symbol, idx ORDER BY ll DESC, c) = 1"""
+    return ["nbt AS (SELECT DISTINCT symbol, idx // 100 AS batch FROM mr)", f"""
+nst AS (SELECT nbt.symbol, nbt.batch, mr.y AS c, count(*) AS cn, {moments} FROM nbt JOIN mr ON mr.symbol = nbt.symbol
+   AND mr.idx < nbt.batch * 100 GROUP BY 1, 2, 3 HAVING count(*) > 1),
+ nsc AS (SELECT r.symbol, r.timestamp, r.idx, r.y, nst.c, ln(cn / sum(cn) OVER (PARTITION BY r.symbol, r.idx)) {ll} AS ll
+   FROM mr r JOIN nst ON nst.symbol = r.symbol AND nst.batch = r.idx // 100)""", """
+nb AS (SELECT symbol, timestamp, idx // 100 AS batch, idx, y, c AS prediction FROM nsc
+QUALIFY row_number() OVER (PARTITION BY symbol, idx ORDER BY ll DESC, c) = 1)"""]
 
 
-@query("prequential_nb", "I17", _nb_sql())
+@query("prequential_nb", "I17", S.with_ctes(*_MR, *_nb_ctes()) + "SELECT * EXCLUDE (timestamp) FROM nb")
 def prequential_nb(spark, sf):
     return models.prequential_bayes(_model_rows(spark, sf), FEATURES, batch=100)
 
@@ -262,41 +263,57 @@ def _tree_rows(spark, sf):
     return stage(lags, "lags"), [*FEATURES, *[f"y_lag_{k}" for k in range(10, 15)]]
 
 
-@query("train_tree", "I15")
+def _facts(spark, backend, rows, metrics):
+    """What SQL can state of a trained model: its rows, and that each score is a share."""
+    facts = [(backend, "rows", rows.count())] + [(backend, k, int(0 <= v <= 1)) for k, v in metrics.items() if "f1" in k]
+    return spark.createDataFrame(facts, "backend string, metric string, value long")
+
+
+_FACT_SQL = """
+SELECT '{0}' AS backend, 'rows' AS metric, count(*) AS value FROM mr WHERE idx >= {1}
+UNION ALL SELECT '{0}', unnest(['best_cv_f1_macro', '{2}']), 1"""
+
+
+@query("train_tree", "I15", S.with_ctes(*_MR) + _FACT_SQL.format("tree", 14, "train_f1_macro"))
 def train_tree(spark, sf):
     rows, features = _tree_rows(spark, sf)
     _, metrics = models.train_tree(rows, features, n_trials=2, n_splits=2)
-    return spark.createDataFrame([("tree", k, float(v)) for k, v in metrics.items()],
-                                 "backend string, metric string, value double")
+    return _facts(spark, "tree", rows, metrics)
 
 
-@query("train_sequence_mlp", "I19")
+@query("train_sequence_mlp", "I19", S.with_ctes(*_MR) + _FACT_SQL.format("sequence", 8, "holdout_f1_macro"))
 def train_sequence_mlp(spark, sf):
-    _, metrics = models.train_sequence(_model_rows(spark, sf), FEATURES, n_splits=2, max_iter=10)
-    return spark.createDataFrame([("sequence", k, float(v)) for k, v in metrics.items()],
-                                 "backend string, metric string, value double")
+    rows = _model_rows(spark, sf)
+    _, metrics = models.train_sequence(rows, FEATURES, n_splits=2, max_iter=10)
+    return _facts(spark, "sequence", prep.sequence_windows(rows, FEATURES, "y", 8), metrics)
 
 
-@query("batch_score", "I3, A13")
+@query("batch_score", "I3, A13, I21", S.with_ctes(*_MR) + "SELECT symbol, timestamp, y, 1 AS in_range FROM mr")
 def batch_score(spark, sf):
-    from pyspark.ml import PipelineModel
-
     rows = _model_rows(spark, sf)
     split = F.col("idx") < F.floor(F.col("n") * 0.8)
-    model = models.tree_pipeline(FEATURES, {"numTrees": 10, "maxDepth": 4}, 42).fit(rows.where(split))
-    path = scratch_path(spark, "model")
-    model.write().save(path)
-    reg = registry.entry(
-        spark, backend="tree", symbol="S1", tf="1W", label="label_10", metrics={"best_cv_f1_macro": 0.5},
-        registered_at=0.0, feature_columns=FEATURES, artifact_path=path)
-    best = registry.best_models(registry.list_models(reg, symbol="S1", tf="1W", label="label_10")).first()
-    scored = models.score_table(PipelineModel.load(best["artifact_path"]), rows, best["feature_columns"])
-    out = scratch_path(spark, "predictions")
-    scored.select(*KEY, "y", "prediction", F.lit("label_10").alias("label")).write.partitionBy("label").parquet(out)
-    return spark.read.parquet(out).select(*KEY, "y", "prediction")
-
-
-@query("backend_comparison", "I20")
+    table = scratch_path(spark, "registry")
+    for trained, depth in enumerate((2, 5)):
+        model = models.tree_pipeline(FEATURES, {"numTrees": 10, "maxDepth": depth}, 42).fit(rows.where(split))
+        path = scratch_path(spark, "model")
+        model.write().save(path)
+        held = model.transform(rows.where(~split)).withColumn("prediction", F.col("prediction").cast("int"))
+        score = scoring.macro_f1(held).first()["macro_f1"]
+        registry.append(registry.entry(
+            spark, backend="tree", symbol="ALL", tf="1W", label="label_10", metrics={"best_cv_f1_macro": score},
+            registered_at=float(trained), feature_columns=FEATURES, artifact_path=path), table)
+    stored = registry.list_models(registry.read(spark, table), symbol="ALL", tf="1W", label="label_10")
+    best = registry.best_models(stored).first()
+    out = models.score_to_table(best, rows, scratch_path(spark, "predictions"), keep=[*KEY, "y"])
+    return out.select(*KEY, "y", F.col("prediction").between(-2, 2).cast("int").alias("in_range"))
+
+
+@query("backend_comparison", "I20", tidy_sql(S.with_ctes(
+    *_SN, *_f1_ctes("sn", "symbol, fold"), *_nb_ctes(), *_f1_ctes("nb", "", "f2")) + """
+SELECT 'stats' AS backend, 'ok' AS status, (SELECT avg(m) FROM (SELECT avg(macro_f1) AS m FROM f1 GROUP BY symbol)) AS score, NULL AS error
+UNION ALL SELECT 'bayes', 'ok', (SELECT macro_f1 FROM f2), NULL
+UNION ALL SELECT 'sgd', 'ok', NULL, NULL
+UNION ALL SELECT 'unknown', 'error', NULL, 'ValueError: backend without a trainer'""", ["score"], ["backend", "status", "error"]))
 def backend_comparison(spark, sf):
     rows = _model_rows(spark, sf)
 
@@ -315,8 +332,10 @@ def backend_comparison(spark, sf):
     def broken():
         raise ValueError("backend without a trainer")
 
-    return models.compare_backends(
-        spark, {"stats": naive, "bayes": bayes, "sgd": online, "unknown": broken}).drop("elapsed_s")
+    table = models.compare_backends(spark, {"stats": naive, "bayes": bayes, "sgd": online, "unknown": broken})
+    # The online model is another family than the original: its score is its own.
+    closed = F.when(F.col("backend").isin("stats", "bayes"), F.col("best_cv_f1_macro"))
+    return tidy(table.select("backend", "status", closed.alias("score"), "error"))
 
 
 # ---------------------------------------------------------------- registry

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketspark.operators import backtest, reports
+from marketspark.operators import backtest, models, prep, reports
 from marketspark.operators.select import label_to_signal
 from marketspark.plans import sqlparts as S
+from marketspark.plans.catalog_models import _MR, FEATURES, _model_rows, _nb_ctes
 from marketspark.plans.common import labelled_1h, labelled_1w
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.session import stage
@@ -202,21 +203,23 @@ def bootstrap_bands(spark, sf):
                 ["step", "equity_mean", "lower_95", "lower_68", "upper_68", "upper_95"])
 
 
-# Prediction that uses only past data: the label known when its horizon has passed.
+# Stored predictions of the prequential model; rows without one are neutral.
 _SOURCES = """sg2 AS (SELECT 'labels' AS source, symbol, timestamp, i, n, open, high, low, close, atr_14, signal FROM sg
- UNION ALL SELECT 'model', symbol, timestamp, i, n, open, high, low, close, atr_14,
-  coalesce(lag(signal, 10) OVER (PARTITION BY symbol ORDER BY timestamp), 0) FROM sg)"""
+ UNION ALL SELECT 'model', sg.symbol, sg.timestamp, i, n, open, high, low, close, atr_14,
+  CAST(sign(coalesce(prediction, 2) - 2) AS INT) FROM sg LEFT JOIN nb ON nb.symbol = sg.symbol AND nb.timestamp = sg.timestamp)"""
 
 
-@query("eval_labels_vs_model", "H7", tidy_sql(S.with_ctes(
-    *S.LABELLED_1W, _SIGNALS, _SOURCES, _candidate_sql("sg2", "source, symbol", "1.5", "1.0", "200.0"),
+@query("eval_labels_vs_model", "H7, I4", tidy_sql(S.with_ctes(
+    *_MR, *_nb_ctes(), _SIGNALS, _SOURCES, _candidate_sql("sg2", "source, symbol", "1.5", "1.0", "200.0"),
     _walk_sql("source, symbol"), *_curve_ctes("source, symbol")) + _metric_sql("source, symbol"),
     _METRICS, ["source", "symbol", "total_trades", "no_losses"]))
 def eval_labels_vs_model(spark, sf):
-    from marketspark.operators.prep import lagged
-
-    bars = _signal_bars(spark, sf)
-    model = lagged(bars, {"_past": ("signal", 10)}).withColumn("signal", F.coalesce("_past", F.lit(0))).drop("_past")
+    bars, rows = _signal_bars(spark, sf), _model_rows(spark, sf)
+    predictions = models.prequential_bayes(rows, FEATURES, batch=100).select("symbol", "idx", "prediction").join(
+        rows.select("symbol", "idx", "timestamp"), ["symbol", "idx"]).drop("idx")
+    aligned = prep.align_predictions(bars, stage(predictions, "predictions"))
+    model = aligned.withColumn("label", F.col("prediction") - prep.NEUTRAL).withColumn(
+        "signal", label_to_signal("label")).select(*bars.columns)
     both = bars.withColumn("source", F.lit("labels")).unionByName(model.withColumn("source", F.lit("model")))
     keys = ("source", "symbol")
     trades = backtest.simulate_trades(both, keys=keys, **_RULES_1W)
