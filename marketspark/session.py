@@ -55,9 +55,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_written: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other call has used."""
-    return f"{shared_dir(spark)}/marketspark/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other call has used; ``clear_scratch`` removes it."""
+    path = f"{shared_dir(spark)}/marketspark/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every intermediate table this application has written so far; returns how many.
+
+    Call it when the results built on them have been stored: frames that still
+    read an intermediate table fail afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
 
 
 def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
