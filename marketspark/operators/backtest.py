@@ -13,10 +13,14 @@ from marketspark.session import stage
 
 SERIES = ("symbol",)
 TRADE_BLOCK = 1024
+#: Block tables composed in one row.
+CHAIN = 64
 
 
 def indexed_bars(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """Bars with their position ``idx`` and series length ``n``, written once."""
+    """Bars with their position ``idx`` and series length ``n``, written once unless they have them already."""
+    if {"idx", "n"} <= set(df.columns):
+        return df
     return stage(row_index(df, keys, "timestamp"), "indexed")
 
 
@@ -115,6 +119,47 @@ def signal_is_open(column: str = "signal") -> Column:
     return F.col(column).isin(1, -1)
 
 
+def _after(position: Column, table: Column) -> Column:
+    """Where a block that is reached at ``position`` is left."""
+    return table["_ends"][F.greatest(position - table["_first"], F.lit(0)).cast("int")]
+
+
+def _block_starts(tables: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """``keys, _blk, _start``: the position at which each block is reached.
+
+    ``tables`` say where a block is left for each of ``width`` ways to reach it.
+    ``CHAIN`` neighbouring blocks compose to a table of the same shape, and those
+    compose again, until a series is one table; then the positions go down level
+    by level. No row ever holds more than ``CHAIN`` tables. Blocks without
+    candidates leave the position alone, so only listed blocks matter.
+    """
+    highest = tables.agg(F.max("_blk")).first()[0]
+    packed = tables.groupBy(*keys, F.floor(F.col("_blk") / CHAIN).alias("_up")).agg(
+        F.array_sort(F.collect_list(F.struct("_blk", "_first", "_ends"))).alias("_tables"))
+    if highest is None or highest < CHAIN:
+        above = packed.withColumn("_start", F.lit(0).cast("long"))
+    else:
+        packed = stage(packed, "chain")
+        origin = F.col("_tables")[0]["_first"]
+        ends = F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)),
+            lambda s: F.aggregate("_tables", (origin + s).cast("long"), _after))
+        up = stage(packed.select(*keys, F.col("_up").alias("_blk"), origin.alias("_first"), ends.alias("_ends")), "chain")
+        above = packed.join(
+            _block_starts(up, keys, width).withColumnRenamed("_blk", "_up"), [*keys, "_up"])
+    walk = F.aggregate(
+        "_tables",
+        F.struct(F.col("_start").alias("position"),
+                 F.array().cast("array<struct<_blk:bigint,_start:bigint>>").alias("starts")),
+        lambda acc, t: F.struct(
+            _after(acc["position"], t).alias("position"),
+            F.concat(acc["starts"], F.array(F.struct(
+                t["_blk"].alias("_blk"), F.greatest(acc["position"], t["_first"]).alias("_start")))).alias("starts")),
+        lambda acc: acc["starts"],
+    )
+    return above.select(*keys, F.inline(walk))
+
+
 def select_non_overlapping(
     candidates: DataFrame,
     *,
@@ -128,7 +173,7 @@ def select_non_overlapping(
     but at a block border its whole state is how many of the next block's bars
     are still taken: at most ``horizon_limit + 1`` values. So every block works
     out, in parallel, where it would end for each possible start; those short
-    tables are chained per series; then every block replays its one true start.
+    tables are composed level by level; then every block replays its one true start.
     """
     width = horizon_limit + 1
     if block <= width:
@@ -151,35 +196,11 @@ def select_non_overlapping(
             lambda start: F.aggregate("_cands", (first + start).cast("long"), advance),
         ),
     )
-    # Chain the tables: one short row per block and series. Blocks without
-    # candidates leave the position alone, so only listed blocks matter.
-    chained = tables.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_blk", "_ends"))).alias("_tables")
-    )
-    step = F.aggregate(
-        "_tables",
-        F.struct(
-            F.lit(0).cast("long").alias("position"),
-            F.array().cast("array<struct<_blk:bigint,_start:bigint>>").alias("starts"),
-        ),
-        lambda acc, t: F.struct(
-            t["_ends"][
-                F.greatest(acc["position"] - t["_blk"] * block, F.lit(0)).cast("int")
-            ].alias("position"),
-            F.concat(
-                acc["starts"],
-                F.array(F.struct(
-                    t["_blk"].alias("_blk"),
-                    F.greatest(acc["position"], t["_blk"] * block).alias("_start"),
-                )),
-            ).alias("starts"),
-        ),
-        lambda acc: acc["starts"],
-    )
+    tables = stage(tables, "blocks")
     # A trade that never closes ends at position n; it was opened fewer than
     # `width` bars before the end, so even then the lookup stays inside the table.
-    starts = chained.select(*keys, F.inline(step))
-    replayed = grouped.join(starts, [*keys, "_blk"]).select(
+    starts = _block_starts(tables.select(*keys, "_blk", first.alias("_first"), "_ends"), keys, width)
+    replayed = tables.join(starts, [*keys, "_blk"]).select(
         *keys, F.explode(
             F.aggregate(
                 "_cands",

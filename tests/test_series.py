@@ -83,7 +83,8 @@ def test_labels_need_atr_and_use_both_thresholds(spark):
 
 
 @pytest.mark.parametrize("block,seed", [(12, 1), (50, 2)])
-def test_trades_equal_a_state_machine(spark, block, seed):
+def test_trades_equal_a_state_machine(spark, block, seed, monkeypatch):
+    monkeypatch.setattr(backtest, "CHAIN", 3)  # several levels of composed blocks
     n = 400
     df, rows = bars_frame(spark, n, seed)
     rng = random.Random(seed)
