@@ -1,0 +1,67 @@
+"""Cases of the review: near copies, rare languages, credentials and marks of pages."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from marketspark.llm import copies
+
+SF = "/root/testdata/sf0.01"
+
+
+def five(text):
+    words = text.encode().lower().split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def groups(texts, least=0.8):
+    """The smallest id that each id reaches over pairs of ``least`` Jaccard similarity, by comparing all pairs."""
+    sets = {i: five(t) for i, t in sorted(texts.items())}
+    holders, label = {}, {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, s in sets.items():
+        shared = {}
+        for g in s:
+            for j in holders.setdefault(g, []):
+                shared[j] = shared.get(j, 0) + 1
+            holders[g].append(i)
+        for j, n in shared.items():
+            if n >= least * (len(s) + len(sets[j]) - n):
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    empty = [i for i, s in sets.items() if not s]
+    return {i: min(empty) if i in empty else root(i) for i in sets}
+
+
+def test_near_copies_of_a_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r[0]: r[1] or "" for r in docs.select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r["component_id"] for r in copies.similar(docs).collect()}
+    assert got == groups(texts)
+
+
+@pytest.mark.parametrize("group", [1024, 30])
+def test_near_copies_with_changed_words(spark, group, monkeypatch):
+    monkeypatch.setattr(copies, "GROUP", group)  # large groups are cut into chunks
+    rng = random.Random(group)
+    texts, word = {}, lambda: f"w{rng.randrange(5000)}"
+    for base in range(30):
+        words = [word() for _ in range(rng.randint(5, 400))]
+        texts[len(texts)] = " ".join(words)
+        for _ in range(rng.choice([1, 2, 70])):
+            changed = list(words)
+            for _ in range(rng.randint(1, 1 + len(words) // 25)):
+                changed[rng.randrange(len(words))] = word()
+            texts[len(texts)] = " ".join(changed)
+    want = groups(texts)
+    assert any(i != c for i, c in want.items())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in copies.similar(docs).collect()} == want
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF).collect()
+    assert {r["doc_id"] for r in kept} == set(want.values())
