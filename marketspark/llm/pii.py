@@ -21,6 +21,9 @@ SYLLABLES = {
     "cyrillic": "ба дел фин гор хал жен кос лам мер нов пет рис сол тар вен зим".split(),
 }
 _LUHN_SEPARATED = r"\d{4}(?<s>[ -])\d{4}\k<s>\d{4}\k<s>\d{1,7}|\d{4}(?<z>[ -])\d{6}\k<z>\d{5}"
+#: Addresses with "::". One group has three or more digits, as in every range given out; "::1", "x[1::2]" and "a::b" have none.
+_SHORT_IP = (r"(?<![\p{L}\p{N}_:.])(?=[0-9A-Fa-f:]{0,36}[0-9A-Fa-f]{3})(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::"
+             r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\p{L}\p{N}_:]|\.\d)")
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])",
     "secret": r"(?<!\p{L})(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
@@ -32,14 +35,14 @@ KINDS = {
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\d)|"
              r"\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)|\+\d{9,15}(?!\d)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)|"
-          r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+          r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])|" + _SHORT_IP,
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": rf"(?<!\d)(?:{_LUHN_SEPARATED}|\d{{13,19}})(?!\d)",
     "name": rf"(?<!\p{{L}})(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? \p{{Lu}}[\p{{Ll}}'’-]+(?: \p{{Lu}}[\p{{Ll}}'’-]+){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Every entity holds one of these, and few texts do.
-HINT = r"[0-9@]|-----BEGIN|(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + r")\.? "
+HINT = r"[0-9@]|-----BEGIN|(?<![A-Za-z0-9])(?:AKIA|ASIA|gh[pousr]_|sk-|xox[baprs]-)|::|(?:[0-9A-Fa-f]{1,4}:){7}|(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + r")\.? "
 
 
 def _kind() -> Column:
