@@ -15,8 +15,8 @@ from marketspark.llm.common import prepare, stage, text_or_empty
 BUCKETS = 1 << 16
 #: Documents per language that the text model is fitted on, about (a bounded sample of labelled rows).
 SAMPLE = 500
-#: Languages need this share of the labelled rows to be told apart, so there are at most 1000.
-LEAST_SHARE = 0.001
+#: Languages whose likelihoods a task holds at once (64 MB). Every declared language is told apart, in as many blocks as it takes.
+BLOCK = 256
 #: Overlapping trigrams repeat each other's evidence; their log-likelihood counts by this weight.
 TEMPER = 0.3
 #: Strength of the parent (domain, then all hosts) in the smoothed host priors, in documents.
@@ -72,56 +72,74 @@ def host_name(column: str) -> Column:
     return F.lower(F.when(found != "", found).otherwise(raw))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """(languages, log-likelihood table [bucket, language]) from (id, text, declared).
+def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], Iterator[np.ndarray]]:
+    """(languages, log-likelihood tables [bucket, language] of ``BLOCK`` languages each) from (id, text, declared).
 
     Rows are taken by the hash of their id, about ``sample`` of each language; the counts of a task are one row a language.
     """
     named = labelled.where("declared IS NOT NULL").groupBy("declared").count()
-    floor = LEAST_SHARE * (named.agg(F.sum("count")).first()[0] or 0)
-    kept = {r[0]: r[1] for r in named.where(F.col("count") >= floor).orderBy("declared").collect()}  # 1000 at most
+    kept = {r[0]: r[1] for r in named.orderBy("declared").collect()}
     names = list(kept)
     if not names:
-        return [], np.zeros((BUCKETS, 0), dtype=np.float32)
-    rate = F.lit(None).cast("double")
-    for name, n in kept.items():
-        rate = F.when(F.col("declared") == name, F.lit(sample / n)).otherwise(rate)
+        return [], iter(())
+    # Languages of up to ``sample`` rows give all of them.
+    rates = labelled.sparkSession.createDataFrame(
+        [(k, i // BLOCK, sample / n) for i, (k, n) in enumerate(kept.items())], "declared string, block int, rate double")
     unit = F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(1 << 20)) / float(1 << 20)
-    number = {n: i for i, n in enumerate(names)}
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, np.ndarray] = {}
+        total: dict[tuple[int, str], np.ndarray] = {}
+
+        def held() -> pd.DataFrame:
+            return pd.DataFrame([(*k, v.astype("<f4").tobytes()) for k, v in total.items()], columns=["block", "name", "counts"])
+
         for part in parts:
-            for name, rows in part.groupby("declared"):
+            for key, rows in part.groupby(["block", "declared"]):
                 codes, _ = trigrams(rows["text"].tolist())
-                total[name] = total.get(name, 0) + np.bincount(codes, minlength=BUCKETS)
-        yield pd.DataFrame([(k, v.astype("<f4").tobytes()) for k, v in total.items()], columns=["name", "counts"])
+                total[key] = total.get(key, 0) + np.bincount(codes, minlength=BUCKETS)
+                if len(total) >= BLOCK:
+                    yield held()
+                    total.clear()
+        yield held()
+
+    picked = labelled.join(F.broadcast(rates), "declared").where(unit < F.col("rate")).select("block", "declared", "text").coalesce(16)
+    counted = stage(picked.mapInPandas(count, "block int, name string, counts binary"), "trigrams")
 
-    table = np.zeros((BUCKETS, len(names)))
-    picked = labelled.where(unit < rate).select("declared", "text").coalesce(16)
-    for name, data in picked.mapInPandas(count, "name string, counts binary").toLocalIterator():
-        table[:, number[name]] += np.frombuffer(data, "<f4")
-    table += 0.1
-    return names, np.log(table / table.sum(axis=0)).astype(np.float32)
+    def tables() -> Iterator[np.ndarray]:
+        for lo in range(0, len(names), BLOCK):
+            number = {n: i for i, n in enumerate(names[lo:lo + BLOCK])}
+            table = np.zeros((BUCKETS, len(number)))
+            for name, data in counted.where(F.col("block") == lo // BLOCK).select("name", "counts").toLocalIterator():
+                table[:, number[name]] += np.frombuffer(data, "<f4")
+            table += 0.1
+            yield np.log(table / table.sum(axis=0)).astype(np.float32)
 
+    return names, tables()
 
-def text_scores(slim: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
-    """The columns of ``slim`` but text, with n (trigrams) and loglik (one sum per language)."""
-    shared = slim.sparkSession.sparkContext.broadcast(table)  # at most 1000 languages
+
+def text_scores(slim: DataFrame, shared: list, size: int) -> DataFrame:
+    """The columns of ``slim`` but text, with n (trigrams) and loglik (one sum for each of ``size`` languages).
+
+    ``shared`` are the broadcast tables; of several, a task holds one at a time.
+    """
     fields = [f for f in slim.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n long, loglik array<double>"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
         for part in parts:
             texts, sums, sizes = part["text"].tolist(), [], []
             for lo, hi in _chunks(texts):
                 codes, n = trigrams(texts[lo:hi])
-                whole = np.zeros((hi - lo, model.shape[1]))
-                if len(codes):
-                    starts = (np.cumsum(n) - n)[n > 0]
+                whole, first = np.zeros((hi - lo, size)), 0
+                starts = (np.cumsum(n) - n)[n > 0]
+                for block in shared if len(codes) else ():
+                    model = block.value
                     for k in range(model.shape[1]):
-                        whole[n > 0, k] = np.add.reduceat(model[:, k].astype(np.float64)[codes], starts)
+                        whole[n > 0, first + k] = np.add.reduceat(model[:, k].astype(np.float64)[codes], starts)
+                    first += model.shape[1]
+                    if len(shared) > 1:
+                        del model
+                        vars(block).pop("_value", None)  # read again from its file when next needed
                 sums += whole.tolist()
                 sizes += n.tolist()
             yield part.drop(columns="text").assign(n=sizes, loglik=sums)
@@ -129,11 +147,13 @@ def text_scores(slim: DataFrame, names: list[str], table: np.ndarray) -> DataFra
     return slim.mapInPandas(run, schema)
 
 
-def _counts(votes: DataFrame, key: str, names: list[str], out: str) -> DataFrame:
+def _counts(votes: DataFrame, key: str, size: int, out: str) -> DataFrame:
     """(key, out): votes per language as an array; partial sums before the shuffle, whatever the size of a key."""
-    one = [F.sum(F.when(F.col("vote") == i, 1).otherwise(0)).alias(f"c{i}") for i in range(len(names))]
-    return votes.where(F.col("vote") >= 0).groupBy(key).agg(*one).select(
-        key, F.array(*[f"c{i}" for i in range(len(names))]).alias(out))
+    each = votes.where(F.col("vote") >= 0).groupBy(key, "vote").count()
+    found = each.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("vote", "count"))).alias("found"))
+    zero = F.lit(0).cast("long")
+    return found.select(key, F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
+                                         lambda i: F.coalesce(F.try_element_at("found", i), zero)).alias(out))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang",
@@ -141,7 +161,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     """(id_col, language, confidence, text_language, declared, trigrams): one row per input row.
 
     log P(l | all) = TEMPER * log P(text | l) + log P(l | host) + log P(declared | l) + log P(suffix | l) + constant.
-    The text model is fitted on about ``sample`` rows per declared language. The other parts are grouped counts over all
+    The text model is fitted on about ``sample`` rows per declared language, however rare it is. The other parts are grouped counts over all
     rows, each row voting for the language of its text: how often each language is declared as what, how often it occurs
     under each suffix, and how often on the host, smoothed by its domain, smoothed by all hosts. A row's own vote is taken out of
     its host's counts.
@@ -157,12 +177,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"),
         (base_language(declared_col) if declared_col else none).alias("declared"),
         (host_name(host_col) if host_col else F.lit("")).alias("host"))
-    names, table = fit(slim, sample)
+    names, tables = fit(slim, sample)
     if not names:
         return slim.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"),
                            F.lit(UNKNOWN).alias("text_language"), "declared", F.lit(0).cast("long").alias("trigrams"))
     # Most of the way from the mean log-likelihood of a language's own trigrams to that of random ones.
-    usual = (np.exp(table.astype(np.float64)) * table).sum(axis=0)
+    shared, usual = [], []
+    for table in tables:
+        usual.append((np.exp(table.astype(np.float64)) * table).sum(axis=0))
+        shared.append(spark.sparkContext.broadcast(table))
+        del table
+    usual = np.concatenate(usual)
     floors = F.array(*[F.lit(float(x)) for x in usual + NOISE * (-np.log(BUCKETS) - usual)])
     labels = F.array(*[F.lit(n) for n in names])
     size = len(names)
@@ -170,22 +195,23 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     best = F.expr("array_position(loglik, array_max(loglik)) - 1").cast("int")
     fits = (F.col("n") > 0) & ((F.col("n") < SHORT) | (F.array_max("loglik") / F.col("n") >= F.get(floors, best)))
     parts = F.split("host", r"\.")
-    scored = text_scores(slim, names, table).select(
+    scored = text_scores(slim, shared, size).select(
         "id", "declared", "host", "n", "loglik", best.alias("best"), fits.alias("fits"),
         F.when(fits & (F.col("n") >= SHORT), best).otherwise(-1).alias("vote"),
         F.when(F.size(parts) > 1, F.array_join(F.slice(parts, -2, 2), ".")).otherwise(F.col("host")).alias("domain"),
         F.when(F.size(parts) > 1, F.element_at(parts, -1)).alias("suffix"))
     scored = stage(scored, "scored")
-    hosts = _counts(scored, "host", names, "on_host")
-    domains = _counts(scored, "domain", names, "on_domain")
-    total = [int(x or 0) for x in scored.agg(*[F.sum(F.when(F.col("vote") == i, 1)) for i in range(size)]).first()]
+    hosts = _counts(scored, "host", size, "on_host")
+    domains = _counts(scored, "domain", size, "on_domain")
+    votes = dict(scored.where("vote >= 0").groupBy("vote").count().collect())  # one row a language
+    total = [votes.get(i, 0) for i in range(size)]
     world = F.array(*[F.lit((t + 1.0) / (sum(total) + size)) for t in total])
 
     def likelihoods(key: str, out: str) -> DataFrame:
         """(key, out): log P(key | language), one vote added for each language and value."""
-        counted = _counts(scored.where(F.col(key).isNotNull()), key, names, "c")
-        given = [F.log((F.get("c", F.lit(i)) + 1.0) / (float(total[i]) + size)) for i in range(size)]
-        return counted.select(key, F.array(*given).alias(out))
+        counted = _counts(scored.where(F.col(key).isNotNull()), key, size, "c")
+        totals = F.array(*[F.lit(float(t)) for t in total])
+        return counted.select(key, F.zip_with("c", totals, lambda c, t: F.log((c + 1.0) / (t + size))).alias(out))
 
     zero = F.array(*[F.lit(0.0)] * size)
     none_yet = F.array(*[F.lit(0).cast("long")] * size)

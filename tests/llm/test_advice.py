@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from marketspark.llm import copies, pii
+from marketspark.llm import copies, langid, pii
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,3 +78,19 @@ def test_entities_without_a_digit_are_found(spark):
         assert got[i]["n"] >= 1 and t not in got[i]["text"], t
     for i, t in enumerate(other, len(private)):
         assert got[i]["n"] == 0 and got[i]["text"] == f"see {t} here", t
+
+
+@pytest.mark.parametrize("block", [256, 2])
+def test_rare_languages_have_a_class(spark, block, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    words = {"en": "the house and garden of man with water from day light", "de": "das haus und der garten von dem mann mit wasser",
+             "el": "το σπίτι και ο κήπος του ανθρώπου με νερό από φως", "cs": "dům a zahrada člověka s vodou ze dne světlo přes"}
+    rng = random.Random(5)
+    text = lambda name: " ".join(rng.choices(words[name].split(), k=12))
+    rows = [(i, text("en" if i % 2 else "de"), "en" if i % 2 else "de") for i in range(24000)]
+    rows += [(30000 + i, text("el" if i % 2 else "cs"), "el" if i % 2 else "cs") for i in range(40)]  # below a thousandth each
+    rows += [(40000 + i, text(name), None) for i, name in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = {r["doc_id"]: r["language"] for r in langid.identify(df, host_col=None).where("doc_id >= 30000").collect()}
+    assert all(got[30000 + i] == ("el" if i % 2 else "cs") for i in range(40))
+    assert [got[40000 + i] for i in range(4)] == list(words)
