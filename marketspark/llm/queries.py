@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import chat, decontaminate, html, langid, lm, packing, pii, search, sharding, simhash
+from marketspark.llm import chat, decontaminate, html, langid, lm, packing, phrases, pii, search, sharding, simhash
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op3_quotation_linking(spark, sf):
 def op5_topk_search(spark, sf):
     docs = read(spark, sf, "documents")
     return search.top_k(docs, docs.where("doc_id % 100 = 0"))
+
+
+@query("op11_phrase_collocations", phrases.oracle())
+def op11_phrase_collocations(spark, sf):
+    return phrases.collocations(read(spark, sf, "documents"))
