@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While a job on rows of another size than whole texts runs: so many of them at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,4 +44,4 @@ def groups_for(amount: int, each: int) -> int:
     return max(1, -(-int(amount) // each))
 
 
-__all__ = ["ARROW_ROWS", "groups_for", "prepare", "read", "stage", "text_or_empty"]
+__all__ = ["ARROW_ROWS", "arrow_rows", "groups_for", "prepare", "read", "stage", "text_or_empty"]

@@ -11,37 +11,26 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import ARROW_ROWS, groups_for, prepare, stage, text_or_empty
+from marketspark.llm.common import arrow_rows, groups_for, prepare, stage, text_or_empty
 
 #: Bytes of text of a language that are counted together, and tokens in one stored row.
 BATCH_BYTES, ROW_TOKENS = 16 << 20, 1 << 16
-#: Rows of a stream that a worker reads at once, and rows in one sorted range.
-STREAM_ROWS, RANGE_ROWS = 20_000, 1 << 21
+#: Rows of a stream that a worker reads at once, rows in one sorted range, and answers packed together before they are sent.
+STREAM_ROWS, RANGE_ROWS, ANSWERS = 20_000, 1 << 19, 1 << 18
 #: Rows in one range of the frequent phrases, and sampled rows for each such range.
 PHRASE_ROWS, SAMPLE = 1 << 19, 64
 #: Lower-cases A-Z, makes every end of a piece a line feed and every space between words a space.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 
 
-@contextmanager
-def streaming(spark: SparkSession) -> Iterator[None]:
-    """While tables of narrow rows are written: larger Arrow batches than whole texts allow."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(STREAM_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
 def pieces_of(texts: Iterable[str]) -> tuple[list[bytes], list[int]]:
     """All words, and the number of words in each piece."""
     words, sizes = [], []
@@ -53,12 +42,14 @@ def pieces_of(texts: Iterable[str]) -> tuple[list[bytes], list[int]]:
     return words, sizes
 
 
-def _encode(docs: DataFrame, spark: SparkSession) -> DataFrame:
+def _encode(docs: DataFrame) -> DataFrame:
     """Batches of one language: kind 0 rows (code, word, count), kind 1 rows of tokens (code + 1; 0 ends a piece)."""
     columns = ["kind", "batch", "lang", "code", "word", "count", "tokens"]
 
     def rows_of(batch: int, lang: str, texts: list[str]) -> Iterator[pd.DataFrame]:
         words, sizes = pieces_of(texts)
+        if not words:
+            return
         flat = np.empty(len(words), dtype=object)
         flat[:] = words
         codes, unique = pd.factorize(flat)
@@ -128,46 +119,71 @@ def runs(chunks: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.D
         yield whole, starts_of(whole)
 
 
-def _frequent(rows: DataFrame, keys: list[str], answer: str, least: int, schema: str, numbered: bool) -> DataFrame:
-    """Add up a count stream range by range. Kind 0: a row for each frequent key; kind 1: a row for each batch that holds it.
+def _packed(held: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+    """One row for each batch: its answers as two runs of numbers."""
+    batch, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(batch, kind="stable")
+    batch, a, b = batch[order], a[order], b[order]
+    at = np.flatnonzero(np.r_[True, batch[1:] != batch[:-1]])
+    ends = np.r_[at[1:], len(batch)]
+    return pd.DataFrame({"kind": 1, "batch": batch[at], "a": [a[i:j].tobytes() for i, j in zip(at, ends, strict=True)],
+                         "b": [b[i:j].tobytes() for i, j in zip(at, ends, strict=True)]})
+
+
+def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(rows[c]), np.int64) for c in ("a", "b"))
 
-    A key's rows meet in one range, one row for each batch that holds it, whatever its count.
+
+def _frequent(rows: DataFrame, keys: list[str], least: int, numbered: bool) -> DataFrame:
+    """Add up a count stream range by range. Kind 0: a row for each frequent key; kind 1: answers to the batches that hold it.
+
+    An answer is the key's code in the batch and its new number, or the two words of a pair. A key's rows meet in one range, one
+    row for each batch that holds it, whatever its count.
     """
     ranges = groups_for(rows.count(), RANGE_ROWS)
+    columns = ["kind", *keys, "f", "id", "batch", "a", "b"]
 
     def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 40
+        held, waiting = [], 0
         for frame, at in runs(chunks, keys):
             total = np.add.reduceat(frame["count"].to_numpy(), at)
             often = total >= least
             if not often.any():
                 continue
             sizes = np.diff(np.r_[at, len(frame)])
-            held = frame[np.repeat(often, sizes)]
-            one = frame.iloc[at[often]][keys].assign(kind=0, batch=None, f=total[often])
-            each = held[["batch", answer]].assign(kind=1)
+            inside = np.repeat(often, sizes)
+            batch = frame["batch"].to_numpy(np.int64)[inside]
+            ids = number + np.arange(often.sum())
+            number += len(ids)
+            one = {k: frame[k].to_numpy()[at[often]] for k in keys}
+            yield pd.DataFrame({"kind": 0, **one, "f": total[often], "id": ids, "batch": None, "a": None, "b": None})
             if numbered:
-                one["id"] = number + np.arange(len(one))
-                each["id"] = np.repeat(one["id"].to_numpy(), sizes[often])
-                number += len(one)
+                held.append((batch, frame["code"].to_numpy(np.int64)[inside], np.repeat(ids, sizes[often])))
             else:
-                each = each.assign(**{k: held[k] for k in keys})
-            yield pd.concat([one, each], ignore_index=True).reindex(columns=names)
-
-    names = [c.split()[0] for c in schema.split(",")]
+                held.append((batch, *(frame[k].to_numpy(np.int64)[inside] for k in keys)))
+            waiting += len(batch)
+            if waiting >= ANSWERS:
+                yield _packed(held).assign(**dict.fromkeys([*keys, "f", "id"]))[columns]
+                held, waiting = [], 0
+        if held:
+            yield _packed(held).assign(**dict.fromkeys([*keys, "f", "id"]))[columns]
+
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
     sorted_rows = rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
-    with streaming(rows.sparkSession):
-        return stage(sorted_rows.mapInPandas(run, schema), "frequent", ("kind",))
+    with arrow_rows(rows.sparkSession, STREAM_ROWS):
+        return stage(sorted_rows.mapInPandas(run, f"kind int, {kinds}, f long, id long, batch long, a binary, b binary"),
+                     "frequent", ("kind",))
 
 
 def _tokens(rows: pd.DataFrame, words: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Frequent word ids of a batch in order, and for every token its place among them (-1: another word or the end of a piece)."""
     unpack = zstandard.ZstdDecompressor().decompress
     codes = np.concatenate([np.frombuffer(unpack(t), "<u4") for t in rows.sort_values("code")["tokens"]]).astype(np.int64)
-    ids = words["id"].to_numpy(np.int64)
+    own, ids = _unpacked(words)
     order = np.argsort(ids)
     place = np.full(codes.max(initial=0) + 2, -1, np.int64)
-    place[words["code"].to_numpy(np.int64)[order] + 1] = np.arange(len(ids))
+    place[own[order] + 1] = np.arange(len(ids))
     return ids[order], place[codes]
 
 
@@ -191,11 +207,11 @@ def _longer(tokens: DataFrame, answers: DataFrame, longest: int) -> DataFrame:
     names = [f"w{i + 1}" for i in range(longest)]
 
     def run(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        pairs = known[known["w2"].notna()]
+        pairs = known[known["pair"]]
         if not len(rows) or not len(pairs):
             return pd.DataFrame(columns=[*names, "count"], dtype=np.int64)
-        ids, at = _tokens(rows, known[known["code"].notna()])
-        w1, w2 = (np.searchsorted(ids, pairs[c].to_numpy(np.int64)) for c in ("w1", "w2"))
+        ids, at = _tokens(rows, known[~known["pair"]])
+        w1, w2 = (np.searchsorted(ids, w) for w in _unpacked(pairs))
         often = np.sort(w1 * len(ids) + w2)
         found = at[:-1] * len(ids) + at[1:]
         near = np.minimum(np.searchsorted(often, found), len(often) - 1)
@@ -262,7 +278,7 @@ def _prefix_counts(rows: DataFrame, longest: int, least: int) -> DataFrame:
 
     schema = ", ".join(f"{c} long" for c in [*names, "f"])
     ordered = rows.repartitionByRange(groups_for(rows.count(), RANGE_ROWS), *names).sortWithinPartitions(*names)
-    with streaming(rows.sparkSession):
+    with arrow_rows(rows.sparkSession, STREAM_ROWS):
         counted = stage(ordered.mapInPandas(run, schema), "runs")
     return counted.groupBy(*names).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
@@ -317,7 +333,7 @@ def _in_step(grams: DataFrame, side: str, total: int) -> DataFrame:
         leave(0, out) if part is not None else None
         yield pd.DataFrame(out, columns=["words", "f", "parts", "same"])
 
-    with streaming(grams.sparkSession):
+    with arrow_rows(grams.sparkSession, STREAM_ROWS):
         dealt = rows.mapInPandas(deal, "part int, words array<long>, f long, own boolean")
         ordered = dealt.repartition(ranges, "part").sortWithinPartitions("part", "words")
         found = stage(ordered.mapInPandas(run, "words array<long>, f long, parts array<long>, same boolean"), side)
@@ -336,22 +352,17 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """
     if longest < 3:
         raise ValueError("phrases of 3 words at least")
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_or_empty(text_col).alias("text"))
-    batches = _encode(slim, spark)
+    batches = _encode(slim)
     tokens = batches.where("kind = 1").select("batch", "code", "tokens")
     vocabulary = batches.where("kind = 0").select("lang", "word", "batch", "code", "count")
     sizes = vocabulary.groupBy("lang").agg(F.sum("count").alias("n"))
 
-    words = _frequent(vocabulary, ["lang", "word"], "code", least,
-                      "kind int, batch long, code long, id long, lang string, word string, f long", numbered=True)
-    in_batch = words.where("kind = 1").select("batch", "code", "id")
-    pairs = _frequent(_pairs(tokens, in_batch), ["w1", "w2"], "w1", least,
-                      "kind int, batch long, w1 long, w2 long, f long", numbered=False)
-    none = F.lit(None).cast("long")
-    answers = in_batch.select("batch", "code", "id", none.alias("w1"), none.alias("w2")).union(
-        pairs.where("kind = 1").select("batch", none, none, "w1", "w2"))
-    longer = _prefix_counts(_longer(tokens, answers, longest), longest, least)
+    words = _frequent(vocabulary, ["lang", "word"], least, numbered=True)
+    answers = lambda found, pair: found.where("kind = 1").select("batch", "a", "b", F.lit(pair).alias("pair"))
+    pairs = _frequent(_pairs(tokens, answers(words, False)), ["w1", "w2"], least, numbered=False)
+    longer = _prefix_counts(_longer(tokens, answers(words, False).union(answers(pairs, True)), longest), longest, least)
 
     word = words.where("kind = 0").select("id", "lang", "word", "f")
     grams = stage(word.select(F.array("id").alias("words"), "f").union(

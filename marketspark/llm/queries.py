@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketspark.llm import chat, decontaminate, html, langid, lm, packing, phrases, pii, search, sharding, simhash
+from marketspark.llm import chat, codes, decontaminate, html, langid, lm, packing, phrases, pii, search, sharding, simhash, toxicity
 from marketspark.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,13 @@ def op5_topk_search(spark, sf):
 @query("op11_phrase_collocations", phrases.oracle())
 def op11_phrase_collocations(spark, sf):
     return phrases.collocations(read(spark, sf, "documents"))
+
+
+@query("op12_vector_codes", codes.oracle())
+def op12_vector_codes(spark, sf):
+    return codes.codes(read(spark, sf, "embeddings"))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark, sf):
+    return toxicity.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
