@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from marketspark.llm.common import prepare, text_or_empty
 
 #: Classifiers, and the expected number of toxic and of unlabelled texts each learns from: the bounded sample.
-MEMBERS, POSITIVES, UNLABELLED = 4, 2000, 8000
+MEMBERS, POSITIVES, UNLABELLED = 4, 1500, 5000
 #: Features of a classifier: those most over-represented in toxic texts, and the least log-likelihood ratio of a feature: chance
 #: alone gives that to about one in 100,000.
 FEATURES, SCORE = 4096, 20.0
@@ -92,23 +92,41 @@ class Classifier:
     def learn(cls, texts: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, prior: float) -> Classifier:
         """Full-batch non-negative PU learning of a logistic model; ``texts`` are as from ``text_features``."""
         hashes = cls.select([t[0] for t in texts], toxic)
-        rows = np.zeros((len(texts), len(hashes) + 2), np.float32)
+        lines, places, values = [], [], []
         for i, (own, count, words) in enumerate(texts):
-            if len(hashes):
-                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-                here = hashes[at] == own
-                rows[i, at[here]] = strength(count[here])
-            rows[i, -2:] = extent(words), 1
-        held, free = rows[toxic], rows[~toxic]
-        weights = np.zeros(rows.shape[1])
+            at = np.minimum(np.searchsorted(hashes, own), max(len(hashes) - 1, 0))
+            here = hashes[at] == own if len(hashes) else np.zeros(len(own), bool)
+            places += [at[here], [len(hashes), len(hashes) + 1]]
+            values += [strength(count[here]), [extent(words), 1.0]]
+            lines.append(np.full(here.sum() + 2, i))
+        line, place, value = np.concatenate(lines), np.concatenate(places).astype(np.int64), np.concatenate(values)
+        width = len(hashes) + 2
+
+        class Rows:
+            """The sparse rows of the texts of one kind."""
+
+            def __init__(self, mine: np.ndarray):
+                inside = mine[line]
+                self.n = int(mine.sum())
+                self.line, self.place, self.value = (np.cumsum(mine) - 1)[line[inside]], place[inside], value[inside]
+
+            def odds(self, weights: np.ndarray) -> np.ndarray:
+                return np.bincount(self.line, self.value * weights[self.place], self.n)
+
+            def mean(self, amount: np.ndarray) -> np.ndarray:
+                return np.bincount(self.place, self.value * amount[self.line], width) / self.n
+
+        held, free = Rows(toxic), Rows(~toxic)
+        weights = np.zeros(width)
         weights[-1] = np.log(prior / (1 - prior))
         first, second = np.zeros_like(weights), np.zeros_like(weights)
         for step in range(1, STEPS + 1):
-            up, uu = sigmoid(held @ weights), sigmoid(free @ weights)
+            held_odds, free_odds = held.odds(weights), free.odds(weights)
+            up, uu = sigmoid(held_odds), sigmoid(free_odds)
             # Logistic loss: log(1 + e^-x) for toxic, log(1 + e^x) for clean.
-            loss = np.logaddexp(0, free @ weights).mean() - prior * np.logaddexp(0, held @ weights).mean()
-            clean = uu @ free / len(free) - prior * (up @ held) / len(held)
-            slope = clean - prior * ((1 - up) @ held) / len(held) if loss >= 0 else -clean
+            loss = np.logaddexp(0, free_odds).mean() - prior * np.logaddexp(0, held_odds).mean()
+            clean = free.mean(uu) - prior * held.mean(up)
+            slope = clean - prior * held.mean(1 - up) if loss >= 0 else -clean
             slope = slope + DECAY * np.r_[weights[:-1], 0]
             first = 0.9 * first + 0.1 * slope
             second = 0.999 * second + 0.001 * slope * slope
