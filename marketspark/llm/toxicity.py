@@ -21,17 +21,17 @@ from pyspark.sql import functions as F
 from marketspark.llm.common import prepare, text_or_empty
 
 #: Classifiers, and the expected number of toxic and of unlabelled texts each learns from: the bounded sample.
-MEMBERS, POSITIVES, UNLABELLED = 4, 1500, 5000
+MEMBERS, POSITIVES, UNLABELLED = 4, 1000, 3000
 #: Features of a classifier: those most over-represented in toxic texts, and the least log-likelihood ratio of a feature: chance
 #: alone gives that to about one in 100,000.
 FEATURES, SCORE = 4096, 20.0
 #: Letters of the word beginnings that are features beside whole words.
-BEGINNINGS = range(3, 8)
+BEGINNINGS = range(3, 7)
 #: Steps over the whole sample (in small batches the estimated risk of clean texts is negative by chance), their length, decay.
 STEPS, RATE, DECAY = 300, 0.1, 3e-4
 _WORD = re.compile(r"\w+")
 #: Words whose features a worker remembers.
-_REMEMBER = 1 << 19
+_REMEMBER = 1 << 18
 
 
 def words_of(text: str) -> Counter[str]:
@@ -57,7 +57,7 @@ def text_features(text: str) -> tuple[np.ndarray, np.ndarray, int]:
 
 def strength(count: np.ndarray | int) -> np.ndarray | float:
     """What a feature counts for: a word by chance in a long text is little, the same word again more."""
-    return np.log2(1 + count)
+    return np.log2(1.0 + count)
 
 
 def extent(words: int) -> float:
@@ -195,14 +195,14 @@ def train(docs: DataFrame, labels: DataFrame, prior: float) -> list[Classifier]:
         for chunk in chunks:
             found = [text_features(t) for t in chunk["text"]]
             yield chunk[["member", "key", "toxic"]].assign(
-                features=[f[0].tobytes() for f in found], counts=[f[1].tobytes() for f in found], words=[f[2] for f in found])
+                features=[f[0].tobytes() for f in found], counts=[f[1].astype(np.uint32).tobytes() for f in found], words=[f[2] for f in found])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["toxic", "key"])
         toxic = rows["toxic"].to_numpy(bool)
         if not toxic.any() or toxic.all():
             return pd.DataFrame(columns=["member", "hashes", "weights", "length", "bias"])
-        made = Classifier.learn([(np.frombuffer(f, np.uint64), np.frombuffer(c, np.int64), w) for f, c, w in zip(
+        made = Classifier.learn([(np.frombuffer(f, np.uint64), np.frombuffer(c, np.uint32), w) for f, c, w in zip(
             rows["features"], rows["counts"], rows["words"], strict=True)], toxic, prior)
         return pd.DataFrame({"member": rows["member"].iloc[:1], "hashes": [made.hashes.tobytes()],
                              "weights": [made.weights.tobytes()], "length": [made.length], "bias": [made.bias]})
