@@ -1,10 +1,9 @@
 """Exact distributions of many features without gathering one feature in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here equal values are counted first (map-side), each feature's values are cut
-into ordered blocks by approximate splitters, and exact ranks come from running
-counts inside the blocks plus block offsets. The splitters only steer the load:
-results do not depend on them.
+Here equal values are counted first (map-side), the counts are put in order by a
+range partitioning, and exact ranks come from running counts inside its ranges
+plus an offset per range. Where the ranges are cut does not change a result.
 """
 
 from __future__ import annotations
@@ -14,12 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.functions.scans import UNBOUNDED
 from pyspark.sql.window import Window as W
 
-#: Values of one feature that a block holds on average, and the least and largest number of blocks; beyond
-#: that blocks grow, and their windows spill.
-_BLOCK_VALUES, _LEAST_BLOCKS, _MOST_BLOCKS = 500_000, 16, 10_000
+from marketspark.functions.scans import UNBOUNDED, ordered
 
 
 def _usable(value: Column) -> Column:
@@ -47,26 +43,12 @@ def value_counts(sides: Mapping[str, DataFrame], features: Sequence[str]) -> Dat
 
 def cumulative(sides: Mapping[str, DataFrame], features: Sequence[str]) -> DataFrame:
     """Value counts with exact cumulative counts ``cum_<side>`` and totals ``n_<side>``."""
-    counts = value_counts(sides, features)
-    wide = None
-    for df in sides.values():
-        rows = df.select(*[F.col(f).cast("double").alias(f) for f in features])
-        wide = rows if wide is None else wide.unionByName(rows)
-    blocks = min(_MOST_BLOCKS, max(_LEAST_BLOCKS, -(-wide.count() // _BLOCK_VALUES)))
-    probs = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-    # One row whatever the data size (a global aggregate), so the join below is
-    # a single-row broadcast.
-    splitters = wide.agg(F.map_from_arrays(
-        F.array(*[F.lit(f) for f in features]),
-        F.array(*[
-            F.array_distinct(F.coalesce(F.percentile_approx(f, probs, 10 * blocks), F.array().cast("array<double>")))
-            for f in features
-        ]),
-    ).alias("_splitters"))
-    placed = counts.join(F.broadcast(splitters)).select(
-        *counts.columns,
-        F.size(F.filter(F.col("_splitters")[F.col("feature")], lambda e: e <= F.col("value"))).alias("_block"),
-    )
+    return running(value_counts(sides, features), list(sides))
+
+
+def running(counts: DataFrame, sides: Sequence[str]) -> DataFrame:
+    """Cumulative counts of ``feature, value, c_<side>…`` rows, one row per feature and value."""
+    placed = ordered(counts.select("feature", "value", *[f"c_{s}" for s in sides]), ["feature"], ["value"])
     per_block = placed.groupBy("feature", "_block").agg(
         *[F.sum(f"c_{s}").alias(f"_b_{s}") for s in sides]
     )
@@ -76,7 +58,7 @@ def cumulative(sides: Mapping[str, DataFrame], features: Sequence[str]) -> DataF
         *[(F.sum(f"_b_{s}").over(upto) - F.col(f"_b_{s}")).alias(f"_pre_{s}") for s in sides],
         *[F.sum(f"_b_{s}").over(W.partitionBy("feature")).alias(f"n_{s}") for s in sides],
     )
-    inside = W.partitionBy("feature", "_block").orderBy("value").rowsBetween(UNBOUNDED, 0)
+    inside = W.partitionBy("feature", "_block").orderBy("_at").rowsBetween(UNBOUNDED, 0)
     local = placed.withColumns({f"_run_{s}": F.sum(f"c_{s}").over(inside) for s in sides})
     return local.join(offsets, ["feature", "_block"]).select(
         "feature", "value",

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from marketspark.session import stage
+
 UNBOUNDED = W.unboundedPreceding
 # 1e-30: a weight below this cannot change a double.
 _NEGLIGIBLE = 69.1
@@ -29,45 +31,66 @@ def bounded(partition_cols: Sequence[str]) -> bool:
     return "month" in partition_cols
 
 
+def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` written in the order of ``keys`` and ``order``, with the columns ``_block`` and ``_at``.
+
+    Spark samples the order and cuts it into ranges of like size, so a key with most of the rows is cut into as many blocks as
+    its rows need. ``_block`` numbers the ranges, ``_at`` the rows inside one; equal (key, order) rows share a block. It is
+    written because a second sampling could cut elsewhere.
+    """
+    columns = [*keys, *order]
+    place = F.monotonically_increasing_id()  # the partition in the upper bits, the row's place in it in the lower 33
+    return stage(df.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn("_place", place), "ordered").withColumns(
+        {"_block": F.shiftright("_place", 33), "_at": F.col("_place").bitwiseAND((1 << 33) - 1)}).drop("_place")
+
+
+def last_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` at or before each row of its key, in blocks of the order."""
+    rows = ordered(df, keys, order)
+    inside = W.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(UNBOUNDED, 0)
+    tails = rows.groupBy(*keys, "_block").agg(F.max(F.when(F.col(value).isNotNull(), F.struct("_at", value)))[value].alias("_tail"))
+    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(UNBOUNDED, -1)
+    carried = tails.select(*keys, "_block", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+    local = rows.withColumn("_seen", F.last(value, ignorenulls=True).over(inside))
+    return local.join(carried, [*keys, "_block"], "left").withColumn(name, F.coalesce("_seen", "_carry")).drop(
+        "_block", "_at", "_seen", "_carry")
+
+
 def row_index(
     df: DataFrame, keys: Sequence[str], order: str, *, previous: dict[str, str] | None = None
 ) -> DataFrame:
     """Add ``idx`` (0-based position) and ``n`` (series length) per key.
 
-    ``order`` is a timestamp; blocks are calendar years, so one task sorts at
-    most a year of one series. Positions inside a block come from a window,
-    block offsets from running sums over one summary row per (key, year).
-    ``previous`` adds the previous row's values (``{new name: column}``, columns
+    A row's position is its place inside its block of the order plus what the blocks before hold: one summary row per
+    (key, block). ``previous`` adds the previous row's values (``{new name: column}``, columns
     without nulls) in the same pass. A frame that has ``idx`` is not renumbered.
     """
     if "idx" in df.columns and "n" in df.columns and not previous:
         return df
     previous = previous or {}
-    df = df.drop("idx", "n").withColumn("_year", F.year(order))
-    per_block = df.groupBy(*keys, "_year").agg(
-        F.count(F.lit(1)).alias("_size"),
-        *[F.max_by(src, order).alias(f"_tail_{name}") for name, src in previous.items()],
+    rows = ordered(df.drop("idx", "n"), keys, [order])
+    per_block = rows.groupBy(*keys, "_block").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_first"),
+        *[F.max_by(src, "_at").alias(f"_tail_{name}") for name, src in previous.items()],
     )
-    over_blocks = W.partitionBy(*keys).orderBy("_year")
+    over_blocks = W.partitionBy(*keys).orderBy("_block")
     offsets = per_block.select(
         *keys,
-        "_year",
-        (F.sum("_size").over(over_blocks) - F.col("_size")).alias("_offset"),
+        "_block",
+        (F.sum("_size").over(over_blocks) - F.col("_size") - F.col("_first")).alias("_offset"),
         F.sum("_size").over(W.partitionBy(*keys)).alias("n"),
         *[F.lag(f"_tail_{name}").over(over_blocks).alias(f"_in_{name}") for name in previous],
     )
-    inside = W.partitionBy(*keys, "_year").orderBy(order)
-    numbered = df.withColumns({
-        "_pos": F.row_number().over(inside) - 1,
-        **{f"_lag_{name}": F.lag(src).over(inside) for name, src in previous.items()},
-    })
+    if previous:
+        inside = W.partitionBy(*keys, "_block").orderBy("_at")
+        rows = rows.withColumns({f"_lag_{name}": F.lag(src).over(inside) for name, src in previous.items()})
     return (
-        numbered.join(offsets, [*keys, "_year"])
+        rows.join(offsets, [*keys, "_block"])
         .withColumns({
-            "idx": F.col("_offset") + F.col("_pos"),
+            "idx": F.col("_offset") + F.col("_at"),
             **{name: F.coalesce(F.col(f"_lag_{name}"), F.col(f"_in_{name}")) for name in previous},
         })
-        .drop("_year", "_offset", "_pos", *[f"_{t}_{name}" for name in previous for t in ("lag", "in")])
+        .drop("_block", "_at", "_offset", *[f"_{t}_{name}" for name in previous for t in ("lag", "in")])
     )
 
 

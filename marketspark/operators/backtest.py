@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -37,9 +39,13 @@ def trade_candidates(
     commission: float | Column = 0.0,
     slippage: float | Column = 0.0,
     block: int = TRADE_BLOCK,
+    settings: Column | None = None,
 ) -> DataFrame:
     """What would happen to a trade opened at every signal, each on its own.
 
+    ``settings``, an array of structs of ``param_`` fields, is opened per signal once its future bars are known: rules may name
+    the fields, and the windows over bars are the same for one setting and for many.
+
     ``bars`` must carry ``idx`` and ``n``. A signal at bar s enters at the open
     of s+1; bar s+2 is the first that can hit a stop or target, the stop is
     looked at first, and after ``horizon_limit`` bars the trade ends at the
@@ -50,11 +56,9 @@ def trade_candidates(
     signal = F.col(signal_col)
     rows = halo_blocks(
         bars.select(*keys, "idx", "n", "timestamp", "open", "high", "low", "close",
-                    signal.alias("signal"), F.col(atr_col).alias("_atr"),
-                    *[c for c in bars.columns if c.startswith("param_") and c not in keys]),
+                    signal.alias("signal"), F.col(atr_col).alias("_atr")),
         block, after=horizon_limit + 1,
     )
-    params = [c for c in rows.columns if c.startswith("param_") and c not in keys]
     w = W.partitionBy(*keys, "blk").orderBy("idx")
     rows = rows.withColumns({
         "_entry_time": F.lead("timestamp").over(w),
@@ -66,6 +70,9 @@ def trade_candidates(
         F.col("core") & signal_is_open() & F.col("_atr").isNotNull() & (F.col("_atr") > 0)
         & (F.col("idx") < F.col("n") - 1)
     )
+    if settings is not None:
+        rows = rows.select("*", F.inline(settings))
+    params = [c for c in rows.columns if c.startswith("param_")]
     risk = F.col("_atr") * atr_mult
     side = F.col("signal")
 
@@ -224,13 +231,17 @@ def simulate_trades(
     keys: Sequence[str] = SERIES,
     horizon_limit: int = 10,
     block: int = TRADE_BLOCK,
+    settings: Column | None = None,
     **rules,
 ) -> DataFrame:
-    """Sequential, non-overlapping trades per series (``bars`` carry ``idx`` and ``n``)."""
+    """Sequential, non-overlapping trades per series (``bars`` carry ``idx`` and ``n``), and per ``param_id`` of ``settings``."""
     candidates = stage(
-        trade_candidates(bars, signal_col, keys=keys, horizon_limit=horizon_limit, block=block, **rules),
+        trade_candidates(
+            bars, signal_col, keys=keys, horizon_limit=horizon_limit, block=block, settings=settings, **rules),
         "candidates",
     )
+    if settings is not None:
+        keys = (*keys, "param_id")
     taken = select_non_overlapping(candidates, keys=keys, horizon_limit=horizon_limit, block=block)
     return taken.where(F.col("reason").isNotNull()).drop("n")
 
@@ -401,39 +412,63 @@ def bootstrap_draw(path: Column, step: Column, seed: int) -> Column:
     return mix(mix(start))
 
 
+def _draw(path: np.ndarray, step: np.ndarray, seed: int) -> np.ndarray:
+    """``bootstrap_draw`` on 64-bit integers: products stay below 2**63."""
+    prime = np.int64(2147483647)
+    h = (path * 73856093 + step * 19349663 + np.int64(seed * 83492791)) % prime
+    for _ in range(2):
+        h = (h * h + h * 48271 + 11) % prime
+    return h
+
+
 def bootstrap_bands(
     trades: DataFrame, *, keys: Sequence[str] = SERIES, n_paths: int = 1000, seed: int = 42,
     block: int = 1024,
 ) -> DataFrame:
     """Mean and 68 % / 95 % bands of resampled equity curves, per step.
 
-    Paths are the parallel axis. A path's running sum is built from blocks of
-    steps, so even a very long path is spread over tasks.
+    A block of steps is one group with all paths as vectors: it fetches the returns of its series, block by block, and draws in
+    memory. The first pass keeps the total of each path per block; totals are summed over the blocks before; the second pass draws
+    again from there and reduces each step to its bands. So what is shuffled are the packed returns, one row per pair of blocks,
+    and one total per path and block, never a row per path and step.
     """
-    numbered = stage(
-        row_index(trades.select(*keys, "entry_time", "pnl_r"), keys, "entry_time").select(
-            *keys, F.col("idx").alias("i"), "n", "pnl_r"),
-        "returns",
-    )
-    spark = trades.sparkSession
-    paths = spark.range(n_paths).select(F.col("id").alias("path"))
-    # paths x steps is the size of the task itself; `paths` is n_paths longs.
-    draws = numbered.select(*keys, F.col("i").alias("step"), "n").join(F.broadcast(paths)).select(
-        *keys, "path", "step",
-        F.pmod(bootstrap_draw(F.col("path"), F.col("step"), seed), F.col("n")).alias("i"),
-    )
-    drawn = draws.join(numbered.drop("n"), [*keys, "i"]).withColumn(
-        "_blk", F.floor(F.col("step") / block))
-    curves = running_total(drawn, [*keys, "path"], "_blk", "step", {"equity": F.col("pnl_r")})
-    bands = F.percentile("equity", F.array(*[F.lit(p) for p in (0.025, 0.16, 0.84, 0.975)]))
-    # A step has n_paths values, a bounded group for the exact percentile.
-    return curves.groupBy(*keys, "step").agg(
-        F.avg("equity").alias("equity_mean"), bands.alias("_q")
-    ).select(
-        *keys, "step", "equity_mean",
-        F.col("_q")[0].alias("lower_95"), F.col("_q")[1].alias("lower_68"),
-        F.col("_q")[2].alias("upper_68"), F.col("_q")[3].alias("upper_95"),
-    )
+    numbered = row_index(trades.select(*keys, "entry_time", "pnl_r"), keys, "entry_time").select(
+        *keys, "n", F.floor(F.col("idx") / block).alias("src"), "idx", "pnl_r")
+    packed = stage(numbered.groupBy(*keys, "n", "src").agg(
+        F.array_sort(F.collect_list(F.struct("idx", "pnl_r"))).alias("_held")), "returns")
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block))
+    asked = packed.select(*keys, "n", "src", F.col("_held.pnl_r").alias("pnl"), F.explode(blocks).alias("blk"))
+    kinds = ", ".join(f"{k} {trades.schema[k].dataType.simpleString()}" for k in keys)
+    group = [*keys, "blk"]
+    paths = np.arange(n_paths, dtype=np.int64)
+
+    def drawn(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """(steps, returns by path and step) of one block."""
+        pnl = np.concatenate(rows.sort_values("src")["pnl"].to_list())
+        n, blk = int(rows["n"].iloc[0]), int(rows["blk"].iloc[0])
+        steps = np.arange(blk * block, min(n, (blk + 1) * block), dtype=np.int64)
+        return steps, pnl[_draw(paths[:, None], steps[None], seed) % n]
+
+    def totals(rows: pd.DataFrame) -> pd.DataFrame:
+        _, found = drawn(rows)
+        return rows[group].iloc[:1].assign(totals=[found.sum(axis=1)])
+
+    def bands(rows: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        steps, found = drawn(rows)
+        start = np.zeros(n_paths)
+        start[before["path"].to_numpy(np.int64)] = before["start"]
+        equity = start[:, None] + np.cumsum(found, axis=1)
+        cuts = np.percentile(equity, [2.5, 16, 84, 97.5], axis=0)
+        one = {k: rows[k].iloc[0] for k in keys}
+        return pd.DataFrame({**{k: [v] * len(steps) for k, v in one.items()}, "step": steps, "equity_mean": equity.mean(axis=0),
+                             "lower_95": cuts[0], "lower_68": cuts[1], "upper_68": cuts[2], "upper_95": cuts[3]})
+
+    by_block = asked.groupBy(*group).applyInPandas(totals, f"{kinds}, blk long, totals array<double>")
+    earlier = W.partitionBy(*keys, "path").orderBy("blk").rowsBetween(UNBOUNDED, -1)
+    starts = by_block.select(*group, F.posexplode("totals").alias("path", "total")).select(
+        *group, "path", F.coalesce(F.sum("total").over(earlier), F.lit(0.0)).alias("start"))
+    return asked.groupBy(*group).cogroup(starts.groupBy(*group)).applyInPandas(
+        bands, f"{kinds}, step long, equity_mean double, lower_95 double, lower_68 double, upper_68 double, upper_95 double")
 
 
 def sweep(
@@ -446,10 +481,10 @@ def sweep(
                  F.lit(float(sl)).alias("param_sl"), F.lit(float(c)).alias("param_commission"))
         for i, (tp, sl, c) in enumerate(settings)
     ])
-    expanded = bars.select("*", F.inline(table))
     series = (*keys, "param_id")
     trades = simulate_trades(
-        expanded, signal_col, keys=series, tp_r=F.col("param_tp"), sl_r=F.col("param_sl"),
+        bars, signal_col, keys=keys, settings=table, tp_r=F.col("param_tp"), sl_r=F.col("param_sl"),
         commission=F.col("param_commission"), **rules,
     )
-    return backtest_metrics(trades, keys=series, all_keys=expanded.select(*series))
+    every = bars.select(*keys).distinct().select(*keys, F.inline(table)).select(*series)
+    return backtest_metrics(trades, keys=series, all_keys=every)

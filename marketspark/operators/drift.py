@@ -1,17 +1,26 @@
-"""Feature drift between a reference and a live table: profile, KS, PSI, verdict."""
+"""Feature drift between a reference and a live table: profile, KS, PSI, verdict.
 
-from __future__ import annotations
+The reference can be stored as a distribution: its values in order, with counts, in blocks. A live batch is then placed among the
+blocks; only blocks that hold a live value or a bin edge are opened, every other block stands as one row for all of its values.
+"""
 
+from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from marketspark.functions.quantiles import cumulative, rank_quantiles
+from marketspark.functions.quantiles import cumulative, rank_quantiles, running, value_counts
+from marketspark.functions.scans import UNBOUNDED, last_known
 from marketspark.session import stage
 
 PROFILE_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
+#: Reference rows that a stored block stands for; more only where one value repeats more often.
+REFERENCE_BLOCK = 1 << 16
+#: Bins of the stability index.
+BINS = 10
 
 
 def _per_feature(df: DataFrame, features: Sequence[str], **aggs: Callable[[str], Column]) -> DataFrame:
@@ -23,10 +32,13 @@ def _per_feature(df: DataFrame, features: Sequence[str], **aggs: Callable[[str],
     ])))
 
 
+def _moments(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return _per_feature(df, features, mean=lambda f: F.avg(f), std=lambda f: F.stddev_pop(f))
+
+
 def profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Count, mean, deviation and exact p5, p25, p50, p75, p95 per feature."""
-    moments = _per_feature(
-        df, features, mean=lambda f: F.avg(f), std=lambda f: F.stddev_pop(f))
+    moments = _moments(df, features)
     names = [f"p{round(p * 100)}" for p in PROFILE_PROBS]
     quantiles = rank_quantiles(
         cumulative({"ref": df}, features), PROFILE_PROBS, names,
@@ -39,6 +51,57 @@ def compare(reference: DataFrame, live: DataFrame, features: Sequence[str]) -> D
     return stage(cumulative({"ref": reference, "live": live}, features), "distribution")
 
 
+def save_reference(df: DataFrame, features: Sequence[str], path: str, *, block_rows: int = REFERENCE_BLOCK) -> None:
+    """Write the distribution of every feature to ``path/blocks`` and its profile to ``path/profile``."""
+    dist = running(value_counts({"ref": df}, features), ["ref"])
+    blocks = dist.withColumn("blk", F.floor((F.col("cum_ref") - F.col("c_ref")) / block_rows)).groupBy("feature", "blk").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("c_ref").alias("total"),
+        F.array_sort(F.collect_list(F.struct("value", F.col("c_ref").alias("c")))).alias("held"))
+    blocks.write.mode("overwrite").parquet(f"{path}/blocks")
+    moments = _moments(df, features)
+    names = [f"p{round(p * 100)}" for p in PROFILE_PROBS]
+    quantiles = rank_quantiles(dist, PROFILE_PROBS, names, cum=F.col("cum_ref"), total=F.col("n_ref"))
+    quantiles.join(moments, "feature").write.mode("overwrite").parquet(f"{path}/profile")
+
+
+def stored_profile(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/profile")
+
+
+def against_stored(spark: SparkSession, path: str, live: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Joint distribution of a stored reference and a live table, for the tests below.
+
+    A block without live value and bin edge is one row at its last value. The greatest distance of the two distribution
+    functions lies at a live value or just before one, so it stays exact; so do bin edges and the counts below them.
+    """
+    blocks = spark.read.parquet(f"{path}/blocks").where(F.col("feature").isin(list(features)))
+    index = blocks.select("feature", "blk", "lo", "hi", "total")  # the values themselves are not read
+    counts = stage(value_counts({"live": live}, features), "live")
+    starts = index.select("feature", F.col("lo").alias("value"), F.lit(0).alias("_side"), "blk", F.lit(0).cast("long").alias("c_live"))
+    values = counts.select("feature", "value", F.lit(1).alias("_side"), F.lit(None).cast("long").alias("blk"), "c_live")
+    placed = last_known(starts.union(values), ["feature"], ["value", "_side"], "blk", "_at_blk").where("_side = 1")
+    per_block = placed.groupBy("feature", F.coalesce("_at_blk", F.lit(0)).alias("blk")).agg(F.sum("c_live").alias("c_live"))
+
+    series = W.partitionBy("feature")
+    pooled = F.col("total") + F.coalesce("c_live", F.lit(0))
+    ranks = index.join(per_block, ["feature", "blk"], "left").withColumns({
+        "_upto": F.sum(pooled).over(series.orderBy("blk").rowsBetween(UNBOUNDED, 0)), "_all": F.sum(pooled).over(series),
+        "_from": F.sum(pooled).over(series.orderBy("blk").rowsBetween(UNBOUNDED, 0)) - pooled})
+    holds_edge = F.lit(False)
+    for i in range(1, BINS):
+        at = (F.col("_all") - 1) * F.lit(i / BINS)
+        for place in (F.floor(at), F.ceil(at)):
+            holds_edge = holds_edge | ((place >= F.col("_from")) & (place < F.col("_upto")))
+    marked = stage(ranks.select("feature", "blk", "hi", "total", (F.col("c_live").isNotNull() | holds_edge).alias("open")), "blocks")
+    none = F.lit(0).cast("long")
+    opened = blocks.select("feature", "blk", "held").join(marked.where("open").select("feature", "blk"), ["feature", "blk"]).select(
+        "feature", F.inline("held")).select("feature", "value", F.col("c").alias("c_ref"), none.alias("c_live"))
+    closed = marked.where("NOT open").select("feature", F.col("hi").alias("value"), F.col("total").alias("c_ref"), none.alias("c_live"))
+    rows = opened.union(closed).union(counts.select("feature", "value", none.alias("c_ref"), "c_live"))
+    joined = rows.groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_live").alias("c_live"))
+    return stage(running(joined, ["ref", "live"]), "distribution")
+
+
 def ks_statistic(joint: DataFrame) -> DataFrame:
     """Largest distance between the two empirical distribution functions."""
     gap = F.abs(F.col("cum_ref") / F.col("n_ref") - F.col("cum_live") / F.col("n_live"))
@@ -57,7 +120,7 @@ def ks_p_value(ks: DataFrame, terms: int = 100) -> DataFrame:
     return ks.withColumn("ks_p", p)
 
 
-def psi(joint: DataFrame, features: Sequence[str], *, bins: int = 10, epsilon: float = 1e-6) -> DataFrame:
+def psi(joint: DataFrame, features: Sequence[str], *, bins: int = BINS, epsilon: float = 1e-6) -> DataFrame:
     """Population stability index over quantile bins of the pooled values."""
     cum = F.col("cum_ref") + F.col("cum_live")
     total = F.col("n_ref") + F.col("n_live")
@@ -81,10 +144,10 @@ def psi(joint: DataFrame, features: Sequence[str], *, bins: int = 10, epsilon: f
 
 
 def report(
-    reference: DataFrame, live: DataFrame, features: Sequence[str], *, threshold_ks: float = 0.1,
+    reference: DataFrame | None, live: DataFrame | None, features: Sequence[str], *, threshold_ks: float = 0.1,
     threshold_psi: float = 0.2, min_samples: int = 30, joint: DataFrame | None = None,
 ) -> DataFrame:
-    """Drift verdict per feature that has enough live values."""
+    """Drift verdict per feature that has enough live values; ``joint`` stands in for both tables."""
     joint = joint if joint is not None else compare(reference, live, features)
     rows = ks_p_value(ks_statistic(joint)).where(F.col("n_live") >= min_samples)
     rows = rows.join(psi(joint, features), "feature")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from marketspark.functions.scans import UNBOUNDED, bounded
+from marketspark.functions.scans import UNBOUNDED, bounded, last_known
 from marketspark.functions.timecols import micros, period_start
 from marketspark.operators.bars import anchor_ohlc
 from marketspark.operators.sessions import MONTHLY
@@ -199,43 +199,22 @@ def asof_backward(
     keys: Sequence[str] = ("symbol",),
     on: str = "timestamp",
     values: Sequence[str],
-    block_seconds: int = 86400,
 ) -> DataFrame:
     """Latest right row at or before each left row, per key.
 
-    Both sides are stacked and read in time order inside ``(key, time block)``
-    groups; a block whose start has no right row yet takes the last one of an
-    earlier block from a per-block summary. Ties on the right side are resolved
-    by the largest value tuple.
+    Both sides are stacked in time order, right rows first, and the last right row is carried forward. Blocks of that order hold
+    like many rows, so one busy day of one key is many tasks. Ties on the right side are resolved by the largest value tuple.
     """
-    us = micros(F.col(on))
-    block = F.floor(us / (block_seconds * 1_000_000))
     payload = F.struct(*values)
     rest = [c for c in left.columns if c not in (*keys, on)]
     left_rows = left.select(
-        *keys, on, block.alias("_block"), F.lit(1).alias("_side"),
+        *keys, on, F.lit(1).alias("_side"),
         F.struct(*rest).alias("_left"), F.lit(None).cast(right.select(payload).schema[0].dataType).alias("_right"),
     )
     right_rows = right.select(
-        *keys, on, block.alias("_block"), F.lit(0).alias("_side"),
+        *keys, on, F.lit(0).alias("_side"),
         F.lit(None).cast(left_rows.schema["_left"].dataType).alias("_left"), payload.alias("_right"),
     )
-    inside = (
-        W.partitionBy(*keys, "_block").orderBy(on, "_side", "_right").rowsBetween(UNBOUNDED, 0)
-    )
-    seen = left_rows.unionByName(right_rows).withColumn(
-        "_match", F.last("_right", ignorenulls=True).over(inside)
-    ).where(F.col("_side") == 1)
-    # Summary of every block either side touches, so that empty blocks pass the value on.
-    tails = right_rows.groupBy(*keys, "_block").agg(
-        F.max(F.struct(on, "_right"))["_right"].alias("_tail")
-    )
-    touched = left_rows.select(*keys, "_block").distinct()
-    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(UNBOUNDED, -1)
-    carried = touched.join(tails, [*keys, "_block"], "full").select(
-        *keys, "_block", F.last("_tail", ignorenulls=True).over(before).alias("_carry")
-    )
-    return seen.join(carried, [*keys, "_block"], "left").select(
-        *keys, on, *[F.col("_left")[c].alias(c) for c in rest],
-        *[F.coalesce(F.col("_match"), F.col("_carry"))[v].alias(v) for v in values],
-    )
+    seen = last_known(left_rows.unionByName(right_rows), keys, [on, "_side", "_right"], "_right", "_match")
+    return seen.where(F.col("_side") == 1).select(
+        *keys, on, *[F.col("_left")[c].alias(c) for c in rest], *[F.col("_match")[v].alias(v) for v in values])

@@ -20,12 +20,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from marketspark.functions.scans import UNBOUNDED
 from marketspark.operators.folds import assign_folds
 from marketspark.operators.prep import NEUTRAL, sequence_windows
 from marketspark.operators.scoring import confusion_counts, class_scores, macro_f1
+from marketspark.session import stage
 
 CLASSES = (0, 1, 2, 3, 4)
 SERIES = ("symbol",)
@@ -60,42 +59,85 @@ def mean_fold_f1(predictions: DataFrame, *, keys: Sequence[str] = SERIES, y: str
         F.avg("macro_f1").alias("cv_f1_macro"), F.count(F.lit(1)).alias("folds"))
 
 
+#: Batches whose moments are merged in one row.
+SCAN = 256
+_MOMENTS = "struct<n:double,m:array<double>,q:array<double>>"
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """The moments of two sets of rows together, from count, means and squared deviations of each; associative."""
+    n = a["n"] + b["n"]
+    share = F.when(n > 0, b["n"] / n).otherwise(F.lit(0.0))
+    gap = F.zip_with(a["m"], b["m"], lambda x, y: y - x)
+    return F.struct(
+        n.alias("n"),
+        F.zip_with(a["m"], gap, lambda x, d: x + d * share).alias("m"),
+        F.zip_with(F.zip_with(a["q"], b["q"], lambda x, y: x + y), gap, lambda q, d: q + d * d * a["n"] * share).alias("q"))
+
+
+def _before(states: DataFrame, keys: Sequence[str], nothing: Column) -> DataFrame:
+    """(keys, pos, before): for every position the class moments (``state``) of all earlier ones, merged.
+
+    ``SCAN`` neighbours are merged in a row; their totals are merged the same way, level above level, and come back as what stands
+    before each row's first position. So no row holds more than ``SCAN`` states however long the series is.
+    """
+    packed = stage(states.groupBy(*keys, F.floor(F.col("pos") / SCAN).alias("_up")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "state"))).alias("_held")), "moments")
+    together = lambda a, b: F.zip_with(a, b, _merged)
+    kind = f"array<struct<pos:bigint,before:array<{_MOMENTS}>>>"
+    walk = lambda start, finish: F.aggregate(
+        "_held", F.struct(start.alias("now"), F.array().cast(kind).alias("seen")),
+        lambda acc, x: F.struct(
+            together(acc["now"], x["state"]).alias("now"),
+            F.concat(acc["seen"], F.array(F.struct(x["pos"].cast("long").alias("pos"), acc["now"].alias("before")))).alias("seen")),
+        finish)
+    if (packed.agg(F.max("_up")).first()[0] or 0) == 0:
+        above = packed.withColumn("_start", nothing)
+    else:
+        totals = packed.select(*keys, F.col("_up").alias("pos"), walk(nothing, lambda acc: acc["now"]).alias("state"))
+        above = packed.join(_before(totals, keys, nothing).select(
+            *keys, F.col("pos").alias("_up"), F.col("before").alias("_start")), [*keys, "_up"])
+    return above.select(*keys, F.inline(walk(F.col("_start"), lambda acc: acc["seen"])))
+
+
 def prequential_bayes(
     indexed: DataFrame, features: Sequence[str], *, keys: Sequence[str] = SERIES, batch: int = 500,
     y: str = "y", smoothing: float = 1e-6,
 ) -> DataFrame:
     """Test-then-train Gaussian Bayes: each batch is scored with all batches before it.
 
-    The model is a set of sums, so "everything before batch b" is a running sum
-    over one row per batch and class; no driver loop. Rows of the first batch
-    have no model and are left out.
+    The model of a batch is the merge of the moments of all earlier batches, a prefix scan over one row per batch: means and
+    squared deviations are merged, never sums of squares, so a high price level costs no digits. Rows of the first batch have no
+    model and are left out, like classes with fewer than two rows so far. Rows without a class or feature count for nothing.
     """
     rows = indexed.withColumn("batch", F.floor(F.col("idx") / batch))
-    sums = rows.groupBy(*keys, "batch", F.col(y).alias("_c")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[e for f in features for e in (F.sum(f).alias(f"_s_{f}"), F.sum(F.col(f) * F.col(f)).alias(f"_q_{f}"))],
-    )
-    names = ["_n", *[f"_{p}_{f}" for f in features for p in "sq"]]
-    grid = rows.select(*keys, "batch").distinct().select(
-        "*", F.explode(F.array(*[F.lit(c) for c in CLASSES])).alias("_c"))
-    dense = grid.join(sums, [*keys, "batch", "_c"], "left").fillna(0, names)
-    past = W.partitionBy(*keys, "_c").orderBy("batch").rowsBetween(UNBOUNDED, -1)
-    state = dense.select(*keys, "batch", "_c", *[F.sum(c).over(past).alias(c) for c in names])
-    # One row per batch: the five class states side by side.
-    model = state.where(F.col("_n") > 1).groupBy(*keys, "batch").agg(
-        F.array_sort(F.collect_list(F.struct("_c", *names))).alias("_model"),
-        F.sum("_n").alias("_seen"),
-    )
-
-    def loglik(c: Column) -> Column:
-        total = F.ln(c["_n"] / F.col("_seen"))
-        for f in features:
-            mean = c[f"_s_{f}"] / c["_n"]
-            var = F.greatest(c[f"_q_{f}"] / c["_n"] - mean * mean, F.lit(smoothing))
-            gap = F.col(f) - mean
+    whole = rows.where(F.col(y).isNotNull())
+    for f in features:
+        whole = whole.where(F.col(f).isNotNull())
+    per_class = whole.groupBy(*keys, "batch", F.col(y).alias("_c")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.array(*[F.avg(f) for f in features]).alias("m"),
+        F.array(*[F.var_pop(f) * F.count(F.lit(1)) for f in features]).alias("q"))
+    zeros = F.array(*[F.lit(0.0) for _ in features])
+    none = F.struct(F.lit(0.0).alias("n"), zeros.alias("m"), zeros.alias("q"))
+    nothing = F.array(*[none for _ in CLASSES])
+    found = per_class.groupBy(*keys, "batch").agg(F.map_from_entries(F.collect_list(F.struct("_c", F.struct("n", "m", "q")))).alias("_of"))
+    batches = rows.select(*keys, "batch").distinct().join(found, [*keys, "batch"], "left")
+    states = batches.select(*keys, F.col("batch").alias("pos"), F.array(*[
+        F.coalesce(F.col("_of")[F.lit(c)], none).cast(_MOMENTS) for c in CLASSES]).alias("state"))
+    classes = F.arrays_zip(F.array(*[F.lit(c) for c in CLASSES]).alias("c"), F.col("before").alias("s"))
+    usable = F.filter(classes, lambda z: z["s"]["n"] > 1)
+    model = _before(states, keys, nothing.cast(f"array<{_MOMENTS}>")).select(
+        *keys, F.col("pos").alias("batch"), usable.alias("_model"),
+        F.aggregate(usable, F.lit(0.0), lambda acc, z: acc + z["s"]["n"]).alias("_seen")).where("size(_model) > 0")
+
+    def loglik(z: Column) -> Column:
+        total = F.ln(z["s"]["n"] / F.col("_seen"))
+        for i, f in enumerate(features):
+            var = F.greatest(z["s"]["q"][i] / z["s"]["n"], F.lit(smoothing))
+            gap = F.col(f) - z["s"]["m"][i]
             total = total - (F.ln(var) + gap * gap / var) * 0.5
         # Negated class: on equal likelihood the smaller class wins the maximum.
-        return F.struct(total.alias("ll"), (-c["_c"]).alias("neg"))
+        return F.struct(total.alias("ll"), (-z["c"]).alias("neg"))
 
     best = F.array_max(F.transform("_model", loglik))
     return rows.join(model, [*keys, "batch"]).select(

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,14 +121,51 @@ def dataset_summary(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFra
 
 
 def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Pairwise correlations (``a, b, corr``, upper triangle) from one aggregate pass."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
-    sums = df.agg(*[
-        (F.corr(a, b) if a != b else F.when(F.count(a) > 0, F.lit(1.0))).alias(f"c{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return sums.select(F.inline(rows))
+    """Pairwise correlations (``a, b, corr``, upper triangle) over the rows that hold both features.
+
+    Every task adds up the outer products of its rows into one matrix for all pairs, from an origin inside its data, and hands on
+    the upper triangle as counts, means and deviations; one aggregate merges those, a row per task and pair.
+    """
+    names = list(features)
+    slim = df.select(*[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(names)])
+    a, b = np.triu_indices(len(names))
+    parts = ["n", "ma", "mb", "qa", "qb", "c"]
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, len(names), len(names)))  # rows with both, sum of a, of a squared, of a times b
+        origin = np.full(len(names), np.nan)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            held = ~np.isnan(x)
+            first = x[held.argmax(axis=0), np.arange(len(names))]
+            origin = np.where(np.isnan(origin), first, origin)
+            x, held = np.where(held, x - origin, 0.0), held.astype(float)
+            sums += held.T @ held, x.T @ held, (x * x).T @ held, x.T @ x
+        n = sums[0][a, b]
+        some = np.maximum(n, 1)
+        sa, sb = sums[1][a, b], sums[1][b, a]
+        start = np.nan_to_num(origin)
+        out = [n, start[a] + sa / some, start[b] + sb / some, sums[2][a, b] - sa * sa / some, sums[2][b, a] - sb * sb / some,
+               sums[3][a, b] - sa * sb / some]
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *map(pa.array, out)], names=["a", "b", *parts])
+
+    def merged(x: Column, y: Column) -> Column:
+        n = x["n"] + y["n"]
+        share = F.when(n > 0, y["n"] / n).otherwise(F.lit(0.0))
+        da, db = y["ma"] - x["ma"], y["mb"] - x["mb"]
+        cross = x["n"] * share
+        return F.struct(
+            n.alias("n"), (x["ma"] + da * share).alias("ma"), (x["mb"] + db * share).alias("mb"),
+            (x["qa"] + y["qa"] + da * da * cross).alias("qa"), (x["qb"] + y["qb"] + db * db * cross).alias("qb"),
+            (x["c"] + y["c"] + da * db * cross).alias("c"))
+
+    of_tasks = slim.mapInArrow(gather, "a long, b long, " + ", ".join(f"{c} double" for c in parts)).groupBy("a", "b").agg(
+        F.collect_list(F.struct(*parts)).alias("_parts"))
+    total = of_tasks.select("a", "b", F.aggregate("_parts", F.struct(*[F.lit(0.0).alias(c) for c in parts]), merged).alias("t"))
+    t = F.col("t")
+    corr = F.when(F.col("a") == F.col("b"), F.when(t["n"] > 0, F.lit(1.0))).when(
+        (t["n"] > 1) & (t["qa"] > 0) & (t["qb"] > 0), t["c"] / F.sqrt(t["qa"] * t["qb"]))
+    name = F.array(*[F.lit(f) for f in names])
+    return total.select(F.get(name, F.col("a").cast("int")).alias("a"), F.get(name, F.col("b").cast("int")).alias("b"), corr.alias("corr"))

@@ -398,9 +398,9 @@ def run_history(spark, sf):
 
 # ---------------------------------------------------------------- drift
 _DF = ["close", "volume", "tick_count", "atr_14"]
-_SPLIT = "TIMESTAMP '1998-07-01'"
+SPLIT = "TIMESTAMP '1998-07-01'"
 _LONGREF = "lr AS (" + " UNION ALL ".join(
-    f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, timestamp < {_SPLIT} AS ref FROM ba WHERE {f} IS NOT NULL" for f in _DF) + ")"
+    f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, timestamp < {SPLIT} AS ref FROM ba WHERE {f} IS NOT NULL" for f in _DF) + ")"
 _KS = """ks AS (SELECT feature, max(abs(fr - fl)) AS ks_stat, any_value(nr) AS n_ref, any_value(nl) AS n_live FROM (
   SELECT feature, v, count(*) FILTER (ref) OVER w / nr AS fr, count(*) FILTER (NOT ref) OVER w / nl AS fl, nr, nl
   FROM (SELECT *, count(*) FILTER (ref) OVER (PARTITION BY feature) AS nr,
@@ -457,12 +457,14 @@ def drift_psi(spark, sf):
 _REPORT = S.with_ctes(*S.WITH_ATR_1W, _LONGREF, _KS, _KSP, *_PSI)
 
 
-DRIFT_REPORT = _REPORT + """
-SELECT feature, round(ks_stat, 4) AS ks_stat, round(ks_p, 4) AS ks_p, round(psi, 4) AS psi,
+def drift_report_sql(rows: str = _LONGREF, feature: str = "feature") -> str:
+    """Check SQL of the report; ``rows`` defines ``lr`` (feature, v, ref), ``feature`` what is shown of its key."""
+    return S.with_ctes(*S.WITH_ATR_1W, rows, _KS, _KSP, *_PSI) + f"""
+SELECT {feature}, round(ks_stat, 4) AS ks_stat, round(ks_p, 4) AS ks_p, round(psi, 4) AS psi,
   (ks_stat > 0.1 OR psi > 0.2)::INT AS drifted FROM kp JOIN ps USING (feature) WHERE n_live >= 30"""
 
 
-@query("drift_report", "J5", DRIFT_REPORT)
+@query("drift_report", "J5", drift_report_sql())
 def drift_report(spark, sf):
     return tidy(drift.report(*_drift_sides(spark, sf), _DF), None, 4)
 

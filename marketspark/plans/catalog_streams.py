@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketspark.operators import drift
 from marketspark.plans import sqlparts as S
-from marketspark.plans.catalog_models import _DF, _MR, DRIFT_REPORT, FEATURES, _drift_sides, _model_rows
+from marketspark.plans.catalog_models import _DF, _MR, FEATURES, SPLIT, _drift_sides, _model_rows, drift_report_sql
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.session import scratch_path, stage
 from marketspark.sources import views
 from marketspark.streaming import streams
+from marketspark.streaming.silence import silence_alerts
 
 _PART = "CASE WHEN year(timestamp) < 1994 THEN 0 WHEN year(timestamp) < 1996 THEN 1 ELSE 2 END"
 _BAR = ["open", "high", "low", "close", "volume"]
@@ -42,24 +44,54 @@ def stream_dedupe(spark, sf):
     return streams.run_to_table(streams.dedupe_stream(ticks), scratch_path(spark, "ticks"))
 
 
-@query("stream_gaps", "K3", tidy_sql(S.with_ctes(S.TICKS_BY_TYPE) + """
-SELECT symbol, p AS gap_start, timestamp AS gap_end, epoch(timestamp - p) / 3600 AS hours FROM (
-  SELECT *, lag(timestamp) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM ticks_by_type)
-WHERE timestamp - p > INTERVAL 1 HOUR""", ["hours"], ["symbol", "gap_start", "gap_end"]))
-def stream_gaps(spark, sf):
-    folder = scratch_path(spark, "gaps")
-    streams.run_batches(_ticks(spark, sf, F.col("event_type")), streams.gap_alerts(folder))
-    return tidy(streams.read_alerts(spark, folder), ["symbol", "gap_start", "gap_end", "hours"])
+_SILENCE_HOURS = 24
 
 
-@query("stream_drift", "K4", DRIFT_REPORT)
+@query("stream_gaps", "K3", f"""
+WITH t AS (SELECT 'U' || user_id AS symbol, ts AS t, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events),
+m AS (SELECT *, (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOUR FROM events) AS mark FROM t),
+s AS (
+  SELECT *, epoch_us(t) // ({_SILENCE_HOURS} * 3600000000) AS slot, epoch_us(n) // ({_SILENCE_HOURS} * 3600000000) AS next_slot,
+    epoch_us(mark) // ({_SILENCE_HOURS} * 3600000000) AS open_slot
+  FROM m WHERE n IS NULL OR n - t > INTERVAL {_SILENCE_HOURS} HOUR)
+SELECT symbol, 'silent' AS kind, t AS gap_start, CAST(NULL AS TIMESTAMP) AS gap_end, CAST(NULL AS DOUBLE) AS hours
+FROM s WHERE slot < open_slot AND t + INTERVAL {_SILENCE_HOURS} HOUR <= mark
+UNION ALL
+SELECT symbol, 'returned', t, n, round(epoch_us(n - t) / 3600000000.0, 6) + 0.0 FROM s WHERE next_slot < open_slot""")
+def stream_gaps(spark, sf):
+    """Users as symbols: some return after a day of silence, some never do. Four deliveries, each drained by a run of its own."""
+    ticks = views._event_ticks(views.table(spark, sf, "events"), F.concat(F.lit("U"), F.col("user_id"))).select(
+        "symbol", "timestamp")
+    source, out = scratch_path(spark, "ticks"), scratch_path(spark, "silences")
+    week = F.least(F.floor((F.dayofmonth("timestamp") - 1) / 8), F.lit(3))
+    with streams.keyed_state(spark):
+        for k in range(4):
+            ticks.where(week == k).write.mode("append").parquet(source)
+            alerts = silence_alerts(streams.tick_stream(spark, source, ticks.schema), limit_hours=_SILENCE_HOURS)
+            found = streams.run_to_table(alerts, out)
+    return tidy(found, ["symbol", "kind", "gap_start", "gap_end", "hours"])
+
+
+#: Three live batches by time; a feature's rows meet the whole reference in each.
+_LIVE = "CASE WHEN timestamp < TIMESTAMP '1999-07-01' THEN 0 WHEN timestamp < TIMESTAMP '2000-07-01' THEN 1 ELSE 2 END"
+_BATCHED = "lr AS (" + " UNION ALL ".join(
+    f"SELECT '{f}#' || b AS feature, CAST({f} AS DOUBLE) AS v, timestamp < {SPLIT} AS ref FROM ba, (VALUES (0), (1), (2)) t(b) "
+    f"WHERE {f} IS NOT NULL AND (timestamp < {SPLIT} OR {_LIVE} = b)" for f in _DF) + ")"
+
+
+@query("stream_drift", "K4", drift_report_sql(
+    _BATCHED, "split_part(feature, '#', 1) AS feature, split_part(feature, '#', 2)::INT AS batch"))
 def stream_drift(spark, sf):
     reference, live = _drift_sides(spark, sf)
-    source, out = scratch_path(spark, "live"), scratch_path(spark, "drift")
-    live.select(*_DF).write.parquet(source)
-    stream = streams.tick_stream(spark, source, live.select(*_DF).schema)
-    streams.run_batches(stream, streams.drift_batches(reference, _DF, out))
-    return tidy(spark.read.parquet(out), ["feature", "ks_stat", "ks_p", "psi", "drifted"])
+    live = live.select("timestamp", *_DF)
+    stored, source, out, checkpoint = (scratch_path(spark, x) for x in ("reference", "live", "drift", "checkpoint"))
+    drift.save_reference(reference, _DF, stored)
+    part = F.expr(_LIVE.replace("TIMESTAMP", "TIMESTAMP_NTZ"))
+    for k in range(3):
+        live.where(part == k).write.mode("append").parquet(source)
+        stream = streams.tick_stream(spark, source, live.schema)
+        streams.run_batches(stream, streams.drift_batches(stored, _DF, out), checkpoint=checkpoint)
+    return tidy(spark.read.parquet(out), ["feature", "batch", "ks_stat", "ks_p", "psi", "drifted"])
 
 
 @query("stream_online", "K5", S.with_ctes(*_MR) + f"""

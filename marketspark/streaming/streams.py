@@ -7,22 +7,20 @@ live in the shared folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window as W
 
-from marketspark.functions.timecols import bucket_us, from_micros, micros
+from marketspark.functions.timecols import micros
 from marketspark.operators import drift
 from marketspark.operators.bars import tick_order
 from marketspark.operators.models import OnlineSoftmax
 from marketspark.session import scratch_path, stage
 
-_HOUR_US = 3_600_000_000
-
 
 def tick_stream(
     spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None,
@@ -75,8 +73,20 @@ def dedupe_stream(
         F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else c for c in ticks.columns])
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, which state with timers needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_to_table(stream: DataFrame, path: str, *, checkpoint: str | None = None) -> DataFrame:
-    """Drain an append stream into a Parquet table and read that table back."""
+    """Drain an append stream into a Parquet table and read that table back; the next run goes on from its checkpoint."""
     spark = stream.sparkSession
     query = (
         stream.writeStream.format("parquet").outputMode("append")
@@ -101,52 +111,14 @@ def run_batches(
     query.awaitTermination()
 
 
-def gap_alerts(folder: str, *, gap_hours: float = 1.0) -> Callable[[DataFrame, int], None]:
-    """Batch handler that appends silences longer than ``gap_hours`` to ``folder/alerts``.
-
-    A batch is first reduced to its ticks' first and last time per symbol and
-    hour. State is one row per symbol (its last tick), stored per batch number,
-    so a repeated batch rewrites the same files.
-    """
-    limit = int(gap_hours * _HOUR_US)
-
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        us = micros(F.col("timestamp"))
-        hourly = batch.groupBy("symbol", bucket_us(us, 3600).alias("_hour")).agg(
-            F.min(us).alias("_first"), F.max(us).alias("_last"))
-        if number > 0:
-            # Batches are numbered without gaps, and each one stores its state.
-            seen = spark.read.schema("symbol string, last_us long").parquet(f"{folder}/state/batch={number - 1}").select(
-                "symbol", F.lit(-1).cast("long").alias("_hour"), F.col("last_us").alias("_first"),
-                F.col("last_us").alias("_last"))
-            hourly = hourly.unionByName(seen)
-        # Hours of one batch per symbol: a short group however many ticks it had.
-        w = W.partitionBy("symbol").orderBy("_first", "_last")
-        prev = F.max("_last").over(w.rowsBetween(W.unboundedPreceding, -1))
-        alerts = hourly.withColumn("_prev", prev).where(F.col("_first") - F.col("_prev") > limit)
-        alerts.select(
-            "symbol", from_micros(F.col("_prev")).alias("gap_start"),
-            from_micros(F.col("_first")).alias("gap_end"),
-            ((F.col("_first") - F.col("_prev")) / _HOUR_US).alias("hours"),
-        ).write.mode("overwrite").parquet(f"{folder}/alerts/batch={number}")
-        hourly.groupBy("symbol").agg(F.max("_last").alias("last_us")).write.mode("overwrite").parquet(
-            f"{folder}/state/batch={number}")
-
-    return handle
-
-
-def read_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.option("basePath", f"{folder}/alerts").parquet(f"{folder}/alerts")
-
-
 def drift_batches(
-    reference: DataFrame, features: Sequence[str], folder: str, **thresholds
+    reference: str, features: Sequence[str], folder: str, **thresholds
 ) -> Callable[[DataFrame, int], None]:
-    """Batch handler that tests every micro-batch against a fixed reference table."""
+    """Batch handler that tests every micro-batch against the distribution that ``drift.save_reference`` wrote to ``reference``."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        rows = drift.report(reference, batch, features, **thresholds)
+        joint = drift.against_stored(batch.sparkSession, reference, batch, features)
+        rows = drift.report(None, None, features, joint=joint, **thresholds)
         rows.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     return handle

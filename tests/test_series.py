@@ -1,15 +1,19 @@
 """Scans, indicators, labels, trades and folds against slow models."""
 
 import datetime as dt
+import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from helpers import bars_frame, ema_model, trades_model
 from pyspark.sql import functions as F
 
-from marketspark.functions.scans import Ewm, ewm_scan, halo_blocks, previous_row, row_index, running_total
-from marketspark.operators import backtest, indicators, labels, levels, select, sessions
+from marketspark.functions.scans import Ewm, ewm_scan, halo_blocks, last_known, ordered, previous_row, row_index, running_total
+from marketspark.operators import backtest, indicators, labels, levels, models, select, sessions
 from marketspark.operators.folds import assign_folds, fold_table
+from marketspark.session import stage
 
 
 def close_to(got, want, tol=1e-8):
@@ -200,3 +204,130 @@ def test_date_range_bounds(spark):
 def test_feature_columns_skip_prices_labels_and_flags(spark):
     df = spark.sql("SELECT 1.0D AS open, 2.0D AS rsi_14, CAST(1 AS TINYINT) AS label_7, 1.0D AS close_ahead_7, true AS flag, 3 AS m")
     assert select.numeric_feature_columns(df) == ["rsi_14", "m"]
+
+
+def test_one_busy_day_is_many_blocks(spark):
+    # A session with more tasks than this machine's cores; AQE would join its small partitions again.
+    names = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        def day(n):
+            return spark.range(n).select(
+                F.lit("A").alias("symbol"), F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 8_000).cast(
+                    "timestamp_ntz").alias("timestamp"), F.when(F.col("id") % 100_003 == 0, F.col("id")).alias("mark"))
+
+        n = 10_000_000
+        sizes = [r["count"] for r in ordered(day(n), ["symbol"], ["timestamp"]).groupBy("_block").count().collect()]
+        assert len(sizes) >= 16 and max(sizes) < n / 8 and sum(sizes) == n
+        n = 500_000
+        at = (F.unix_micros(F.col("timestamp").cast("timestamp")) - 1_704_067_200_000_000) / 8_000
+        seen = last_known(row_index(day(n), ["symbol"], "timestamp"), ["symbol"], ["timestamp"], "mark", "last")
+        wrong = (F.col("last") != F.floor(at / 100_003) * 100_003) | (F.col("idx") != at) | (F.col("n") != n)
+        assert seen.count() == n and seen.where(wrong).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_asof_by_brute_force(spark):
+    draw = random.Random(8)
+    t0 = dt.datetime(2024, 1, 1)
+    when = lambda: t0 + dt.timedelta(minutes=draw.randrange(3000))
+    left = [(draw.choice("AAAB"), when(), i) for i in range(400)] + [("C", when(), 999), (None, when(), 1000)]
+    right = [(draw.choice("AAAB"), when(), draw.choice([None, 1, 2, 3]), i) for i in range(300)]
+    got = levels.asof_backward(
+        spark.createDataFrame(left, "symbol string, timestamp timestamp_ntz, id int"),
+        spark.createDataFrame(right, "symbol string, timestamp timestamp_ntz, v int, w int"), values=["v", "w"]).collect()
+    key = lambda r: (r[1], r[2] is not None, r[2] or 0, r[3])
+    want = {}
+    for s, t, i in left:
+        found = max((r for r in right if r[0] == s and r[1] <= t), key=key, default=(None,) * 4)
+        want[i] = found[2:]
+    assert {r.id: (r.v, r.w) for r in got} == want
+
+
+def test_moments_survive_a_high_level(spark):
+    draw = random.Random(5)
+    rows = [("A" if i % 3 else "B", i // 3 if i % 3 == 0 else i - i // 3 - 1, draw.gauss(0, 1) + (i % 5) * 0.8, draw.random(), i % 5)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "symbol string, idx long, a double, b double, y int")
+    low = models.prequential_bayes(df, ["a", "b"], batch=20).collect()
+    high = models.prequential_bayes(df.withColumns({"a": F.col("a") + 1e9, "b": F.col("b") + 1e9}), ["a", "b"], batch=20).collect()
+    pick = lambda rs: sorted((r.symbol, r.idx, r.prediction) for r in rs)
+    same = sum(x == y for x, y in zip(pick(low), pick(high)))
+    assert len(low) == len(high) and same >= 0.999 * len(low)  # inputs keep about seven digits of their own at 1e9
+
+
+def test_moments_over_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(models, "SCAN", 3)
+    draw = random.Random(6)
+    rows = [("A", i, draw.gauss(0, 1) + (i % 5), i % 5 if i % 7 else 0) for i in range(400)]
+    got = models.prequential_bayes(spark.createDataFrame(rows, "symbol string, idx long, a double, y int"), ["a"], batch=10).collect()
+    want = {}
+    for b in range(1, 40):
+        past = {c: [a for _, i, a, y in rows if i < b * 10 and y == c] for c in range(5)}
+        model = {c: (len(v), sum(v) / len(v)) for c, v in past.items() if len(v) > 1}
+        for _, i, a, _ in rows[b * 10:b * 10 + 10]:
+            def ll(c):
+                n, mean = model[c]
+                var = max(sum((x - mean) ** 2 for x in past[c]) / n, 1e-6)
+                return math.log(n / sum(m[0] for m in model.values())) - 0.5 * (math.log(var) + (a - mean) ** 2 / var)
+            want[i] = max(model, key=lambda c: (ll(c), -c))
+    assert {r.idx: r.prediction for r in got} == want
+
+
+def test_seventy_features_are_one_aggregate(spark):
+    draw = np.random.default_rng(2)
+    names = [f"f{i}" for i in range(70)]
+    cells = draw.normal(size=(500, 70)) + np.arange(70) * 1e6
+    cells[:, 1] = cells[:, 0] * 2
+    cells[:, 2] = 7.0
+    cells[draw.random(cells.shape) < 0.1] = np.nan
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in cells]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(4)
+    found = select.correlations(df, names)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    got = {(r.a, r.b): r["corr"] for r in found.collect()}
+    want = pd.DataFrame(cells - np.nanmean(cells, axis=0), columns=names).corr()
+    assert len(got) == 70 * 71 // 2
+    for (a, b), c in got.items():
+        if "f2" in (a, b):
+            assert c == (1.0 if a == b else None)
+        else:
+            assert c == pytest.approx(want.loc[a, b], abs=1e-7)
+
+
+def test_bootstrap_in_many_blocks(spark):
+    draw = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(s, t0 + dt.timedelta(hours=i), draw.uniform(-1, 2)) for s, n in (("A", 50), ("B", 7), ("C", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, entry_time timestamp_ntz, pnl_r double")
+    got = {(r.symbol, r.step): r for r in backtest.bootstrap_bands(df, n_paths=40, block=8).collect()}
+    assert len(got) == len(rows)
+    for s in "ABC":
+        pnl = [r[2] for r in rows if r[0] == s]
+        paths = np.zeros(40)
+        for step in range(len(pnl)):
+            h = [(p * 73856093 + step * 19349663 + 42 * 83492791) % 2147483647 for p in range(40)]
+            for _ in range(2):
+                h = [(x * x + x * 48271 + 11) % 2147483647 for x in h]
+            paths += [pnl[x % len(pnl)] for x in h]
+            r = got[s, step]
+            assert r.equity_mean == pytest.approx(paths.mean())
+            assert [r.lower_95, r.lower_68, r.upper_68, r.upper_95] == pytest.approx(np.percentile(paths, [2.5, 16, 84, 97.5]).tolist())
+
+
+def test_a_sweep_reads_bars_in_one_window(spark):
+    df, _ = bars_frame(spark, 300)
+    bars = stage(row_index(df.withColumns({"atr_14": F.lit(1.0), "signal": F.hour("timestamp") % 3 - 1}), ["symbol"], "timestamp"))
+    settings = lambda k: F.array(*[F.struct(F.lit(i).alias("param_id"), F.lit(1.0 + i).alias("param_tp")) for i in range(k)])
+    plans = [backtest.trade_candidates(bars, settings=settings(k), tp_r=F.col("param_tp"))._jdf.queryExecution().optimizedPlan().toString()
+             for k in (1, 9)]
+    assert plans[0].count("Window [") == plans[1].count("Window [") == 1
+    swept = backtest.simulate_trades(bars, settings=settings(3), tp_r=F.col("param_tp")).collect()
+    for i in range(3):
+        alone = backtest.simulate_trades(bars, tp_r=1.0 + i).collect()
+        assert sorted((r.entry_time, r.exit_time, r.pnl_r) for r in swept if r.param_id == i) == sorted(
+            (r.entry_time, r.exit_time, r.pnl_r) for r in alone)

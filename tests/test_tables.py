@@ -3,6 +3,7 @@
 import datetime as dt
 import lzma
 import os
+import random
 import struct
 import tempfile
 
@@ -15,6 +16,7 @@ from marketspark.operators import bars, drift, models, prep, quality, registry,
 from marketspark.functions.quantiles import feature_quantiles
 from marketspark.sources import store, ticks
 from marketspark.streaming import streams
+from marketspark.streaming.silence import silence_alerts
 
 TICK_DDL = ("symbol string, timestamp timestamp_ntz, bid double, ask double, bid_volume double, "
             "ask_volume double, seq long")
@@ -156,17 +158,71 @@ def test_scoring_needs_every_feature(spark):
         models.score_table(model, df.drop("a"), ["b", "a"])
 
 
-def test_gap_alerts_remember_earlier_batches(spark):
-    source, folder = store.new_table_path(spark, "ticks"), store.new_table_path(spark, "gaps")
-    t0 = dt.datetime(2024, 1, 1, 10)
-    checkpoint = store.new_table_path(spark, "checkpoint")
-    for hours in ((0, 0.5), (3, 3.5), (4,)):
-        frame = tick_frame(spark, [t0 + dt.timedelta(hours=h) for h in hours])
-        frame.coalesce(1).write.mode("append").parquet(source)
-        stream = streams.tick_stream(spark, source, frame.schema)
-        streams.run_batches(stream, streams.gap_alerts(folder), checkpoint=checkpoint)
-    got = [(r.gap_start, r.gap_end, r.hours) for r in streams.read_alerts(spark, folder).collect()]
-    assert got == [(t0 + dt.timedelta(hours=0.5), t0 + dt.timedelta(hours=3), 2.5)]
+def silences(spark, deliveries, **options):
+    """Alerts after each delivery of (symbol, hour) ticks, drained by one run each."""
+    t0 = dt.datetime(2024, 1, 1)
+    source, out = store.new_table_path(spark, "ticks"), store.new_table_path(spark, "silences")
+    seen = []
+    with streams.keyed_state(spark):
+        for ticks_of in deliveries:
+            frame = spark.createDataFrame([(s, t0 + dt.timedelta(hours=h)) for s, h in ticks_of], "symbol string, timestamp timestamp_ntz")
+            frame.repartition(2).write.mode("append").parquet(source)
+            found = streams.run_to_table(silence_alerts(streams.tick_stream(spark, source, frame.schema), **options), out)
+            hour = lambda t: None if t is None else (t - t0).total_seconds() / 3600
+            seen.append(sorted((r.symbol, r.kind, hour(r.gap_start), hour(r.gap_end)) for r in found.collect()))
+    return seen
+
+
+def test_a_symbol_that_never_returns_is_reported(spark):
+    seen = silences(spark, [
+        [("A", 0.1), ("B", 0.2), ("B", 0.9)],
+        [("B", 1.5), ("B", 2.6), ("B", 4.0)],  # B is silent from 2.6 on for 1.4 hours; A does not come back
+        [("B", 4.5), ("B", 5.2), ("B", 6.0)],
+    ], watermark="30 minutes")
+    gone = ("A", "silent", 0.1, None)
+    assert seen[0] == [] and gone in seen[1]
+    assert seen[2] == sorted([gone, ("B", "silent", 1.5, None), ("B", "silent", 2.6, None), ("B", "returned", 1.5, 2.6),
+                              ("B", "returned", 2.6, 4.0)])
+
+
+def test_silence_alerts_do_not_depend_on_deliveries(spark):
+    draw = random.Random(9)
+    rows, hour = [], {s: 0.0 for s in "ABC"}
+    for _ in range(120):
+        s = draw.choice("AAAAABC")
+        hour[s] = round(max(hour[s], max(hour.values()) - 3) + draw.choice([0.05, 0.2, 0.7, 1.3, 3.1]), 3)
+        rows.append((s, hour[s]))
+    rows = sorted((r for r in rows if r[1] < 40), key=lambda r: r[1]) + [("D", 50.0)]
+    thirds = [rows[:40], rows[40:80], rows[80:]]
+    at_once = silences(spark, [rows[::-1]])[-1]
+    assert silences(spark, thirds)[-1] == at_once
+    mark, want = 50.0 - 2, []
+    for s in "ABC":
+        mine = [h for t, h in rows if t == s]
+        for a, b in zip(mine, [*mine[1:], None]):
+            if (b is None or b - a > 1) and a + 1 <= mark:
+                want.append((s, "silent", a, None))
+            if b is not None and b - a > 1:
+                want.append((s, "returned", a, b))
+    assert [(s, k, round(a, 3), b and round(b, 3)) for s, k, a, b in at_once] == sorted(want, key=lambda r: (r[0], r[1], r[2]))
+
+
+def test_drift_against_a_stored_reference(spark):
+    rng = random.Random(3)
+    cells = lambda n, shift: [(rng.choice([None, float("nan"), round(rng.gauss(shift, 1), 1), rng.gauss(shift, 1), 0.5]),
+                               float(rng.randrange(4)), None) for _ in range(n)]
+    ddl = "x double, y double, z double"
+    reference, path = spark.createDataFrame(cells(3000, 0), ddl), store.new_table_path(spark, "reference")
+    drift.save_reference(reference, ["x", "y", "z"], path, block_rows=64)
+    assert {r.feature: r.n for r in drift.stored_profile(spark, path).collect()}.keys() == {"x", "y"}
+    narrow = [(0.123, 1.0, 1.0)] * 40
+    for live in (cells(400, 0), cells(300, 2), narrow, [(99.0, -5.0, None)] * 50, cells(20, 0)):
+        batch = spark.createDataFrame(live, ddl)
+        joint = drift.against_stored(spark, path, batch, ["x", "y", "z"])
+        got = drift.report(None, None, ["x", "y", "z"], joint=joint).orderBy("feature").collect()
+        assert got == drift.report(reference, batch, ["x", "y", "z"]).orderBy("feature").collect()
+    opened = drift.against_stored(spark, path, spark.createDataFrame(narrow, ddl), ["x"])
+    assert opened.count() < drift.compare(reference, spark.createDataFrame(narrow, ddl), ["x"]).count() / 2
 
 
 def test_ticks_without_numbers_keep_their_values(spark):
