@@ -62,12 +62,17 @@ def row_index(
     """Add ``idx`` (0-based position) and ``n`` (series length) per key.
 
     A row's position is its place inside its block of the order plus what the blocks before hold: one summary row per
-    (key, block). ``previous`` adds the previous row's values (``{new name: column}``, columns
+    (key, block). Months are windows of their own. ``previous`` adds the previous row's values (``{new name: column}``, columns
     without nulls) in the same pass. A frame that has ``idx`` is not renumbered.
     """
     if "idx" in df.columns and "n" in df.columns and not previous:
         return df
     previous = previous or {}
+    if bounded(keys):
+        month = W.partitionBy(*keys).orderBy(order)
+        return df.drop("idx", "n").withColumns({
+            "idx": F.row_number().over(month).cast("long") - 1, "n": F.count(F.lit(1)).over(W.partitionBy(*keys)),
+            **{name: F.lag(src).over(month) for name, src in previous.items()}})
     rows = ordered(df.drop("idx", "n"), keys, [order])
     per_block = rows.groupBy(*keys, "_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_first"),
