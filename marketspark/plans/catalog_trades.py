@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from marketspark.operators import backtest, models, prep, reports
+from marketspark.operators import backtest, evaluation, models, prep, registry, reports
 from marketspark.operators.select import label_to_signal
 from marketspark.plans import sqlparts as S
 from marketspark.plans.catalog_models import _MR, FEATURES, _model_rows, _nb_ctes
 from marketspark.plans.common import labelled_1h, labelled_1w
 from marketspark.plans.registry import query, tidy, tidy_sql
-from marketspark.session import stage
+from marketspark.session import scratch_path, stage
 
 _RULES = dict(tp_r=1.5, sl_r=1.0, commission=0.1)
 # Weekly ranges of the supplier symbols are in the thousands, so is a fair fee.
@@ -227,6 +229,36 @@ def eval_labels_vs_model(spark, sf):
                 ["source", "symbol", "total_trades", "no_losses", *_METRICS])
 
 
+# A registered rule that SQL can restate: busy weeks are followed upward, quiet ones downward.
+_RULED = """sg4 AS (SELECT * EXCLUDE (signal), CASE WHEN volume > v THEN 1 WHEN 2 * volume < v THEN -1 ELSE 0 END AS signal
+  FROM sg, (SELECT avg(volume) AS v FROM sg))"""
+
+
+@query("evaluate_registered", "H7, A14, I21", tidy_sql(S.with_ctes(
+    *S.LABELLED_1W, _SIGNALS, _RULED, _candidate_sql("sg4", "symbol", "1.5", "1.0", "200.0"), _walk_sql("symbol"),
+    *_curve_ctes(), f"mt AS ({_metric_sql('symbol')})")
+    + "SELECT a.symbol, coalesce(total_trades, 0) AS total_trades, coalesce(no_losses, 0) AS no_losses, "
+    + ", ".join(f"CASE WHEN total_trades IS NULL THEN {10000 if m == 'final_capital' else 0} ELSE {m} END AS {m}" for m in _METRICS)
+    + " FROM (SELECT DISTINCT symbol FROM sg) a LEFT JOIN mt USING (symbol)",
+    _METRICS, ["symbol", "total_trades", "no_losses"]))
+def evaluate_registered(spark, sf):
+    bars = backtest.indexed_bars(labelled_1w(spark, sf, staged=False).select(
+        "symbol", "timestamp", "month", "open", "high", "low", "close", "volume", "atr_14"))
+    mean = bars.agg(F.avg("volume")).first()[0]
+    rule = SQLTransformer(statement=f"SELECT *, CASE WHEN volume > {mean!r}D THEN 4.0D WHEN 2 * volume < {mean!r}D THEN 0.0D "
+                                    "ELSE 2.0D END AS prediction FROM __THIS__")
+    table, folder = scratch_path(spark, "registry"), scratch_path(spark, "evaluation")
+    for backend, score in (("rule", 0.4), ("other", 0.2)):
+        path = scratch_path(spark, "model")
+        Pipeline(stages=[rule]).fit(bars).write().save(path)
+        registry.append(registry.entry(
+            spark, backend=backend, symbol="ALL", tf="1W", label="label_10", metrics={"best_cv_f1_macro": score},
+            registered_at=1.0, feature_columns=["volume"], artifact_path=path), table)
+    found = evaluation.evaluate_registered(
+        bars, registry.read(spark, table), folder, symbol="ALL", tf="1W", label="label_10", **_RULES_1W)
+    return tidy(found, ["symbol", "total_trades", "no_losses", *_METRICS])
+
+
 _SETTINGS = [(1.5, 1.0, 50.0), (2.0, 1.0, 100.0), (3.0, 1.5, 200.0), (1.0, 0.5, 300.0)]
 _SWEEP = "sg3 AS (" + " UNION ALL ".join(
     f"SELECT *, {i} AS param_id, {tp} AS ptp, {sl} AS psl, {fee} AS pfee FROM sg"
