@@ -8,12 +8,14 @@ from marketspark.functions.scans import row_index
 from marketspark.operators import drift, folds, models, prep, registry, scoring
 from marketspark.operators.indicators import atr
 from marketspark.operators.labels import add_labels
+from marketspark.operators.select import numeric_feature_columns
 from marketspark.plans import sqlparts as S
 from marketspark.plans.common import bars_1d, bars_4h, labelled_1w
 from marketspark.plans.registry import query, tidy, tidy_sql
 from marketspark.session import scratch_path, stage
 
-FEATURES = ["volume", "tick_count", "atr_14"]
+#: What ``numeric_feature_columns`` leaves of the weekly table with the bar's body: no price, no tick count, no label.
+FEATURES = ["volume", "atr_14", "body"]
 KEY = ["symbol", "timestamp"]
 
 
@@ -21,17 +23,22 @@ def _indexed(df):
     return stage(row_index(df, ("symbol",), "timestamp"), "rows")
 
 
+def _complete(bars):
+    """Rows with all features and a label, at single precision, with their position."""
+    bars = bars.drop("idx", "n").withColumn("body", F.col("close") - F.col("open"))
+    return _indexed(prep.tabular(bars, numeric_feature_columns(bars), "label_10", keep=["symbol", "timestamp", "month"]))
+
+
 def _model_rows(spark, sf):
     """Complete rows of the weekly table with position, features and ``y`` in 0..4."""
-    return _indexed(prep.tabular(labelled_1w(spark, sf, staged=False), FEATURES, "label_10",
-                                 keep=["symbol", "timestamp", "month"]))
+    return _complete(labelled_1w(spark, sf, staged=False))
 
 
 _ROWS = """mr AS (SELECT symbol, timestamp, month, CAST(CAST(volume AS FLOAT) AS DOUBLE) AS volume,
-  CAST(CAST(tick_count AS FLOAT) AS DOUBLE) AS tick_count, CAST(CAST(atr_14 AS FLOAT) AS DOUBLE) AS atr_14,
+  CAST(CAST(close - open AS FLOAT) AS DOUBLE) AS body, CAST(CAST(atr_14 AS FLOAT) AS DOUBLE) AS atr_14,
   CAST(label_10 + 2 AS INT) AS y, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS idx,
   count(*) OVER (PARTITION BY symbol) AS n
-  FROM {src} WHERE label_10 IS NOT NULL AND atr_14 IS NOT NULL AND volume IS NOT NULL AND tick_count IS NOT NULL)"""
+  FROM {src} WHERE label_10 IS NOT NULL AND atr_14 IS NOT NULL AND volume IS NOT NULL)"""
 _MR = [*S.LABELLED_1W, _ROWS.format(src="lab")]
 
 
@@ -59,7 +66,7 @@ FROM mr a JOIN mr b ON b.symbol = a.symbol AND b.idx BETWEEN a.idx - 8 AND a.idx
 def sequence_windows(spark, sf):
     df = prep.sequence_windows(_model_rows(spark, sf), FEATURES, "y", 8, block=64)
     at = F.col("window")
-    total = F.aggregate(F.transform("window", lambda p: p[2].cast("double")), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(F.transform("window", lambda p: p[FEATURES.index("atr_14")].cast("double")), F.lit(0.0), lambda a, x: a + x)
     return tidy(df.select(
         *KEY, "y", F.size("window").alias("length"), total.alias("sum_atr"),
         at[0][0].cast("double").alias("first_volume"),
@@ -71,7 +78,7 @@ SELECT b.symbol, b.timestamp, coalesce(p.y, 2) AS prediction FROM b LEFT JOIN (S
   USING (symbol, timestamp)""")
 def align_predictions(spark, sf):
     rows = stage(labelled_1w(spark, sf, staged=False), "labelled")
-    known = _indexed(prep.tabular(rows, FEATURES, "label_10", keep=["symbol", "timestamp", "month"]))
+    known = _complete(rows)
     preds = known.where(F.col("idx") % 3 == 0).select(*KEY, F.col("y").alias("prediction"))
     return prep.align_predictions(rows.select(*KEY), preds)
 
@@ -353,8 +360,7 @@ ac AS (SELECT symbol, backend, max(k) AS k, avg((y = prediction)::INT) AS accura
 
 def _registry_table(spark, sf):
     """One entry per symbol and persistence lag, scored on the four-hour bars."""
-    base = add_labels(atr(bars_4h(spark, sf)))
-    rows = _indexed(prep.tabular(base, FEATURES, "label_10", keep=["symbol", "timestamp", "month"]))
+    rows = _complete(add_labels(atr(bars_4h(spark, sf))))
     lagged = prep.lagged(rows, {f"lag_{k}": ("y", k) for k in _LAGS}, block=64)
     long = lagged.unpivot(["symbol", "y"], [f"lag_{k}" for k in _LAGS], "backend", "prediction").where(
         F.col("prediction").isNotNull())
