@@ -10,9 +10,12 @@ import tempfile
 import numpy as np
 import pytest
 from helpers import bars_frame
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from marketspark.operators import bars, drift, models, prep, quality, registry, scoring
+from marketspark.functions.scans import row_index
+from marketspark.operators import backtest, bars, drift, evaluation, models, prep, quality, registry, scoring
 from marketspark.functions.quantiles import feature_quantiles
 from marketspark.sources import store, ticks
 from marketspark.streaming import streams
@@ -225,6 +228,35 @@ def test_drift_against_a_stored_reference(spark):
     assert opened.count() < drift.compare(reference, spark.createDataFrame(narrow, ddl), ["x"]).count() / 2
 
 
+def test_evaluation_of_a_registered_model(spark):
+    df, _ = bars_frame(spark, 400)
+    other, _ = bars_frame(spark, 60, seed=2, symbol="FLAT")
+    rows = df.unionByName(other).withColumns({
+        "atr_14": F.lit(2.0), "move": F.when(F.col("symbol") == "A", F.col("close") - F.col("open")).otherwise(0.0)})
+    indexed = row_index(rows, ["symbol"], "timestamp")
+    root, folder = store.new_table_path(spark, "models"), store.new_table_path(spark, "evaluation")
+    entries = None
+    for backend, sign, score in (("up", "", 0.5), ("down", "-", 0.4)):
+        rule = SQLTransformer(statement=f"SELECT *, CASE WHEN {sign}move > 1 THEN 4.0D WHEN {sign}move < -1 THEN 0.0D ELSE 2.0D END "
+                                        "AS prediction FROM __THIS__")
+        Pipeline(stages=[rule]).fit(indexed).write().save(f"{root}/{backend}")
+        one = registry.entry(spark, backend=backend, symbol="ALL", tf="1H", label="label_10", metrics={"best_cv_f1_macro": score},
+                             registered_at=1.0, feature_columns=["move"], artifact_path=f"{root}/{backend}")
+        entries = one if entries is None else entries.union(one)
+    ask = dict(symbol="ALL", tf="1H", label="label_10")
+    assert evaluation.evaluate_registered(indexed, entries, folder, symbol="ALL", tf="4H", label="label_10") is None
+    found = {r.symbol: r for r in evaluation.evaluate_registered(indexed, entries, folder, **ask, tp_r=2.0, commission=0.1).collect()}
+    signals = indexed.withColumn("signal", F.when(F.col("move") > 1, 1).when(F.col("move") < -1, -1).otherwise(0))
+    want = backtest.simulate_trades(signals, tp_r=2.0, commission=0.1)
+    assert found["A"].total_trades == want.count() > 5 and found["FLAT"].total_trades == 0
+    key = lambda df: sorted((r.symbol, r.entry_time, r.exit_time, r.signal, r.reason, r.pnl_r) for r in df.collect())
+    assert key(evaluation.read_trades(spark, f"{folder}/trades", "up:label_10")) == key(want)
+    assert evaluation.read_trades(spark, f"{folder}/trades", "down:label_10").count() == 0
+    again = store.new_table_path(spark, "evaluation")
+    evaluation.evaluate_registered(indexed, entries, again, **ask, backend="down")
+    assert evaluation.read_trades(spark, f"{again}/trades", "down:label_10").count() > 5
+
+
 def test_ticks_without_numbers_keep_their_values(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [("A", t0, 2.0, 2.2), ("A", t0, 1.0, 1.2), ("A", t0 + dt.timedelta(minutes=1), 3.0, 3.2)]
