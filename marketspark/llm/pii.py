@@ -223,7 +223,8 @@ def anonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     addresses, and names after a title. Equal entities (case and separators aside) get equal surrogates in all texts, different ones
     different surrogates. Numbers that fail the card check are no cards and stay, and so does all other text. A surname keeps its
     surrogate with or without a given name; names without a title are not detected. NULL text stays NULL, repeated rows are
-    treated alike, an empty table gives no rows, and other columns are passed on, whatever their names.
+    treated alike, an empty table gives no rows, and other columns are passed on, whatever their names; only a column named as
+    ``count_col`` gives way to the count.
     """
     prepare(docs.sparkSession)
     columns = docs.columns
@@ -249,5 +250,5 @@ def anonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     changed = some.join(per_text, "row").select("doc", rebuilt.alias("text"), "hits")
     same = found.where(F.size("found") == 0).select("doc", "text", F.lit(0).cast("long").alias("hits"))
     rows = same.union(changed)
-    out = [F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in columns]
+    out = [F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in columns if c != count_col]
     return rows.select(*out, *([F.col("hits").alias(count_col)] if count_col else []))

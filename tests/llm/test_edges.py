@@ -1,6 +1,7 @@
 """Every operator on NULLs, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marketspark.llm import chat, decontaminate, html, langid, lm, packing, pii, search, sharding, simhash
@@ -121,3 +122,24 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
             assert df.columns == plain.columns, name
         assert {str(r[0]) for r in df.collect()} == left
         assert {str(r[0]) for r in corpus_pipeline.packed(spark, df, "").select("doc_id").collect()} == left
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    fox = "the quick brown fox jumps over the lazy dog and runs away from the hunters of the village near the old mill"
+    item = "every good answer to this question names the river that crosses the capital of the country"
+    good = [(7, "Das ist ein guter deutscher Text über den alten Wald am Fluss"), (None, "Ein anderer guter Text über die alte Stadt"),
+            (-3, fox), (None, "Und noch ein ganz anderer Satz ohne jede Nummer")]
+    bad = [(7, "!!! 123"), (None, "??? 99"), (2, fox), (2, fox + " again"), (None, fox), (-3, fox), (9, item), (None, item)]
+    docs = spark.createDataFrame([(i, t, "de", "s", len(t)) for i, t in [*bad, *good, (9, "Neun steht auch für diesen kurzen Satz")]],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, step in corpus_pipeline.STAGES[:3]:
+        docs = step(spark, docs, str(tmp_path))
+    assert sorted((str(r[0]), r[1]) for r in docs.collect()) == sorted(
+        (str(i), t) for i, t in [*good, (9, "Neun steht auch für diesen kurzen Satz")])
+
+
+def test_count_column_that_exists(spark):
+    df = docs(spark).withColumn("n_replaced", F.lit("x"))
+    found = pii.anonymise(df, "k", count_col="n_replaced")
+    assert found.columns == df.columns and sorted(r["n_replaced"] for r in found.collect()) == [0] * 7 + [1] * 3
