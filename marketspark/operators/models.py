@@ -11,19 +11,22 @@ import itertools
 import random
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketspark.operators.folds import assign_folds
+from marketspark.operators.folds import assign_folds, fold_part, usable_folds
 from marketspark.operators.prep import NEUTRAL, sequence_windows
-from marketspark.operators.scoring import confusion_counts, class_scores, macro_f1
+from marketspark.operators.scoring import class_scores, confusion_counts, macro_f1, top_features
 from marketspark.session import stage
 
 CLASSES = (0, 1, 2, 3, 4)
@@ -241,69 +244,110 @@ def tree_pipeline(features: Sequence[str], params: Mapping[str, int], seed: int)
 
 
 # Ranges of the random search.
-TREE_SPACE = {"numTrees": (10, 20, 40), "maxDepth": (3, 5, 7), "minInstancesPerNode": (1, 5, 10)}
-
-
-def cross_validated_f1(
-    rows: DataFrame, estimator: Pipeline, *, method: str = "rolling_origin", n_splits: int = 3, **fold_options
-) -> float:
-    """Macro F1 over the pooled test rows of all folds."""
-    members = assign_folds(rows, method, n_splits=n_splits, **fold_options)
-    scored = None
-    for fold in range(n_splits):
-        part = members.where(F.col("fold") == fold)
-        train, test = part.where("role = 'train'"), part.where("role = 'test'")
-        if train.isEmpty() or test.isEmpty():
-            continue
-        out = estimator.fit(train).transform(test).select("y", F.col("prediction").cast("int").alias("prediction"))
-        scored = out if scored is None else scored.unionByName(out)
-    return float(macro_f1(scored).first()["macro_f1"]) if scored is not None else 0.0
+TREE_SPACE = {"numTrees": (10, 20, 40), "maxDepth": (3, 5, 7), "minInstancesPerNode": (1, 5, 10), "subsamplingRate": (0.7, 1.0)}
+#: Fits that run side by side. Each is a Spark job of its own; the threads only wait for them.
+PARALLEL = 8
+
+
+def _side_by_side(run: Callable, items: Sequence) -> list:
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(inheritable_thread_target(run), items))
+
+
+def _scored(model: PipelineModel, rows: DataFrame) -> tuple[float, int]:
+    """Macro F1 of the model on ``rows`` and how many rows were scored, from one aggregate."""
+    scores = class_scores(confusion_counts(model.transform(rows).withColumn("prediction", F.col("prediction").cast("int"))))
+    found = scores.agg(F.coalesce(F.avg("f1"), F.lit(0.0)), F.coalesce(F.sum(F.col("tp") + F.col("fn")), F.lit(0))).first()
+    return float(found[0]), int(found[1])
+
+
+def fold_score(
+    rows: DataFrame, estimator: Pipeline, fold: int, method: str, **fold_options
+) -> tuple[float, int]:
+    """Macro F1 and number of scored rows of one fold."""
+    part = partial(fold_part, rows, method, fold, **fold_options)
+    return _scored(estimator.fit(part("train")), part("test"))
 
 
 def train_tree(
-    rows: DataFrame, features: Sequence[str], *, n_trials: int = 3, n_splits: int = 3, seed: int = 42,
-    method: str = "rolling_origin",
+    rows: DataFrame, features: Sequence[str], *, n_trials: int = 30, n_splits: int = 5, seed: int = 42,
+    method: str = "rolling_origin", keep: int = 3,
 ) -> tuple[PipelineModel, dict]:
-    """Random search over tree settings by cross-validated macro F1, then a full fit."""
+    """Random search over tree settings by mean macro F1 over folds, then a full fit.
+
+    Successive halving: all trials run on one fold, the best ``1 / keep`` of them on two more, the best ``1 / keep`` of those on
+    the rest; the winner is one of the last, which have a score for every fold. Trials run side by side. ``rows`` should be stored.
+    """
     combos = list(itertools.product(*TREE_SPACE.values()))
-    picks = random.Random(seed).sample(combos, min(n_trials, len(combos)))
-    trials = []
-    for values in picks:
-        params = dict(zip(TREE_SPACE, values))
-        trials.append((cross_validated_f1(
-            rows, tree_pipeline(features, params, seed), method=method, n_splits=n_splits), params))
-    best_f1, params = max(trials, key=lambda t: t[0])
-    model = tree_pipeline(features, params, seed).fit(rows)
-    train_f1 = float(macro_f1(model.transform(rows).withColumn(
-        "prediction", F.col("prediction").cast("int"))).first()["macro_f1"])
-    return model, {"best_cv_f1_macro": best_f1, "train_f1_macro": train_f1, **params}
+    trials = [dict(zip(TREE_SPACE, v)) for v in random.Random(seed).sample(combos, min(n_trials, len(combos)))]
+    folds = usable_folds(rows, method, n_splits)
+    scores: list[dict[int, tuple[float, int]]] = [{} for _ in trials]
+
+    def mean(trial: int) -> float:
+        return float(np.mean([f1 for f1, _ in scores[trial].values()])) if scores[trial] else 0.0
+
+    alive = list(range(len(trials)))
+    for rung in (folds[:1], folds[1:3], folds[3:]):
+        if not rung:
+            continue
+        if rung != folds[:1]:
+            alive = sorted(alive, key=mean, reverse=True)[:max(1, -(-len(alive) // keep))]
+        jobs = [(trial, fold) for trial in alive for fold in rung]
+        done = _side_by_side(lambda job: fold_score(
+            rows, tree_pipeline(features, trials[job[0]], seed), job[1], method, n_splits=n_splits), jobs)
+        for (trial, fold), score in zip(jobs, done):
+            scores[trial][fold] = score
+    best = max(alive, key=mean)
+    model = tree_pipeline(features, trials[best], seed).fit(rows)
+    train_f1, train_rows = _scored(model, rows)
+    return model, {
+        "best_cv_f1_macro": mean(best), "train_f1_macro": train_f1, "cv_rows": sum(n for _, n in scores[best].values()),
+        "train_rows": train_rows, "folds": len(scores[best]), "trials": len(trials), **trials[best]}
 
 
 def train_sequence(
-    indexed: DataFrame, features: Sequence[str], *, length: int = 8, n_splits: int = 3, hidden: int = 16,
-    seed: int = 42, max_iter: int = 30, label_horizon: int = 10, block: int = 4096,
+    indexed: DataFrame, features: Sequence[str], *, length: int = 8, n_splits: int = 5, hidden: int = 16,
+    seed: int = 42, max_iter: int = 30, label_horizon: int = 10, top: int | None = None, block: int = 4096,
 ) -> tuple[PipelineModel, dict]:
-    """Feed-forward classifier over flattened feature windows, purged expanding folds.
+    """Feed-forward classifier over flattened feature windows, purged expanding folds, mean macro F1 over the folds.
 
-    The final model trains on the first 90 % of the windows.
+    A label looks ``label_horizon`` rows ahead and a window ``length`` rows back, so both together are purged between the rows
+    trained on and those scored. Each fold, and the final model, picks its ``top`` features (all by default) on its own training
+    rows. The final model trains on the first 90 % of the windows and is scored on the rest.
     """
     windows = sequence_windows(indexed, features, "y", length, block=block)
-    flat = windows.select(
+    flat = stage(windows.select(
         "symbol", "timestamp", "y", (F.col("idx") - length).alias("idx"),
         array_to_vector(F.transform(F.flatten("window"), lambda x: x.cast("double"))).alias("raw"),
-    ).join(indexed.groupBy("symbol").agg((F.max("n") - length).alias("n")), "symbol")
-    estimator = Pipeline(stages=[
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-        MultilayerPerceptronClassifier(
-            featuresCol="features", labelCol="y", layers=[length * len(features), hidden, len(CLASSES)],
-            seed=seed, maxIter=max_iter),
-    ])
-    cv_f1 = cross_validated_f1(
-        flat, estimator, method="purged_timeseries", n_splits=n_splits, label_horizon=label_horizon)
-    cut = F.col("idx") < F.floor(F.col("n") * 0.9)
-    model = estimator.fit(flat.where(cut))
-    tail = model.transform(flat.where(~cut)).withColumn("prediction", F.col("prediction").cast("int"))
-    return model, {"best_cv_f1_macro": cv_f1, "holdout_f1_macro": float(macro_f1(tail).first()["macro_f1"])}
+    ).join(indexed.groupBy("symbol").agg((F.max("n") - length).alias("n")), "symbol"), "windows")
+    own = indexed.where(F.col("idx") >= length).withColumns({"idx": F.col("idx") - length, "n": F.col("n") - length})
+    purge = label_horizon + length
+    options = {"n_splits": n_splits, "label_horizon": purge}
+    method, wide = "purged_timeseries", len(features)
+
+    def estimator(train: DataFrame) -> Pipeline:
+        chosen = range(wide)
+        if top is not None and top < wide:
+            best = {r["feature"] for r in top_features(train, features, top).collect()}
+            chosen = [i for i, f in enumerate(features) if f in best] or range(wide)
+        return Pipeline(stages=[
+            VectorSlicer(inputCol="raw", outputCol="chosen", indices=[step * wide + i for step in range(length) for i in chosen]),
+            StandardScaler(inputCol="chosen", outputCol="features", withMean=True),
+            MultilayerPerceptronClassifier(
+                featuresCol="features", labelCol="y", layers=[length * len(chosen), hidden, len(CLASSES)],
+                seed=seed, maxIter=max_iter),
+        ])
+
+    folds = usable_folds(flat, method, **options)
+    scores = _side_by_side(lambda fold: fold_score(
+        flat, estimator(fold_part(own, method, fold, "train", **options)), fold, method, **options), folds)
+    cut = F.floor(F.col("n") * 0.9)
+    first = F.col("idx") < cut - purge
+    model = estimator(own.where(first)).fit(flat.where(first))
+    held_f1, held_rows = _scored(model, flat.where(F.col("idx") >= cut))
+    return model, {
+        "best_cv_f1_macro": float(np.mean([f1 for f1, _ in scores])) if scores else 0.0, "holdout_f1_macro": held_f1,
+        "cv_rows": sum(n for _, n in scores), "holdout_rows": held_rows, "folds": len(scores)}
 
 
 def score_table(model: PipelineModel, rows: DataFrame, features: Sequence[str]) -> DataFrame:

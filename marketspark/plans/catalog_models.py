@@ -270,29 +270,33 @@ def _tree_rows(spark, sf):
     return stage(lags, "lags"), [*FEATURES, *[f"y_lag_{k}" for k in range(10, 15)]]
 
 
-def _facts(spark, backend, rows, metrics):
-    """What SQL can state of a trained model: its rows, and that each score is a share."""
-    facts = [(backend, "rows", rows.count())] + [(backend, k, int(0 <= v <= 1)) for k, v in metrics.items() if "f1" in k]
+def _facts(spark, backend, metrics):
+    """What SQL can state of a trained model: rows scored, folds and trials, and that each score is a share."""
+    facts = [(backend, k, int(0 <= v <= 1) if "f1" in k else int(v)) for k, v in metrics.items()
+             if "f1" in k or k in ("cv_rows", "train_rows", "holdout_rows", "folds", "trials")]
     return spark.createDataFrame(facts, "backend string, metric string, value long")
 
 
-_FACT_SQL = """
-SELECT '{0}' AS backend, 'rows' AS metric, count(*) AS value FROM mr WHERE idx >= {1}
-UNION ALL SELECT '{0}', unnest(['best_cv_f1_macro', '{2}']), 1"""
-
-
-@query("train_tree", "I15", S.with_ctes(*_MR) + _FACT_SQL.format("tree", 14, "train_f1_macro"))
+@query("train_tree", "I15", S.with_ctes(*_MR) + """
+SELECT 'tree' AS backend, 'cv_rows' AS metric, count(*) AS value FROM mr WHERE idx >= 14 AND idx >= n - 5 * greatest(1, n // 50)
+UNION ALL SELECT 'tree', 'train_rows', count(*) FROM mr WHERE idx >= 14
+UNION ALL SELECT 'tree', unnest(['folds', 'trials', 'best_cv_f1_macro', 'train_f1_macro']), unnest([5, 30, 1, 1])""")
 def train_tree(spark, sf):
     rows, features = _tree_rows(spark, sf)
-    _, metrics = models.train_tree(rows, features, n_trials=2, n_splits=2)
-    return _facts(spark, "tree", rows, metrics)
+    _, metrics = models.train_tree(rows, features)
+    return _facts(spark, "tree", metrics)
 
 
-@query("train_sequence_mlp", "I19", S.with_ctes(*_MR) + _FACT_SQL.format("sequence", 8, "holdout_f1_macro"))
+@query("train_sequence_mlp", "I19", S.with_ctes(
+    *_MR, "sw AS (SELECT symbol, max(n) - 8 AS m FROM mr GROUP BY symbol HAVING max(n) > 8)",
+    """te AS (SELECT m, m - (m // 6) * (5 - i) AS lo, least(m, m - (m // 6) * (5 - i) + m // 6 + CAST(floor(m * CAST(0.01 AS DOUBLE)) AS BIGINT)) AS hi
+  FROM sw, range(5) AS f(i))""") + """
+SELECT 'sequence' AS backend, 'cv_rows' AS metric, CAST(sum(hi - lo) AS BIGINT) AS value FROM te
+UNION ALL SELECT 'sequence', 'holdout_rows', CAST(sum(m - floor(m * CAST(0.9 AS DOUBLE))) AS BIGINT) FROM sw
+UNION ALL SELECT 'sequence', unnest(['folds', 'best_cv_f1_macro', 'holdout_f1_macro']), unnest([5, 1, 1])""")
 def train_sequence_mlp(spark, sf):
-    rows = _model_rows(spark, sf)
-    _, metrics = models.train_sequence(rows, FEATURES, n_splits=2, max_iter=10)
-    return _facts(spark, "sequence", prep.sequence_windows(rows, FEATURES, "y", 8), metrics)
+    _, metrics = models.train_sequence(_model_rows(spark, sf), FEATURES, top=2)
+    return _facts(spark, "sequence", metrics)
 
 
 @query("batch_score", "I3, A13, I21", S.with_ctes(*_MR) + "SELECT symbol, timestamp, y, 1 AS in_range FROM mr")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketspark.functions.scans import Ewm, ewm_scan, halo_blocks, last_known, ordered, previous_row, row_index, running_total
 from marketspark.operators import backtest, indicators, labels, levels, models, select, sessions
-from marketspark.operators.folds import assign_folds, fold_table
+from marketspark.operators.folds import assign_folds, fold_part, fold_table, usable_folds
 from marketspark.session import stage
 
 
@@ -159,6 +159,73 @@ def test_week_key_at_new_year(spark):
     assert calendar == [rows[0][2], rows[1][2], rows[1][2]]
 
 
+@pytest.mark.parametrize("causal", [False, True])
+def test_sessions_against_a_walk_over_bars(spark, causal):
+    full, rows = bars_frame(spark, 24 * 31, seed=5)
+    rng = random.Random(7)
+    gone = {r[1] for r in rows if rng.random() < 0.3}  # sessions lose bars, some all of them
+    gaps = {r[1] for r in rows if rng.random() < 0.1}
+    times = lambda ts: F.col("timestamp").isin([F.lit(t).cast("timestamp_ntz") for t in sorted(ts)])
+    df = full.where(~times(gone)).withColumn("low", F.when(~times(gaps), F.col("low"))).withColumn(
+        "high", F.when(~times(gaps), F.col("high")))
+    chained = sessions.session_levels(sessions.session_ids(sessions.session_flags(df)))
+    got = sessions.session_average_range(chained, n=3, causal=causal).orderBy("timestamp").collect()
+    for s in ("asia", "london", "nyam"):
+        ids, high, low, number = [], None, None, None
+        for i, r in enumerate(got):
+            opened = i > 0 and r[f"in_{s}"] and not got[i - 1][f"in_{s}"]
+            number = None if i == 0 else (number or 0) + int(opened)
+            if i == 1 or opened:
+                high = low = None
+            high = r["high"] if high is None else high if r["high"] is None else max(high, r["high"])
+            low = r["low"] if low is None else low if r["low"] is None else min(low, r["low"])
+            assert (r[f"kz_{s}_session_id"], r[f"kz_{s}_high"], r[f"kz_{s}_low"]) == (number, high, low)
+            ids.append(number)
+        ranges = {}
+        for i, r in enumerate(got):
+            if (r[f"in_{s}"] or i == len(got) - 1) and r[f"kz_{s}_range"] is not None:
+                ranges[ids[i]] = max(ranges.get(ids[i], 0.0), r[f"kz_{s}_range"])
+        known = sorted(ranges, key=lambda k: -1 if k is None else k)
+        want = []
+        for k in ids:
+            end = known.index(k) + (0 if causal else 1) if k is not None and k in ranges else 0
+            last = [ranges[j] for j in known[max(0, end - 3):end]]
+            want.append(sum(last) / len(last) if last else None)
+        close_to([r[f"kz_{s}_avg_range"] for r in got], want)
+
+
+def test_iso_weeks_take_the_same_levels_as_windows_of_their_own(spark):
+    df, rows = bars_frame(spark, 60, start=dt.datetime(2024, 12, 20, 12), step=dt.timedelta(hours=9))
+    df = df.withColumn("month", F.lit(1))
+    got = sessions.period_previous(sessions.period_running(df, iso_year=True), iso_year=True).orderBy("timestamp").collect()
+    weeks = [(r["timestamp"] - dt.timedelta(hours=5)).isocalendar()[:2] for r in got]
+    for i, r in enumerate(got):
+        same = [x for x, w in zip(got[:i + 1], weeks) if w == weeks[i]]
+        before = max((w for w in weeks if w < weeks[i]), default=None)
+        past = [x["high"] for x, w in zip(got, weeks) if w == before]
+        assert (r["w_open"], r["w_high"], r["w_low"]) == (same[0]["open"], max(x["high"] for x in same), min(x["low"] for x in same))
+        assert r["pw_high"] == (max(past) if past else None)
+
+
+def test_folds_by_filter_equal_the_memberships(spark):
+    df = spark.range(130).select(F.lit("A").alias("symbol"), F.col("id").alias("idx"), F.lit(130).alias("n"))
+    for method in ("purged_kfold", "purged_timeseries", "rolling_origin", "timeseries"):
+        members = assign_folds(df, method, n_splits=4)
+        for fold in range(4):
+            for role in ("train", "test"):
+                want = column(members.where((F.col("fold") == fold) & (F.col("role") == role)), "idx", "idx")
+                assert column(fold_part(df, method, fold, role, n_splits=4), "idx", "idx") == want
+    assert usable_folds(df, "rolling_origin", 4) == [0, 1, 2, 3] and usable_folds(df.where("idx > 60"), "purged_kfold", 4) == [1, 2, 3]
+
+
+def test_tree_search_halves_and_scores_every_fold(spark):
+    df = spark.range(200).select(F.lit("A").alias("symbol"), F.col("id").alias("idx"), F.lit(200).alias("n"),
+                                 (F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 5).cast("int").alias("y"))
+    _, metrics = models.train_tree(df, ["a"], n_trials=4, n_splits=4)
+    assert metrics["cv_rows"] == 20 and metrics["train_rows"] == 200 and metrics["folds"] == 4
+    assert metrics["best_cv_f1_macro"] == 1.0
+
+
 def test_wrapping_window(spark):
     df = spark.createDataFrame([(m,) for m in (0, 90, 600, 1350)], "m int")
     assert [r[0] for r in df.select(sessions.in_window(F.col("m"), 1320, 120)).collect()] == [True, True, False, True]
