@@ -246,7 +246,7 @@ def tree_pipeline(features: Sequence[str], params: Mapping[str, int], seed: int)
 # Ranges of the random search.
 TREE_SPACE = {"numTrees": (10, 20, 40), "maxDepth": (3, 5, 7), "minInstancesPerNode": (1, 5, 10), "subsamplingRate": (0.7, 1.0)}
 #: Fits that run side by side. Each is a Spark job of its own; the threads only wait for them.
-PARALLEL = 8
+PARALLEL = 4
 
 
 def _side_by_side(run: Callable, items: Sequence) -> list:
