@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from marketspark.functions.scans import UNBOUNDED, halo_blocks, row_index, running_total
+from marketspark.functions.scans import UNBOUNDED, halo_blocks, longest, row_index, running_total, short
 from marketspark.session import stage
 
 SERIES = ("symbol",)
@@ -224,6 +224,20 @@ def select_non_overlapping(
     return candidates.join(replayed, [*keys, "idx"], "left_semi")
 
 
+def _non_overlapping_of_one_block(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same choice where every series is a single block: one walk over its candidates, without tables of borders."""
+    rest = [c for c in candidates.columns if c not in (*keys, "idx")]
+    series = candidates.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", *rest))).alias("_cands"))
+    taken = F.aggregate(
+        "_cands", F.struct(F.lit(0).cast("long").alias("position"), F.slice("_cands", 1, 0).alias("taken")),
+        lambda acc, c: F.when(
+            c["idx"] >= acc["position"],
+            F.struct(c["exit_idx"].alias("position"), F.concat(acc["taken"], F.array(c)).alias("taken")),
+        ).otherwise(acc),
+        lambda acc: acc["taken"])
+    return series.select(*keys, F.inline(taken)).select(*candidates.columns).withMetadata("idx", candidates.schema["idx"].metadata)
+
+
 def simulate_trades(
     bars: DataFrame,
     signal_col: str = "signal",
@@ -235,14 +249,14 @@ def simulate_trades(
     **rules,
 ) -> DataFrame:
     """Sequential, non-overlapping trades per series (``bars`` carry ``idx`` and ``n``), and per ``param_id`` of ``settings``."""
-    candidates = stage(
-        trade_candidates(
-            bars, signal_col, keys=keys, horizon_limit=horizon_limit, block=block, settings=settings, **rules),
-        "candidates",
-    )
+    candidates = trade_candidates(
+        bars, signal_col, keys=keys, horizon_limit=horizon_limit, block=block, settings=settings, **rules)
     if settings is not None:
         keys = (*keys, "param_id")
-    taken = select_non_overlapping(candidates, keys=keys, horizon_limit=horizon_limit, block=block)
+    if short(bars, block):
+        taken = _non_overlapping_of_one_block(candidates, keys)
+    else:
+        taken = select_non_overlapping(stage(candidates, "candidates"), keys=keys, horizon_limit=horizon_limit, block=block)
     return taken.where(F.col("reason").isNotNull()).drop("n")
 
 
@@ -254,9 +268,16 @@ def equity_curve(
 
     ``peak_floor=None``: the peak starts at the first equity value. With a
     floor of 0 the peak starts at 0. Blocks of trades are summed on their own
-    and joined with the totals and peaks of the blocks before them.
+    and joined with the totals and peaks of the blocks before them; short series are windows.
     """
-    numbered = _trade_numbers(trades, keys).withColumn("_blk", F.floor(F.col("i") / block))
+    numbered = _trade_numbers(trades, keys)
+    if short(trades):
+        whole = W.partitionBy(*keys).orderBy("i").rowsBetween(UNBOUNDED, 0)
+        curve = numbered.withColumn("equity", F.sum("pnl_r").over(whole))
+        top = F.max("equity").over(whole)
+        peak = top if peak_floor is None else F.greatest(top, F.lit(float(peak_floor)))
+        return curve.withColumn("peak", peak).withColumn("drawdown", F.col("peak") - F.col("equity"))
+    numbered = numbered.withColumn("_blk", F.floor(F.col("i") / block))
     inside = W.partitionBy(*keys, "_blk").orderBy("i").rowsBetween(UNBOUNDED, 0)
     local = numbered.withColumn("_sum", F.sum("pnl_r").over(inside))
     local = stage(local.withColumn("_max", F.max("_sum").over(inside)), "equity")
@@ -279,7 +300,7 @@ def equity_curve(
 
 def _trade_numbers(trades: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number trades per series in exit order (which is entry order: they do not overlap)."""
-    numbered = row_index(trades.drop("idx", "exit_idx"), keys, "entry_time")
+    numbered = row_index(trades.drop("idx", "exit_idx"), keys, "entry_time", most=longest(trades))
     return numbered.withColumnRenamed("idx", "i").drop("n")
 
 
@@ -359,17 +380,22 @@ def drawdown_events(curve: DataFrame, *, keys: Sequence[str] = SERIES, block: in
     An episode runs from the first value under the peak to the recovery. One
     still open at the end counts only if its lowest point is not its first.
     """
-    curve = stage(curve.withColumn("_blk", F.floor(F.col("i") / block)), "curve")
     at_peak = (F.col("drawdown") == 0).cast("long")
-    islands = running_total(curve, keys, "_blk", "i", {"_island": at_peak})
-    last = curve.groupBy(*keys).agg(F.max("i").alias("_last"))
-    under = islands.where(F.col("drawdown") > 0).groupBy(*keys, "_island").agg(
+    if short(curve):
+        islands = curve.withColumns({
+            "_island": F.sum(at_peak).over(W.partitionBy(*keys).orderBy("i").rowsBetween(UNBOUNDED, 0)),
+            "_last": F.max("i").over(W.partitionBy(*keys))})
+    else:
+        curve = stage(curve.withColumn("_blk", F.floor(F.col("i") / block)), "curve")
+        islands = running_total(curve, keys, "_blk", "i", {"_island": at_peak}).join(
+            curve.groupBy(*keys).agg(F.max("i").alias("_last")), list(keys))
+    events = islands.where(F.col("drawdown") > 0).groupBy(*keys, "_island").agg(
         F.min("i").alias("start_idx"),
         F.max("i").alias("_end"),
         F.min(F.struct("equity", "i")).alias("_low"),
         F.max("peak").alias("_peak"),
-    )
-    events = under.join(last, list(keys)).withColumn("ongoing", F.col("_end") == F.col("_last"))
+        F.max("_last").alias("_last"),
+    ).withColumn("ongoing", F.col("_end") == F.col("_last"))
     trough = F.col("_low.i")
     events = events.where(~F.col("ongoing") | (trough > F.col("start_idx")))
     end = F.when(F.col("ongoing"), F.col("_last")).otherwise(F.col("_end") + 1)

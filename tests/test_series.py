@@ -10,6 +10,8 @@ import pytest
 from helpers import bars_frame, ema_model, trades_model
 from pyspark.sql import functions as F
 
+from marketspark import session
+from marketspark.functions import scans
 from marketspark.functions.scans import Ewm, ewm_scan, halo_blocks, last_known, ordered, previous_row, row_index, running_total
 from marketspark.operators import backtest, indicators, labels, levels, models, select, sessions
 from marketspark.operators.folds import assign_folds, fold_part, fold_table, usable_folds
@@ -398,3 +400,31 @@ def test_a_sweep_reads_bars_in_one_window(spark):
         alone = backtest.simulate_trades(bars, tp_r=1.0 + i).collect()
         assert sorted((r.entry_time, r.exit_time, r.pnl_r) for r in swept if r.param_id == i) == sorted(
             (r.entry_time, r.exit_time, r.pnl_r) for r in alone)
+
+
+def test_short_series_are_windows_and_long_ones_blocks(spark, monkeypatch):
+    one, _ = bars_frame(spark, 400, seed=3, symbol="A")
+    two, _ = bars_frame(spark, 250, seed=4, symbol="B")
+    bars = one.union(two)
+
+    def run(df):
+        written = len(session._written[spark.sparkContext.applicationId])
+        rows = labels.add_labels(indicators.atr(df, ("symbol",)), partition_cols=("symbol",))
+        rows = rows.withColumn("signal", select.label_to_signal("label_10"))
+        curve = backtest.equity_curve(backtest.simulate_trades(rows, tp_r=1.5, commission=0.1), peak_floor=0.0, block=64)
+        events = backtest.drawdown_events(curve, block=64)
+        found = [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()) for df in (
+            curve.select("symbol", "i", "entry_time", "exit_time", "pnl_r", "equity", "peak", "drawdown"), events)]
+        plan = curve._jdf.queryExecution().executedPlan().toString()
+        return found, len(session._written[spark.sparkContext.applicationId]) - written, plan.count("Exchange ")
+
+    session.scratch_path(spark, "none")
+    blocks, tables, _ = run(bars)
+    noted = scans.measured(bars, ("symbol",), "timestamp")
+    assert scans.longest(noted) == 400 and scans.short(noted) and not scans.short(noted, 399) and not scans.short(bars)
+    windows, none, shuffles = run(noted)
+    assert windows == blocks and blocks[0] and blocks[1]
+    assert tables > 5 and none == 0 and shuffles == 1
+    monkeypatch.setattr(scans, "SHORT", 100)  # now both are long
+    assert run(noted)[0] == blocks
+    assert scans.longest(scans.without_notes(noted)) is None
