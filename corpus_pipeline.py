@@ -42,8 +42,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of near copies (five-word Jaccard of 0.8 or more), among rows of that
-    id the one of the smallest hash, and one of rows that are equal in all columns. A NULL id stays only without any other."""
+    """Keep the document with the smallest id of every group of near copies, among rows of that id the one of the smallest hash, and
+    one of rows that are equal in all columns. A NULL id stays only without any other.
+
+    Near copies are linked by SimHash over five words, and by min-hash bands for what lies further apart than its four bits; an
+    exact five-word Jaccard of 0.8 or more decides each link."""
     rows = _named(docs)
     found = stage(similar(rows, ROW), "groups")
     copies = stage(found.where(F.col(ROW) != F.col("component_id")).select(ROW).distinct(), "copies")

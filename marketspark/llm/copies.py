@@ -1,4 +1,4 @@
-"""Near copies by word shingles: min-hash bands find candidates, the exact Jaccard similarity of every candidate decides."""
+"""Near copies by word shingles: SimHash fingerprints and min-hash bands find candidates, the exact Jaccard similarity decides."""
 
 from __future__ import annotations
 
@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from marketspark.llm.common import groups_for, prepare, stage, text_or_empty
 from marketspark.llm.components import components
+from marketspark.llm.simhash import links, majority
 
 #: Bands of so many min-hashes each. Two texts of similarity s meet in no band with probability (1 - s ** WIDTH) ** BANDS:
 #: 1e-6 at 0.8, 7e-12 at 0.85.
 BANDS, WIDTH = 45, 6
+#: Bits in which the fingerprints of candidates differ at most.
+DISTANCE = 4
 #: Min-hashes of a pair may agree in so much less than the least similarity before it is compared exactly (six deviations).
 SLACK = 0.15
 #: Texts compared all with all in one task; larger groups are cut into chunks, and each pair of chunks is a task.
@@ -44,21 +47,23 @@ def min_hashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def _prints(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, t, node, keys): hash of the text, of its set of shingles, and of its bands; one row per input row."""
+    """(id, t, node, fp, keys): hash of the text and of its set of shingles, the set's SimHash and its bands; one row per input row."""
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("t"), text_or_empty(text_col).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            nodes, keys = [], []
+            nodes, prints, keys = [], [], []
             for text in part["text"]:
                 found = shingles(text, size)
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes()))
+                prints.append(majority(found))
                 rows = min_hashes(found).reshape(BANDS, WIDTH) if len(found) else []
                 keys.append(np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], dtype=np.uint64).view(np.int64))
-            yield pd.DataFrame({"id": part["id"], "t": part["t"], "node": np.array(nodes, dtype=np.uint64).view(np.int64), "keys": keys})
+            node, fp = (np.array(x, dtype=np.uint64).view(np.int64) for x in (nodes, prints))
+            yield pd.DataFrame({"id": part["id"], "t": part["t"], "node": node, "fp": fp, "keys": keys})
 
-    return slim.mapInPandas(run, f"id {kind}, t long, node long, keys array<long>")
+    return slim.mapInPandas(run, f"id {kind}, t long, node long, fp long, keys array<long>")
 
 
 def _joined(texts: list[str], size: int, least: float) -> list[tuple[int, int]]:
@@ -82,20 +87,33 @@ def _joined(texts: list[str], size: int, least: float) -> list[tuple[int, int]]:
     return edges
 
 
+def _near_prints(nodes: DataFrame) -> DataFrame:
+    """(node, low): edges that join all ``nodes`` (node, fp) whose fingerprints differ in ``DISTANCE`` bits or fewer."""
+    heads = stage(nodes.groupBy("fp").agg(F.min("node").alias("low")), "prints")
+    equal = nodes.join(heads, "fp").where("node <> low").select("node", "low")
+    close = links(heads.select("fp"), DISTANCE).join(heads.select(F.col("fp").alias("u"), F.col("low").alias("node")), "u").join(
+        heads.select(F.col("fp").alias("v"), "low"), "v").select("node", "low")
+    return equal.union(close)
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """(id_col, component_id): one row per input row with the smallest id of its group, groups being linked by pairs of ``least``
     Jaccard similarity or more on ``shingle`` words.
 
-    Texts of equal shingle sets are one node. The nodes of a band are linked to its smallest, which joins every candidate pair
-    by as many edges as there are nodes; within these coarse groups all pairs not yet joined are compared exactly. NULL ids are
+    Texts of equal shingle sets are one node. Nodes whose SimHash differs in ``DISTANCE`` bits or fewer are linked as ``simhash``
+    does it; at a similarity of 0.8 fingerprints differ in some ten bits, so the nodes of a min-hash band are linked to its smallest
+    as well, which joins every candidate pair by as many edges as there are nodes. Within these coarse groups all pairs not yet
+    joined are compared exactly; only texts of candidates are shuffled. NULL ids are
     chosen only by groups that have no other; repeated rows stay repeated.
     """
     prepare(docs.sparkSession)
     prints = stage(_prints(docs, id_col, text_col, shingle), "prints")
-    first = stage(prints.groupBy("node").agg(F.min("t").alias("t"), F.first("keys").alias("keys")), "nodes")
+    first = stage(prints.groupBy("node").agg(F.min("t").alias("t"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes")
     keyed = first.select("node", F.explode("keys").alias("key"))
     low = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("key", "low")
-    coarse = components(stage(keyed.join(low, "key").where("node <> low").select("node", "low").distinct(), "coarse"), "node", "low")
+    banded = keyed.join(low, "key").where("node <> low").select("node", "low")
+    near = _near_prints(first.where(F.size("keys") > 0))
+    coarse = components(stage(banded.union(near).distinct(), "coarse"), "node", "low")
     coarse = stage(first.select("node", "t").join(coarse, "node"), "candidates")
     groups = coarse.groupBy("component").count()
     hot = groups.where(F.col("count") > GROUP).select("component", F.ceil(2 * F.col("count") / GROUP).cast("int").alias("chunks"))
@@ -106,7 +124,10 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     cut = spread.where("chunks IS NOT NULL").select(
         "t", "node", "component", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
         "t", "node", "component", F.xxhash64("component", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell"))
-    texts = docs.groupBy(F.xxhash64(text_or_empty(text_col)).alias("t")).agg(F.first(text_or_empty(text_col)).alias("text"))
+    # One number per candidate: this list goes to the texts, not the texts to it.
+    asked = F.broadcast(coarse.select("t").distinct())
+    texts = docs.select(F.xxhash64(text_or_empty(text_col)).alias("t"), text_or_empty(text_col).alias("text")).join(
+        asked, "t", "left_semi").dropDuplicates(["t"])
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         found = []

@@ -34,7 +34,12 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(g, seed) for g in grams], dtype="<u8")
+    return majority(np.array([digest(g, seed) for g in grams], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are set in over half of the 64-bit ``hashes``."""
+    hashes = hashes.astype("<u8", copy=False)
     count, step = np.zeros(BITS, dtype=np.int64), 65536
     for i in range(0, len(hashes), step):  # bounds the memory of very long texts
         part = hashes[i:i + step]

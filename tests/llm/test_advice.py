@@ -94,3 +94,25 @@ def test_rare_languages_have_a_class(spark, block, monkeypatch):
     got = {r["doc_id"]: r["language"] for r in langid.identify(df, host_col=None).where("doc_id >= 30000").collect()}
     assert all(got[30000 + i] == ("el" if i % 2 else "cs") for i in range(40))
     assert [got[40000 + i] for i in range(4)] == list(words)
+
+
+def test_near_copies_use_fingerprints(spark, monkeypatch):
+    """SimHash links are candidates beside the bands, and only texts of candidates are shuffled."""
+    base = 0x0F0F0F0F0F0F0F0F
+    rows = [(1, base), (2, base), (3, base ^ 0b1111), (4, base ^ 0b11111 << 40), (5, ~base)]
+    edges = copies._near_prints(spark.createDataFrame(rows, "node long, fp long")).collect()
+    assert {frozenset(e) for e in edges} == {frozenset((1, 2)), frozenset((1, 3))}
+
+    plans, kept, write, near = {}, [], copies.stage, copies._near_prints
+
+    def staged(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(copies, "stage", staged)
+    monkeypatch.setattr(copies, "_near_prints", lambda nodes: kept.append(near(nodes)) or kept[0])
+    words = [f"w{i}" for i in range(400)]
+    texts = {1: " ".join(words), 2: " ".join([*words[:-1], "other"]), 3: " ".join(reversed(words)), 4: "", 5: " ".join(words)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in copies.similar(docs).collect()} == groups(texts) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
+    assert kept[0].count() == 1 and "LeftSemi" in plans["links"]
