@@ -20,7 +20,8 @@ class SilenceWatch(StatefulProcessor):
 
     A slot is as long as the limit, so a silence always crosses slots and a slot needs no more than two times. Slots settle in
     order once the watermark passes their end; whatever order ticks arrive in before, the alerts are the same. One timer per
-    symbol stands at the next slot end or at the end of the limit after the last tick.
+    symbol stands at the next slot end or at the end of the limit after the last tick. All of it is one value, read and written
+    once a call, since every call to the state store is a trip to another process.
     """
 
     def __init__(self, limit_us: int):
@@ -28,32 +29,30 @@ class SilenceWatch(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "us long, told boolean")
-        self.pending = handle.getMapState("pending", "slot long", "first long, last long")
+        self.watch = handle.getValueState("watch", "us long, told boolean, timer long, times array<long>")
+
+    def _known(self) -> tuple[int | None, bool, int | None, dict[int, tuple[int, int]]]:
+        last, told, timer, times = self.watch.get() or (None, False, None, [])
+        times = [int(t) for t in times]  # slot, first, last and so on
+        return last, told, timer, {times[i]: (times[i + 1], times[i + 2]) for i in range(0, len(times), 3)}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen: dict[int, tuple[int, int]] = {}
+        last, told, timer, pending = self._known()
         for chunk in rows:
-            for slot, first, last in zip(chunk["slot"].tolist(), chunk["first_us"].tolist(), chunk["last_us"].tolist()):
-                a, b = seen.get(slot, (first, last))
-                seen[slot] = min(a, first), max(b, last)
-        for slot, (first, last) in seen.items():
-            if self.pending.containsKey((slot,)):
-                a, b = self.pending.getValue((slot,))
-                first, last = min(a, first), max(b, last)
-            self.pending.updateValue((slot,), (first, last))
-        yield from self._advance(key[0], timerValues)
+            for slot, first, end in zip(chunk["slot"].tolist(), chunk["first_us"].tolist(), chunk["last_us"].tolist()):
+                a, b = pending.get(slot, (first, end))
+                pending[slot] = min(a, first), max(b, end)
+        yield self._advance(key[0], timerValues, last, told, timer, pending)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key[0], timerValues)
+        yield self._advance(key[0], timerValues, *self._known())
 
-    def _advance(self, symbol: str, times) -> Iterator[pd.DataFrame]:
-        now = times.getCurrentWatermarkInMs() * 1000
-        last, told = self.last.get() if self.last.exists() else (None, False)
-        slots = sorted((k[0], *v) for k, v in self.pending.iterator())
+    def _advance(self, symbol: str, times, last, told, timer, pending) -> pd.DataFrame:
+        mark = times.getCurrentWatermarkInMs()
+        now = mark * 1000
+        slots = sorted((slot, *v) for slot, v in pending.items())
         out = []
-        for slot, first, end in [s for s in slots if (s[0] + 1) * self.limit <= now]:
-            self.pending.removeKey((slot,))
+        for _, first, end in [s for s in slots if (s[0] + 1) * self.limit <= now]:
             if last is not None and first - last > self.limit:
                 if not told:
                     out.append((symbol, "silent", last, None, None))
@@ -63,15 +62,16 @@ class SilenceWatch(StatefulProcessor):
         if last is not None and not told and last + self.limit <= now and (not waiting or waiting[0][1] - last > self.limit):
             out.append((symbol, "silent", last, None, None))
             told = True
-        if last is not None:
-            self.last.update((last, told))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
         due = [(waiting[0][0] + 1) * self.limit] if waiting else []
         due += [last + self.limit] if last is not None and not told else []
-        if due:
-            self.handle.registerTimer(max(-(-min(due) // 1000), times.getCurrentWatermarkInMs() + 1))
-        yield pd.DataFrame(out, columns=["symbol", "kind", "gap_start", "gap_end", "hours"]).astype(
+        wanted = max(-(-min(due) // 1000), mark + 1) if due else None
+        if wanted != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+        self.watch.update((last, told, wanted, [t for slot in waiting for t in slot]))
+        return pd.DataFrame(out, columns=["symbol", "kind", "gap_start", "gap_end", "hours"]).astype(
             {"gap_start": "Int64", "gap_end": "Int64", "hours": "float64"})
 
     def close(self) -> None:

@@ -16,6 +16,7 @@ from marketspark.functions.scans import Ewm, ewm_scan, halo_blocks, last_known,
 from marketspark.operators import backtest, indicators, labels, levels, models, select, sessions
 from marketspark.operators.folds import assign_folds, fold_part, fold_table, usable_folds
 from marketspark.session import stage
+from marketspark.streaming.silence import SilenceWatch
 
 
 def close_to(got, want, tol=1e-8):
@@ -428,3 +429,45 @@ def test_short_series_are_windows_and_long_ones_blocks(spark, monkeypatch):
     monkeypatch.setattr(scans, "SHORT", 100)  # now both are long
     assert run(noted)[0] == blocks
     assert scans.longest(scans.without_notes(noted)) is None
+
+
+def test_silence_state_is_read_and_written_once_a_call():
+    calls, held, timers = [], {}, set()
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return held.get("v")
+
+        def update(self, v):
+            calls.append("update")
+            held["v"] = v
+
+    class Handle:
+        def getValueState(self, *_):
+            return Value()
+
+        def registerTimer(self, t):
+            timers.add(t)
+
+        def deleteTimer(self, t):
+            timers.discard(t)
+
+    class Clock:
+        now = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    hour = 3_600_000_000
+    watch, clock = SilenceWatch(hour), Clock()
+    watch.init(Handle())
+
+    def feed(*times):
+        rows = pd.DataFrame({"slot": [t // hour for t in times], "first_us": times, "last_us": times})
+        return [tuple(r)[1:3] for f in watch.handleInputRows(("A",), iter([rows]), clock) for r in f.itertuples(index=False)]
+
+    assert feed(*(k * hour // 2 for k in range(20)), 14 * hour) == [] and calls == ["get", "update"]
+    clock.now = 16 * 3_600_000
+    assert feed(16 * hour + 5) == [("silent", 9 * hour + hour // 2), ("returned", 9 * hour + hour // 2), ("silent", 14 * hour)]
+    assert calls == ["get", "update"] * 2 and timers == {17 * 3_600_000}
