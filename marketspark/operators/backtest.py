@@ -54,18 +54,19 @@ def trade_candidates(
     task ever holds a whole series.
     """
     signal = F.col(signal_col)
-    rows = halo_blocks(
-        bars.select(*keys, "idx", "n", "timestamp", "open", "high", "low", "close",
-                    signal.alias("signal"), F.col(atr_col).alias("_atr")),
-        block, after=horizon_limit + 1,
-    )
-    w = W.partitionBy(*keys, "blk").orderBy("idx")
+    rows = bars.select(*keys, "idx", "n", "timestamp", "open", "high", "low", "close",
+                       signal.alias("signal"), F.col(atr_col).alias("_atr"))
+    if short(bars, block):
+        # One block a series, in the order in which it was numbered.
+        rows, w = rows.withColumn("core", F.lit(True)), W.partitionBy(*keys).orderBy("timestamp")
+    else:
+        rows, w = halo_blocks(rows, block, after=horizon_limit + 1), W.partitionBy(*keys, "blk").orderBy("idx")
+    held = range(1, horizon_limit + 1)
     rows = rows.withColumns({
         "_entry_time": F.lead("timestamp").over(w),
         "entry_price": F.lead("open").over(w),
-        "_future": F.collect_list(F.struct("timestamp", "high", "low", "close")).over(
-            w.rowsBetween(2, horizon_limit + 1)
-        ),
+        "_last_close": F.lead("close", horizon_limit + 1).over(w),
+        **{f"_{name}_{k}": F.lead(name, k + 1).over(w) for k in held for name in ("timestamp", "high", "low")},
     }).where(
         F.col("core") & signal_is_open() & F.col("_atr").isNotNull() & (F.col("_atr") > 0)
         & (F.col("idx") < F.col("n") - 1)
@@ -86,39 +87,38 @@ def trade_candidates(
     })
     is_long = side == 1
 
-    def outcome(bar: Column, i: Column) -> Column:
-        stopped = F.when(is_long, bar["low"] <= F.col("_sl")).otherwise(bar["high"] >= F.col("_sl"))
-        reached = F.when(is_long, bar["high"] >= F.col("_tp")).otherwise(bar["low"] <= F.col("_tp"))
-        return F.struct(
-            (i + 1).alias("held"), bar["timestamp"].alias("time"), bar["close"].alias("close"),
-            F.when(stopped, "SL").when(reached, "TP")
-            .when(i + 1 >= horizon_limit, "TIME").alias("reason"),
-        )
-
-    ends = F.filter(F.transform("_future", outcome), lambda o: o["reason"].isNotNull())
-    rows = rows.withColumn("_end", F.get(ends, F.lit(0)))
-    reason = F.col("_end.reason")
-    exit_price = F.when(reason == "SL", F.col("_sl")).when(reason == "TP", F.col("_tp")).otherwise(
-        F.col("_end.close"))
+    def outcome(k: int) -> Column:
+        """Bars held and how the trade ends (1: stop, 2: target, 3: time) as one number; null while it goes on."""
+        low, high = F.col(f"_low_{k}"), F.col(f"_high_{k}")
+        stopped = F.when(is_long, low <= F.col("_sl")).otherwise(high >= F.col("_sl"))
+        reached = F.when(is_long, high >= F.col("_tp")).otherwise(low <= F.col("_tp"))
+        end = F.when(stopped, 4 * k + 1).when(reached, 4 * k + 2)
+        return end.when(F.col(f"_timestamp_{k}").isNotNull(), 4 * k + 3) if k == horizon_limit else end
+
+    rows = rows.withColumn("_end", F.coalesce(*[outcome(k) for k in held]))
+    rows = rows.withColumns({"_held": F.shiftright("_end", 2), "_how": F.col("_end").bitwiseAND(3)})
+    reason = F.when(F.col("_how") == 1, "SL").when(F.col("_how") == 2, "TP").when(F.col("_how") == 3, "TIME")
+    exit_price = F.when(F.col("_how") == 1, F.col("_sl")).when(F.col("_how") == 2, F.col("_tp")).otherwise(F.col("_last_close"))
+    exit_time = F.get(F.array(*[F.col(f"_timestamp_{k}") for k in held]), F.col("_held") - 1)
     gross = (
-        F.when(reason == "SL", -number(sl_r))
-        .when(reason == "TP", number(tp_r))
+        F.when(F.col("_how") == 1, -number(sl_r))
+        .when(F.col("_how") == 2, number(tp_r))
         .otherwise(side * (exit_price - F.col("entry_price")) / F.col("_risk"))
     )
     cost = (number(commission) + number(slippage) * 2) / F.col("_risk")
     return rows.select(
         *keys, *params, "idx", "n",
         F.col("_entry_time").alias("entry_time"),
-        F.col("_end.time").alias("exit_time"),
+        exit_time.alias("exit_time"),
         F.when(is_long, "LONG").otherwise("SHORT").alias("signal"),
         "entry_price",
         exit_price.alias("exit_price"),
-        F.col("_end.held").alias("bars_held"),
+        F.col("_held").alias("bars_held"),
         (gross - cost).alias("pnl_r"),
         reason.alias("reason"),
         F.weekday("_entry_time").alias("weekday"),
         F.hour("_entry_time").alias("hour"),
-        F.coalesce(F.col("idx") + 1 + F.col("_end.held"), F.col("n")).cast("long").alias("exit_idx"),
+        F.coalesce(F.col("idx") + 1 + F.col("_held"), F.col("n")).cast("long").alias("exit_idx"),
     )
 
 
