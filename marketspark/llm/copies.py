@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from marketspark.llm.common import groups_for, prepare, stage, text_or_empty
 from marketspark.llm.components import components
@@ -87,6 +88,37 @@ def _joined(texts: list[str], size: int, least: float) -> list[tuple[int, int]]:
     return edges
 
 
+def _stars(nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, node, low) of every distinct pair of key and node; ``low`` is the key's smallest node."""
+    order = np.lexsort((nodes, keys))
+    key, node = keys[order], nodes[order]
+    new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])][:len(key)]
+    key, node = key[new], node[new]
+    heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)])
+    return key, node, np.repeat(node[heads], np.diff(np.r_[heads, len(key)]))
+
+
+def _banded(prints: DataFrame) -> DataFrame:
+    """(node, low): edges that join all nodes of a band.
+
+    A batch of rows links its nodes of a band to the smallest of them, and only that one is shuffled under the band's key, once.
+    So a band that very many texts share is no more than one row a batch.
+    """
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            part = part[part["keys"].str.len() > 0]
+            if len(part):
+                sizes = part["keys"].str.len().to_numpy()
+                key, node, low = _stars(np.repeat(part["node"].to_numpy(), sizes), np.concatenate(part["keys"].to_list()))
+                yield pd.DataFrame({"key": key, "node": node, "low": low})
+
+    found = prints.select("node", "keys").mapInPandas(run, "key long, node long, low long")
+    inside = found.where("node <> low").select("node", "low")
+    heads = found.where("node = low").select("key", "node")
+    across = heads.withColumn("low", F.min("node").over(W.partitionBy("key"))).where("node <> low").select("node", "low")
+    return inside.union(across)
+
+
 def _near_prints(nodes: DataFrame) -> DataFrame:
     """(node, low): edges that join all ``nodes`` (node, fp) whose fingerprints differ in ``DISTANCE`` bits or fewer."""
     heads = stage(nodes.groupBy("fp").agg(F.min("node").alias("low")), "prints")
@@ -108,11 +140,10 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     """
     prepare(docs.sparkSession)
     prints = stage(_prints(docs, id_col, text_col, shingle), "prints")
-    first = stage(prints.groupBy("node").agg(F.min("t").alias("t"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes")
-    keyed = first.select("node", F.explode("keys").alias("key"))
-    low = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("key", "low")
-    banded = keyed.join(low, "key").where("node <> low").select("node", "low")
-    near = _near_prints(first.where(F.size("keys") > 0))
+    first = stage(prints.groupBy("node").agg(
+        F.min("t").alias("t"), F.first("fp").alias("fp"), F.max(F.size("keys")).alias("bands")), "nodes")
+    banded = _banded(prints)
+    near = _near_prints(first.where("bands > 0"))
     coarse = components(stage(banded.union(near).distinct(), "coarse"), "node", "low")
     coarse = stage(first.select("node", "t").join(coarse, "node"), "candidates")
     groups = coarse.groupBy("component").count()
