@@ -20,8 +20,8 @@ WINDOW = 100
 EDIT_RATE = 0.08
 #: Windows searched in one pass over the documents; larger benchmarks take several passes.
 BLOCK_WINDOWS = 100_000
-#: Characters normalised and hashed at once in a task.
-CHUNK = 2_000_000
+#: Characters normalised and hashed at once in a task. The arrays made of them take some 50 bytes a character.
+CHUNK = 250_000
 _TABLE_BITS = 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LIMIT = 0x30000
@@ -195,6 +195,15 @@ class Index:
                 found[key] = hit
         return list(found.values())
 
+    def search_all(self, texts: list[str]) -> Iterator[tuple[int, object, int, int, int]]:
+        """What ``search`` finds, on runs of texts of about ``CHUNK`` characters: their arrays are all that a task holds of them."""
+        lo = held = 0
+        for hi, text in enumerate(texts, 1):
+            held += len(text)
+            if held >= CHUNK or hi == len(texts):
+                yield from ((lo + d, *rest) for d, *rest in self.search(texts[lo:hi]))
+                lo, held = hi, 0
+
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -219,13 +228,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             index = Index(shared.value)
             for part in parts:
-                texts, out = part["text"].tolist(), []
-                lo, held = 0, 0
-                for hi in range(1, len(texts) + 1):
-                    held += len(texts[hi - 1])
-                    if held >= CHUNK or hi == len(texts):
-                        out += [(part["id"].iloc[lo + d], *rest) for d, *rest in index.search(texts[lo:hi])]
-                        lo, held = hi, 0
+                out = [(part["id"].iloc[d], *rest) for d, *rest in index.search_all(part["text"].tolist())]
                 yield pd.DataFrame(out, columns=["id", "item", "edits", "start", "stop"], dtype=object)
 
         return slim.mapInPandas(run, schema)

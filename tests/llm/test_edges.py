@@ -1,5 +1,7 @@
 """Every operator on NULLs, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +69,21 @@ def test_shards_within_their_limit(spark):
     assert sum(len(v) for k, v in sizes.items() if 30 in v) >= 300
 
 
+def test_leak_search_holds_little_of_a_batch():
+    index = decontaminate.Index(decontaminate.windows("q", "one two three four five six seven eight nine ten"))
+    texts = [f"{i} some words of no item whatsoever " * 60 for i in range(500)]
+    texts[3] += "one two three four five six seven eight nine ten"
+    texts[-1] += "one two three four five six seven eight nine ten"
+    tracemalloc.start()
+    try:
+        found = list(index.search_all(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [row[0] for row in found] == [3, 499] and list(index.search_all([])) == []
+    assert peak < 24 << 20
+
+
 def test_leaks(spark):
     df = docs(spark)
     bench = spark.createDataFrame(
