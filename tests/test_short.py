@@ -4,7 +4,7 @@ import pytest
 from helpers import bars_frame
 from pyspark.sql import functions as F
 
-from marketspark.functions.scans import Ewm, ewm_scan, row_index, short
+from marketspark.functions.scans import Ewm, ewm_scan, noted, row_index, short
 from marketspark.operators import backtest, models
 from marketspark.operators.bars import resample
 from marketspark.operators.folds import assign_folds
@@ -68,3 +68,26 @@ def test_online_scores_a_series_without_a_name(spark):
                                  F.col("id").cast("double").alias("a"), (F.col("id") % 5).cast("int").alias("y"))
     found = models.online_predictions(df, ["a"], batch=25).groupBy("symbol").agg(F.count("*"), F.max("batch")).collect()
     assert sorted(map(tuple, found), key=str) == [("A", 35, 2), (None, 35, 2)]
+
+
+def test_few_ticks_reach_their_bars_and_windows_in_one_shuffle(spark):
+    ticks = views.ticks_many(spark, "/root/testdata/sf0.001")
+    plain, whole = (resample(ticks, "1W", min_ticks=1, tie_col="seq", combine=False, together=t) for t in (False, True))
+    assert whole.count() > 1000 and not plain.exceptAll(whole).count() and plain.count() == whole.count()
+
+
+def test_bayes_of_short_series_is_one_shuffle(spark):
+    from marketspark.plans.catalog_models import prequential_nb
+
+    found = prequential_nb(spark, "/root/testdata/sf0.001")
+    assert _nodes(found, "Exchange hashpartitioning") == 1 and _nodes(found, "Sort [") == 1 and found.count()
+
+
+def test_bayes_of_short_series_is_that_of_merged_moments(spark):
+    df = spark.range(700).select(
+        F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"), F.floor(F.col("id") / 3).alias("idx"),
+        F.when(F.col("id") % 11 > 0, F.sin(F.col("id") * 1.7) * 3 + 1e6).alias("a"), F.cos(F.col("id") * 0.3).alias("b"),
+        F.when(F.col("id") % 13 > 0, F.pmod(F.col("id") * F.col("id"), F.lit(5))).cast("int").alias("y"))
+    merged, running = (models.prequential_bayes(frame, ["a", "b"], batch=20) for frame in (df, noted(df, "idx", 234)))
+    assert _nodes(running, "Join") == 0
+    assert merged.count() > 600 and sorted(map(repr, merged.collect())) == sorted(map(repr, running.collect()))
