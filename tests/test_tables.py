@@ -228,6 +228,22 @@ def test_drift_against_a_stored_reference(spark):
     assert opened.count() < drift.compare(reference, spark.createDataFrame(narrow, ddl), ["x"]).count() / 2
 
 
+def test_drift_opens_only_blocks_that_may_hold_the_greatest_distance(spark):
+    rng = random.Random(5)
+    ddl, path = "x double, y double", store.new_table_path(spark, "reference")
+    reference = spark.createDataFrame([(rng.gauss(0, 1), None) for _ in range(20_000)], ddl)
+    drift.save_reference(reference, ["x", "y"], path, block_rows=20)
+    profiles = [df.orderBy("feature").collect() for df in (drift.stored_profile(spark, path), drift.profile(reference, ["x", "y"]))]
+    assert profiles[0] == profiles[1] and len(profiles[0]) == 1
+    for shift, scale in ((0.3, 1), (0, 3), (0, 0.5), (0, 1)):
+        batch = spark.createDataFrame([(rng.gauss(shift, scale), 1.0) for _ in range(5_000)], ddl)
+        joint, whole = drift.against_stored(spark, path, batch, ["x", "y"]), drift.compare(reference, batch, ["x", "y"])
+        assert drift.report(None, None, ["x", "y"], joint=joint).collect() == drift.report(None, None, ["x", "y"], joint=whole).collect()
+        assert joint.count() < whole.count() / (10 if scale != 1 or shift else 2)
+    drift.save_reference(reference, ["y"], path)
+    assert not drift.against_stored(spark, path, batch, ["y"]).count() and not drift.stored_profile(spark, path).count()
+
+
 def test_evaluation_of_a_registered_model(spark):
     df, _ = bars_frame(spark, 400)
     other, _ = bars_frame(spark, 60, seed=2, symbol="FLAT")
