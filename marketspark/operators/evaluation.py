@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketspark.functions.scans import longest, noted
 from marketspark.operators import backtest, models, registry
 from marketspark.operators.select import label_to_signal
 from marketspark.schema import TRADE_COLUMNS
@@ -52,6 +53,9 @@ def evaluate_registered(
     signals = stored.withColumn("signal", label_to_signal("prediction"))
     source = f"{found['backend']}:{label}"
     write_trades(backtest.simulate_trades(signals, **rules), f"{folder}/trades", source)
+    trades, most = read_trades(spark, f"{folder}/trades", source), longest(bars)
+    if most is not None:  # a series has no more trades than bars
+        trades = noted(trades, "entry_time", most)
     return backtest.backtest_metrics(
-        read_trades(spark, f"{folder}/trades", source), initial_capital=initial_capital, risk_pct=risk_pct,
+        trades, initial_capital=initial_capital, risk_pct=risk_pct,
         all_keys=bars.select("symbol"))

@@ -91,3 +91,10 @@ def test_bayes_of_short_series_is_that_of_merged_moments(spark):
     merged, running = (models.prequential_bayes(frame, ["a", "b"], batch=20) for frame in (df, noted(df, "idx", 234)))
     assert _nodes(running, "Join") == 0
     assert merged.count() > 600 and sorted(map(repr, merged.collect())) == sorted(map(repr, running.collect()))
+
+
+def test_trades_of_a_registered_model_are_windows_of_short_series(spark):
+    from marketspark.plans.catalog_trades import evaluate_registered
+
+    found = evaluate_registered(spark, "/root/testdata/sf0.001")
+    assert _nodes(found, "Join") == 1 and _nodes(found, "_block") == 0 and found.count()
