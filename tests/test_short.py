@@ -98,3 +98,9 @@ def test_trades_of_a_registered_model_are_windows_of_short_series(spark):
 
     found = evaluate_registered(spark, "/root/testdata/sf0.001")
     assert _nodes(found, "Join") == 1 and _nodes(found, "_block") == 0 and found.count()
+
+
+def test_fits_need_not_look_for_the_classes(spark):
+    df = spark.range(60).select(F.col("id").cast("double").alias("a"), (F.col("id") % 3).cast("int").alias("y"))
+    fit = models.tree_pipeline(["a"], {"numTrees": 2, "maxDepth": 2}, 1).fit
+    assert fit(df).stages[-1].numClasses == 3 and fit(models.with_classes(df)).stages[-1].numClasses == 5
