@@ -22,7 +22,7 @@ COMMON_POSTINGS, COMMON_WORDS = 1.0, 2048
 #: Queries scored at once.
 BATCH = 128
 #: Distinct query terms (with repeats across queries) handled in one pass over the documents.
-PASS_TERMS = 4_000_000
+PASS_TERMS = 2_000_000
 #: Scores are compared at this precision, so equal documents tie whatever the order of their sums.
 DIGITS = 9
 _SLACK = 10.0 ** -DIGITS
@@ -141,10 +141,10 @@ class Shard:
         doc = np.repeat(np.arange(n), sizes)[known]
         tf = np.concatenate([counts[d] for d in order] or [np.zeros(0, "<u4")])[known].astype(np.float64)
         at = at[known]
-        # Words are numbered among those of the shard; the last number stands for all others.
-        here = np.zeros(len(vocabulary), dtype=bool)
-        here[at] = True
-        self.words = np.count_nonzero(here)
+        # Words are numbered among those of the shard, the commonest first; the last number stands for all others.
+        seen = np.bincount(at, minlength=len(vocabulary))
+        here = np.argsort(-seen, kind="stable")[:np.count_nonzero(seen)]
+        self.words = len(here)
         self.number = np.full(len(vocabulary), self.words, dtype=np.int32)
         self.number[here] = np.arange(self.words, dtype=np.int32)
         # By document, for exact scores.
@@ -185,7 +185,7 @@ class Shard:
             self.most[place[new]] = np.maximum.reduceat(held, new)
         self.most = self.most.reshape(-1, len(self.blocks))
         # Postings of all others.
-        self.doc, self.rare = doc[rare].astype(np.min_scalar_type(n)), gain[rare].astype(np.float32)
+        self.posting = np.rec.fromarrays([doc[rare].astype(np.uint32), gain[rare].astype(np.float32)]).view(np.uint64)
         self.size = np.bincount(word[rare], minlength=self.words + 1)
         self.start = np.cumsum(self.size) - self.size
 
@@ -209,8 +209,8 @@ class Shard:
             if not len(word):
                 continue
             many = self.size[word]
-            posting = _ranges(self.start[word], many)
-            score[q] = np.bincount(self.doc[posting], np.repeat(w, many) * self.rare[posting], minlength=n)
+            posting = self.posting[_ranges(self.start[word], many)]
+            score[q] = np.bincount(posting.view(np.uint32)[::2], posting.view(np.float32)[1::2] * np.repeat(w, many), minlength=n)
             common = np.flatnonzero(self.shared[word])
             word, w = word[common], w[common]
             bound = np.maximum.reduceat(score[q], self.blocks) + w @ self.most[self.shared_number[word]]
@@ -277,14 +277,16 @@ class Shard:
 
 
 def _shards(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of a task in shards of ``SHARD_DOCS``, the last one up to half larger or smaller: a small one costs nearly as much."""
     held, n = [], 0
     for part in parts:
         held.append(part)
         n += len(part)
-        if n >= SHARD_DOCS:
-            yield pd.concat(held, ignore_index=True)
-            held, n = [], 0
-    if held:
+        if n >= SHARD_DOCS * 3 // 2:
+            rows = pd.concat(held, ignore_index=True)
+            yield rows[:SHARD_DOCS]
+            held, n = [rows[SHARD_DOCS:]], n - SHARD_DOCS
+    if n:
         yield pd.concat(held, ignore_index=True)
 
 
@@ -326,10 +328,9 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
 def _rounds(documents: int) -> list[list[int]]:
     """The levels of documents searched together, the few first: their answers are the floors of the many.
 
-    Level 0 is seven eighths of the documents, level 1 seven eighths of the rest. A first round holds two shards at least.
+    Level 0 is seven eighths of the documents, level 1 seven eighths of the rest.
     """
-    few = 2 * SHARD_DOCS
-    return [[2], [1], [0]] if documents >= 64 * few else [[1, 2], [0]] if documents >= 8 * few else [[0, 1, 2]]
+    return [[2], [1], [0]] if documents >= 16 * SHARD_DOCS else [[0, 1, 2]]
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,8 +339,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     Exact: whatever is skipped has an upper bound below a score that k documents reach. Documents without a word of the query are
     no answers, so a query may have fewer than ``k``, and an empty or NULL text has none. Repeated documents compete row by row;
     repeated query ids are one query, the first of them; queries with NULL id are ignored. Either table may be empty. Other columns are
-    ignored. Queries are handled in blocks of at most ``PASS_TERMS`` terms (48 MB), each sent to all tasks; documents do not move.
-    They are searched in up to three rounds: the k-th best score of a query so far is its floor in the next round, so that a task
+    ignored. Queries are handled in blocks of at most ``PASS_TERMS`` terms (24 MB), each sent to all tasks; documents do not move.
+    Documents are searched in three rounds, few in one: the k-th best score of a query so far is its floor in the next round, so that a task
     of the last round, with most of the documents, returns few rows however many tasks there are.
     """
     spark = prepare(docs.sparkSession)
