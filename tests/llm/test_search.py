@@ -31,6 +31,7 @@ def test_tasks_of_the_last_round_return_what_can_still_be_an_answer(spark, monke
         want = search.top_k(docs, queries, K).orderBy("query_id", "rank").collect()
         rows.clear()
         monkeypatch.setattr(search, "SHARD_DOCS", 8)
+        monkeypatch.setattr(search, "PASS_TERMS", 150)  # several blocks of queries
         got = search.top_k(docs, queries, K).orderBy("query_id", "rank").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
